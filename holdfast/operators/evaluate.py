@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdfast.functions import safe_ratio
-from holdfast.operators.ordering import RANGE, running_totals  # noqa: F401
+from holdfast.operators.ordering import row_numbers, running_totals
 
 RECALL_THRESHOLD = 0.30
 
@@ -92,17 +92,15 @@ def score_counts(scored: DataFrame) -> DataFrame:
     )
 
 
-def _with_class_totals(running: DataFrame) -> DataFrame:
-    totals = running.groupBy("model").agg(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg"))
-    return running.join(totals, "model", "inner")
-
-
 def _descending(scored: DataFrame) -> DataFrame:
     """Per distinct score: positives and negatives scored at or above it, and class totals."""
-    running = running_totals(
-        score_counts(scored), [F.desc("probability")], {"tp": "pos", "fp": "neg"}, groups=["model"]
-    )
-    return _with_class_totals(running)
+    return running_totals(
+        score_counts(scored),
+        [F.desc("probability")],
+        {"tp": "pos", "fp": "neg"},
+        groups=["model"],
+        with_totals=True,
+    ).withColumnsRenamed({"tp_total": "all_pos", "fp_total": "all_neg"})
 
 
 def roc_auc(scored: DataFrame) -> DataFrame:
@@ -131,9 +129,7 @@ def roc_auc(scored: DataFrame) -> DataFrame:
 def roc_curve(scored: DataFrame, drop_intermediate: bool = False) -> DataFrame:
     """False and true positive rate at each distinct score, from the (0, 0) point down.
 
-    ``drop_intermediate`` leaves out points on a straight line between their
-    neighbours. Neighbours are looked up inside ranges of the false-positive
-    count, each of which also holds its outer neighbours.
+    ``drop_intermediate`` leaves out points whose steps on both sides are equal.
     """
     points = _descending(scored).select(
         "model",
@@ -160,12 +156,9 @@ def roc_curve(scored: DataFrame, drop_intermediate: bool = False) -> DataFrame:
 def _drop_collinear(points: DataFrame) -> DataFrame:
     """Keep first, last and corner points of each model's curve.
 
-    A point is a corner when the counts gained on either side of it differ, which
-    needs only the next step. Steps are the points' own gains, so every point has
-    to meet its successor: number the points and join on the number.
+    A point is a corner when the counts gained on either side of it differ, so
+    every point has to meet both neighbours: number the points, join on the number.
     """
-    from holdfast.operators.ordering import row_numbers
-
     numbered = row_numbers(points, [F.desc("threshold")], "point", groups=["model"])
     step = numbered.select("model", "point", F.col("tp").alias("tp_at"), F.col("fp").alias("fp_at"))
     earlier = step.select(
@@ -175,11 +168,11 @@ def _drop_collinear(points: DataFrame) -> DataFrame:
         "model", (F.col("point") - 1).alias("point"), F.col("tp_at").alias("tp_next"), F.col("fp_at").alias("fp_next")
     )
     joined = numbered.join(earlier, ["model", "point"], "left").join(later, ["model", "point"], "left")
-    tp_prev, fp_prev = F.coalesce("tp_prev", F.lit(0)), F.coalesce("fp_prev", F.lit(0))
-    turns = (F.col("tp") - tp_prev != F.col("tp_next") - F.col("tp")) | (
-        F.col("fp") - fp_prev != F.col("fp_next") - F.col("fp")
+    turns = (F.col("tp") - F.col("tp_prev") != F.col("tp_next") - F.col("tp")) | (
+        F.col("fp") - F.col("fp_prev") != F.col("fp_next") - F.col("fp")
     )
-    return joined.where(F.col("tp_next").isNull() | turns).select(*points.columns)
+    ends = F.col("tp_prev").isNull() | F.col("tp_next").isNull()
+    return joined.where(ends | turns).select(*points.columns)
 
 
 def chance_line() -> list[tuple[str, float, float]]:

@@ -26,21 +26,25 @@ def running_totals(
     order: Sequence[Column],
     sums: dict[str, str],
     groups: Sequence[str] = (),
+    with_totals: bool = False,
 ) -> DataFrame:
     """Add inclusive running sums: ``sums`` maps a new column to the column it adds up.
 
     ``order`` must be total within each group. Group columns must not be null.
+    ``with_totals`` also adds each sum's group total, as ``<name>_total``.
     """
     keys = [*groups, RANGE]
     ranged = materialise(
         df.repartitionByRange(*[F.col(g) for g in groups], *order).withColumn(RANGE, F.spark_partition_id()),
         "ranged",
     )
-    before = Window.partitionBy(*groups).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*groups)
+    before = whole.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
     totals = ranged.groupBy(*keys).agg(*[F.sum(source).alias(f"_all_{name}") for name, source in sums.items()])
     offsets = totals.select(
         *keys,
         *[F.coalesce(F.sum(f"_all_{name}").over(before), F.lit(0)).alias(f"_before_{name}") for name in sums],
+        *[F.sum(f"_all_{name}").over(whole).alias(f"{name}_total") for name in sums if with_totals],
     )
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     running = ranged.select("*", *[F.sum(source).over(inside).alias(name) for name, source in sums.items()])
@@ -78,18 +82,13 @@ def quantiles(df: DataFrame, value: str, points: Sequence[float], groups: Sequen
         .groupBy(*groups, F.col(value).cast("double").alias("_value"))
         .agg(F.count("*").alias("_n"))
     )
-    running = running_totals(counts, [F.col("_value")], {"_upto": "_n"}, groups)
-    size = running.groupBy(*groups).agg(F.max("_upto").alias("_rows"))
-    if groups:
-        sized = running.join(size, list(groups), "inner")
-    else:
-        sized = running.withColumn("_rows", size.scalar())
+    sized = running_totals(counts, [F.col("_value")], {"_upto": "_n"}, groups, with_totals=True)
 
     def at(position: Column) -> Column:
         return F.min(F.when(F.col("_upto") > position, F.col("_value")))
 
     def interpolated(point: float) -> Column:
-        place = (F.col("_rows") - 1) * F.lit(point)
+        place = (F.col("_upto_total") - 1) * F.lit(point)
         low, high = at(F.floor(place)), at(F.ceil(place))
         part = F.max(place - F.floor(place))
         return low + (high - low) * part
