@@ -5,8 +5,10 @@ from holdfast.functions.exprs import (
     cut_ordinal,
     floor_days,
     fraction,
+    from_units,
     hash_unit,
     key_hash,
+    money_units,
     months_before,
     percent_text,
     safe_ratio,
@@ -20,8 +22,10 @@ __all__ = [
     "cut_ordinal",
     "floor_days",
     "fraction",
+    "from_units",
     "hash_unit",
     "key_hash",
+    "money_units",
     "months_before",
     "percent_text",
     "safe_ratio",

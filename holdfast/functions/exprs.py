@@ -72,6 +72,22 @@ def safe_ratio(top: Column, bottom: Column) -> Column:
     return F.try_divide(top.cast("double"), bottom.cast("double"))
 
 
+MONEY_UNITS = 10_000
+
+
+def money_units(amount: Column) -> Column:
+    """Money as a whole number of 1/10,000 units.
+
+    Whole numbers add up to the same total in any order, so a sum does not depend
+    on how rows were partitioned or which task was retried.
+    """
+    return F.rint(amount * MONEY_UNITS).cast("long")
+
+
+def from_units(units: Column) -> Column:
+    return units.cast("double") / MONEY_UNITS
+
+
 def class_name(label: Column) -> Column:
     return F.when(label == 1, "Churned").when(label == 0, "Retained")
 

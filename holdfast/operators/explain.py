@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
 from collections.abc import Iterator, Sequence
 from math import factorial
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +19,9 @@ from holdfast.operators.ordering import quantiles
 from holdfast.session import shared_root
 from holdfast.sources.schemas import KEY
 
+# The helpers below travel with the job, so executors need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Boosted trees here are fitted to half the log-odds: p = 1 / (1 + exp(-2 * margin)).
 LOG_ODDS_PER_MARGIN = 2.0
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.functions import floor_days, fraction
+from holdfast.functions import floor_days, fraction, from_units, money_units
 from holdfast.operators.labels import PLACED, delivered_orders, pre_cutoff, with_person
 from holdfast.sources.schemas import FULL13, KEY
 
@@ -30,13 +30,22 @@ BAD_SCORE = 2
 
 
 def items_by_order(items: DataFrame) -> DataFrame:
+    """Item totals per order; money in whole units."""
     return items.groupBy("order_id").agg(
-        F.sum("price").alias("spend"),
+        F.sum(money_units(F.col("price"))).alias("spend"),
         F.count("price").alias("priced_items"),
-        F.sum("freight_value").alias("freight"),
+        F.sum(money_units(F.col("freight_value"))).alias("freight"),
     )
 
 
+def _total(units: Column) -> Column:
+    return from_units(F.coalesce(F.sum(units), F.lit(0)))
+
+
+def _mean(units: Column, count: Column) -> Column:
+    return F.try_divide(from_units(F.sum(units)), F.sum(count).cast("double"))
+
+
 def reviews_by_order(reviews: DataFrame) -> DataFrame:
     score = F.col("review_score")
     return reviews.groupBy("order_id").agg(
@@ -78,9 +87,9 @@ def rfm_features(orders: DataFrame, customers: DataFrame, items: DataFrame, cuto
         .agg(
             F.max(PLACED).alias("last_purchase"),
             F.count("*").alias("order_count"),
-            F.coalesce(F.sum("spend"), F.lit(0.0)).alias("total_spend"),
-            F.try_divide(F.sum("spend"), F.sum("priced_items").cast("double")).alias("avg_order_value"),
-            F.coalesce(F.sum("freight"), F.lit(0.0)).alias("total_freight"),
+            _total(F.col("spend")).alias("total_spend"),
+            _mean(F.col("spend"), F.col("priced_items")).alias("avg_order_value"),
+            _total(F.col("freight")).alias("total_freight"),
         )
         .withColumn("recency_days", floor_days(cutoff, F.col("last_purchase")))
     )
@@ -195,11 +204,9 @@ def feature_table(
         .agg(
             F.max(F.when(bought, placed)).alias("last_purchase"),
             F.count_if(bought).alias("order_count"),
-            F.coalesce(F.sum(when_observed("spend")), F.lit(0.0)).alias("total_spend"),
-            F.try_divide(
-                F.sum(when_observed("spend")), F.sum(when_observed("priced_items")).cast("double")
-            ).alias("avg_order_value"),
-            F.coalesce(F.sum(when_observed("freight")), F.lit(0.0)).alias("total_freight"),
+            _total(when_observed("spend")).alias("total_spend"),
+            _mean(when_observed("spend"), when_observed("priced_items")).alias("avg_order_value"),
+            _total(when_observed("freight")).alias("total_freight"),
             F.avg(when_observed("delivery_delay_days")).alias("avg_delivery_delay"),
             F.max(when_observed("delivery_delay_days")).cast("double").alias("max_delivery_delay"),
             F.avg(when_observed("actual_delivery_days")).alias("avg_delivery_days"),

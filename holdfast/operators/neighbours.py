@@ -10,15 +10,20 @@ estimated, but they decide where work is done and not what is found.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdfast.session import materialise
 
+# The helpers below travel with the job, so executors need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MAX_TILES = 4096
 ROW_BLOCK = 256
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from holdfast.functions import money_units
 from holdfast.operators.labels import with_person
 from holdfast.operators.ordering import row_numbers
 from holdfast.session import materialise
@@ -14,9 +15,9 @@ BLOCK = 1024
 
 
 def purchases(orders: DataFrame, customers: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
-    """Units and spend per person, category and product, reduced at the order grain first."""
+    """Items and spend per person, category and product, reduced at the order grain first."""
     per_order = items.groupBy("order_id", "product_id").agg(
-        F.count("*").alias("units"), F.sum("price").alias("spend")
+        F.count("*").alias("units"), F.sum(money_units(F.col("price"))).alias("spend")
     )
     known = products.where(F.col("product_category_name").isNotNull()).select("product_id", "product_category_name")
     return (
@@ -29,7 +30,7 @@ def purchases(orders: DataFrame, customers: DataFrame, items: DataFrame, product
 
 def top_category(bought: DataFrame) -> DataFrame:
     """The category each person spends most in; equal spends go to the first name."""
-    spend = bought.groupBy(KEY, "category").agg(F.round(F.sum("spend"), 4).alias("spend"))
+    spend = bought.groupBy(KEY, "category").agg(F.sum("spend").alias("spend"))
     best = F.min(F.struct((-F.col("spend")).alias("minus_spend"), F.col("category"))).alias("best")
     return spend.groupBy(KEY).agg(best).select(KEY, F.col("best.category").alias("category"))
 
