@@ -105,9 +105,9 @@ def key_hash(seed: int, key: Column) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}|"), key.cast("string")))
 
 
-def hash_unit(seed: int, *cols: Column) -> Column:
-    """Uniform number in [0, 1) that depends only on the seed and the columns."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *cols), 11).cast("double") * F.lit(2.0**-53)
+def hash_unit(seed: int, key: Column) -> Column:
+    """Uniform number in [0, 1) that depends only on the seed and the key (52 digest bits)."""
+    return F.conv(F.substring(key_hash(seed, key), 1, 13), 16, 10).cast("double") / F.lit(16.0**13)
 
 
 def sigmoid(margin: Column) -> Column:

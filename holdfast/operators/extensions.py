@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from holdfast.functions import floor_days, key_hash, safe_ratio
+from holdfast.functions import floor_days, hash_unit, safe_ratio
 from holdfast.operators.labels import PLACED, pre_cutoff, with_person
 from holdfast.sources.schemas import KEY
 
@@ -87,8 +87,7 @@ def seller_churn(labels: DataFrame, orders: DataFrame, customers: DataFrame, ite
 
 def assign_arms(targets: DataFrame, seed: int = 42, treated_share: float = 0.5) -> DataFrame:
     """Experiment arm from the key alone, the same on every run."""
-    digits = F.conv(F.substring(key_hash(seed, F.col(KEY)), 1, 8), 16, 10)
-    share = digits.cast("double") / F.lit(16.0**8)
+    share = hash_unit(seed, F.col(KEY))
     return targets.withColumn("arm", F.when(share < treated_share, "treatment").otherwise("control"))
 
 

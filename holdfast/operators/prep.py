@@ -170,9 +170,9 @@ def smote(
     number = F.col("id")
     draws = train.sparkSession.range(missing).select(
         "id",
-        (F.pmod(F.xxhash64(F.lit(seed), number), F.lit(counts[small])) + 1).alias("_seat"),
-        hash_unit(seed + 1, number).alias("_pick"),
-        hash_unit(seed + 2, number).alias("_along"),
+        (F.floor(hash_unit(seed + 1, number) * counts[small]) + 1).alias("_seat"),
+        hash_unit(seed + 2, number).alias("_pick"),
+        hash_unit(seed + 3, number).alias("_along"),
     )
     at = F.floor(F.col("_pick") * F.size("pool")).cast("int")
     neighbour = F.when(F.size("pool") > 0, F.get("pool", at)).otherwise(F.array(*[F.col(c) for c in columns]))

@@ -106,6 +106,7 @@ RULE_TIER = """CASE WHEN churn_probability >= 0.6 THEN 'High risk' WHEN churn_pr
   ELSE 'Low risk' END"""
 
 MATRIX_COLUMNS = ", ".join(f"coalesce({c}::DOUBLE, 0.0::DOUBLE) AS {c}" for c in CORE9)
+UNIT = "(('0x' || substr(md5('{seed}|' || {key}::VARCHAR), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE)"
 DIGEST = "md5('{seed}|' || customer_unique_id::VARCHAR)"
 
 FEATURES = BASE + f""",
@@ -695,7 +696,7 @@ ORACLE: dict[str, str] = {
 }
 
 ARMS = f"""arms AS (SELECT customer_unique_id, 1 - churned AS retained,
-  CASE WHEN ('0x' || substr({DIGEST.format(seed=42)}, 1, 8))::BIGINT / 4294967296.0::DOUBLE < 0.5
+  CASE WHEN {UNIT.format(seed=42, key='customer_unique_id')} < 0.5
     THEN 'treatment' ELSE 'control' END AS arm FROM tiered WHERE {HIGH})"""
 ORACLE["scored_round_trip"] = ORACLE["tier_kpis"]
 ORACLE["experiment_arms"] = with_(FEATURES + ", " + ARMS, "SELECT customer_unique_id, arm FROM arms")
@@ -710,3 +711,30 @@ ORACLE["ab_lift"] = with_(
       round(pt - pc, 6) AS lift, round((pt - pc) / nullif(sqrt(p * (1 - p) * (1.0::DOUBLE / nt + 1.0::DOUBLE / nc)), 0), 6)
         AS z_statistic FROM rates WHERE nt > 0 AND nc > 0""",
 )
+
+DISTANCE = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in CORE9)
+ORACLE["smote_balanced"] = with_(
+    FEATURES
+    + f""",
+train AS (SELECT * FROM split WHERE split = 'train'),
+parts AS (SELECT label, count(*) AS n FROM train GROUP BY label),
+small AS (SELECT label, n, (SELECT max(n) FROM parts) - n AS missing FROM parts ORDER BY n, label LIMIT 1),
+minority AS (
+  SELECT *, row_number() OVER (ORDER BY {DIGEST.format(seed=42)}, customer_unique_id) AS seat
+  FROM train WHERE label = (SELECT label FROM small)),
+near AS (
+  SELECT seat, other, place, count(*) OVER (PARTITION BY seat) AS pool FROM (
+    SELECT a.seat, b.seat AS other, row_number() OVER (PARTITION BY a.seat ORDER BY {DISTANCE}, b.seat) AS place
+    FROM minority a JOIN minority b ON a.seat <> b.seat) WHERE place <= 5),
+draws AS (
+  SELECT id, floor({UNIT.format(seed=43, key='id')} * (SELECT n FROM small))::BIGINT + 1 AS seat,
+    {UNIT.format(seed=44, key='id')} AS pick, {UNIT.format(seed=45, key='id')} AS along
+  FROM (SELECT unnest(range((SELECT missing FROM small))) AS id)),
+made AS (
+  SELECT 'synthetic-' || id AS customer_unique_id, a.label, {', '.join(f'a.{c} + along * (b.{c} - a.{c}) AS {c}' for c in CORE9)}
+  FROM draws d JOIN near n ON n.seat = d.seat AND n.place = floor(d.pick * n.pool)::BIGINT + 1
+    JOIN minority a ON a.seat = d.seat JOIN minority b ON b.seat = n.other)""",
+    f"""SELECT customer_unique_id::VARCHAR AS customer_unique_id, label, {', '.join(f'round({c}, 6) AS {c}' for c in CORE9)}
+    FROM (SELECT customer_unique_id::VARCHAR AS customer_unique_id, label, {', '.join(CORE9)} FROM train
+      UNION ALL SELECT customer_unique_id, label, {', '.join(CORE9)} FROM made)""",
+)
