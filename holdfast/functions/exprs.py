@@ -93,11 +93,11 @@ def class_name(label: Column) -> Column:
 
 
 def percent_text(value: Column, digits: int = 1) -> Column:
-    return F.format_string(f"%.{digits}f%%", value * 100)
+    return F.format_string(f"%.{digits}f%%", value.cast("double") * 100)
 
 
 def currency_text(value: Column, unit: str = "BRL", digits: int = 0) -> Column:
-    return F.format_string(f"{unit} %.{digits}f", value)
+    return F.format_string(f"{unit} %.{digits}f", value.cast("double"))
 
 
 def key_hash(seed: int, key: Column) -> Column:
