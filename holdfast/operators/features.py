@@ -133,18 +133,19 @@ def category_diversity(
 ) -> DataFrame:
     """Distinct known categories; 0 when all are unknown, no row when no item matches a product.
 
-    Duplicates go at each grain (order, then person), so neither a hot order nor a
-    hot person carries its item rows through the shuffles.
+    Orders hold few repeated categories, so item rows go to their order in one
+    shuffle of two narrow columns instead of being made distinct there first. Both
+    joins meet a unique key, so a hot product or order is split by the adaptive
+    skew join, and a hot person is made distinct before the next shuffle.
     """
     placed = with_person(pre_cutoff(orders, cutoff).select("order_id", "customer_id"), customers)
-    order_categories = (
+    item_categories = (
         items.select("order_id", "product_id")
         .join(products.select("product_id", "product_category_name"), "product_id", "inner")
         .select("order_id", "product_category_name")
-        .distinct()
     )
     return (
-        placed.join(order_categories, "order_id", "inner")
+        placed.join(item_categories, "order_id", "inner")
         .select(KEY, "product_category_name")
         .distinct()
         .groupBy(KEY)

@@ -60,6 +60,16 @@ def linear_score(
     return features.withColumn("churn_probability", F.round(sigmoid(linear_margin(weights, bias)), 6))
 
 
+def _spread(train: DataFrame) -> DataFrame:
+    """Training rows over all cores, placed and ordered by key.
+
+    Fitting passes over the rows many times, so one shuffle up front is repaid by
+    using every core; a fixed placement makes a refit bag the same rows.
+    """
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    return train.repartition(cores, KEY).sortWithinPartitions(KEY)
+
+
 def _vector_stage(columns: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(columns), outputCol="features", handleInvalid="error")
 
@@ -83,7 +93,7 @@ def fit_logistic(
         labelCol="label", maxIter=max_iter, regParam=1.0 / (c * rows), elasticNetParam=0.0, standardization=False
     )
     stages = [_scaling_stage(train, columns), _vector_stage([f"scaled_{f}" for f in columns]), regression]
-    return Pipeline(stages=stages).fit(train)
+    return Pipeline(stages=stages).fit(_spread(train))
 
 
 def fit_forest(
@@ -92,7 +102,7 @@ def fit_forest(
     forest = RandomForestClassifier(
         labelCol="label", numTrees=trees, maxDepth=depth, featureSubsetStrategy="sqrt", seed=seed
     )
-    return Pipeline(stages=[_vector_stage(columns), forest]).fit(train)
+    return Pipeline(stages=[_vector_stage(columns), forest]).fit(_spread(train))
 
 
 def booster(params: dict[str, float], seed: int = SEED) -> GBTClassifier:
@@ -123,7 +133,7 @@ def fit_boosted(
 ) -> PipelineModel:
     params = dict(params or {})
     weighted = with_weight(train, params.pop("scale_pos_weight", 1.0))
-    return Pipeline(stages=[_vector_stage(columns), booster(params, seed)]).fit(weighted)
+    return Pipeline(stages=[_vector_stage(columns), booster(params, seed)]).fit(_spread(weighted))
 
 
 def draw_candidates(space: dict[str, Sequence], n_iter: int, seed: int = SEED) -> list[dict]:
@@ -150,10 +160,8 @@ def random_search(
     on untouched rows; without it ``train`` is taken as already balanced.
     """
     draws = draw_candidates(space, n_iter, seed)
-    folded = materialise(
-        _vector_stage(columns).transform(with_folds(train, cv, seed=seed)).select(KEY, "label", "fold", "features", *columns),
-        "folds",
-    )
+    vectors = _vector_stage(columns).transform(with_folds(train, cv, seed=seed))
+    folded = materialise(_spread(vectors.select(KEY, "label", "fold", "features", *columns)), "folds")
     judge = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC", numBins=0)
     parts = _balanced_parts(folded, columns, cv, seed) if balance_within_fold else None
     scores: dict[int, float] = {}

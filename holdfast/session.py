@@ -20,6 +20,8 @@ def build_session(app_name: str = "holdfast", **conf: str) -> SparkSession:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Call-site capture costs driver round trips for every column expression.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     settings.update({name.replace("__", "."): value for name, value in conf.items()})
     builder = SparkSession.builder.appName(app_name)

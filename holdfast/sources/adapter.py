@@ -10,9 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Columns of the test tables that the order tables are derived from.
+SOURCE_SCHEMAS = {
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz",
+    "customer": "c_custkey long, c_nationkey int",
+    "nation": "n_nationkey int, n_name string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_extendedprice double, l_tax double",
+    "part": "p_partkey long, p_type string",
+}
+
+
 def order_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     def read(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return spark.read.schema(SOURCE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
     source = read("orders")
     key = F.col("o_orderkey")
