@@ -30,6 +30,9 @@ SEARCH_SPACE = {
     "scale_pos_weight": (1, 5, 10),
 }
 
+# Fewer rows than this are not worth a task of their own in a fitting pass.
+ROWS_PER_TASK = 2_000
+
 # A fixed-weight logistic score. It needs no fitting, so every operator that
 # consumes probabilities can be checked exactly in another engine.
 LINEAR_BIAS = -0.6
@@ -61,13 +64,14 @@ def linear_score(
 
 
 def _spread(train: DataFrame) -> DataFrame:
-    """Training rows over all cores, placed and ordered by key.
+    """Training rows over as many cores as they can keep busy, placed and ordered by key.
 
     Fitting passes over the rows many times, so one shuffle up front is repaid by
     using every core; a fixed placement makes a refit bag the same rows.
     """
     cores = train.sparkSession.sparkContext.defaultParallelism
-    return train.repartition(cores, KEY).sortWithinPartitions(KEY)
+    parts = max(1, min(cores, train.count() // ROWS_PER_TASK))
+    return train.repartition(parts, KEY).sortWithinPartitions(KEY)
 
 
 def _vector_stage(columns: Sequence[str]) -> VectorAssembler:

@@ -25,7 +25,7 @@ from holdfast.session import materialise
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MAX_TILES = 4096
-ROW_BLOCK = 256
+ROW_BLOCK = 64
 
 
 def squared_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -66,12 +66,14 @@ def nearest_neighbours(
     k: int,
     tile_rows: int = 2048,
     max_tiles: int = MAX_TILES,
+    block_rows: int = 32_768,
 ) -> DataFrame:
     """The ``k`` nearest other points of every point: (key, position, neighbour, distance, vector).
 
     ``points`` has unique keys, distinct vectors and no nulls. Equal distances are
-    ordered by the neighbour's key. Groups are cut to about ``tile_rows`` rows on
-    either side, so a dense tile becomes more tasks, not a larger one.
+    ordered by the neighbour's key. A tile is searched in blocks of about
+    ``block_rows`` asking and stored points, so a dense or popular tile becomes more
+    tasks, not a larger one.
     """
     names = list(features)
     key_type = points.schema[key].dataType.simpleString()
@@ -84,7 +86,7 @@ def nearest_neighbours(
         *[F.min(f).alias(f"lo_{f}") for f in names],
         *[F.max(f).alias(f"hi_{f}") for f in names],
     )
-    sizes = boxes.select("tile", F.ceil(F.col("n") / tile_rows).cast("int").alias("chunks"))
+    sizes = boxes.select("tile", F.ceil(F.col("n") / block_rows).cast("int").alias("chunks"))
     members = tiled.join(F.broadcast(sizes), "tile").withColumn(
         "chunk", F.pmod(F.xxhash64(key), F.col("chunks")).cast("int")
     )
@@ -124,7 +126,7 @@ def nearest_neighbours(
     routed = materialise(
         bounded.mapInPandas(route, f"`{key}` {key_type}, {columns}, reach double, tile int"), "routed"
     )
-    visits = routed.groupBy("tile").agg(F.ceil(F.count("*") / (4 * tile_rows)).cast("int").alias("parts"))
+    visits = routed.groupBy("tile").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("parts"))
     queries = (
         routed.join(F.broadcast(sizes), "tile")
         .join(F.broadcast(visits), "tile")

@@ -15,6 +15,16 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
 
+SQL_TYPES = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "timestamp_ntz": "TIMESTAMP",
+    "date": "DATE",
+    "boolean": "BOOLEAN",
+}
+
 
 def plain(value):
     if value is None or (isinstance(value, float) and math.isnan(value)):
@@ -38,7 +48,9 @@ def oracle_rows(sf_dir: str, sql: str):
     for table in TABLES:
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{sf_dir}/{table}.parquet')")
     cursor = connection.execute(sql)
-    return rows_of([d[0] for d in cursor.description], cursor.fetchall())
+    names, rows = rows_of([d[0] for d in cursor.description], cursor.fetchall())
+    types = {row[0]: row[1] for row in connection.execute(f"DESCRIBE {sql}").fetchall()}
+    return names, rows, types
 
 
 def same(a, b) -> bool:
@@ -52,9 +64,12 @@ def compare(spark, sf_dir: str, name: str, query, sql: str | None) -> str:
     got_columns, got = rows_of(result.columns, [tuple(r) for r in result.collect()])
     if sql is None:
         return f"rows-only {len(got)}"
-    want_columns, want = oracle_rows(sf_dir, sql)
+    want_columns, want, want_types = oracle_rows(sf_dir, sql)
     if got_columns != want_columns:
         return f"COLUMNS {got_columns} != {want_columns}"
+    types = {c: SQL_TYPES.get(t, t) for c, t in result.dtypes}
+    if types != want_types:
+        return f"TYPES {[(c, types[c], want_types[c]) for c in types if types[c] != want_types[c]]}"
     if len(got) != len(want):
         return f"ROWCOUNT {len(got)} != {len(want)}"
     bad = [(g, w) for g, w in zip(got, want) if not all(same(a, b) for a, b in zip(g, w))]

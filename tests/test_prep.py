@@ -20,10 +20,10 @@ def points(spark, n, seed=0, copies=0):
     return spark.createDataFrame(rows, f"{KEY} string, a double, b double, c double")
 
 
-@pytest.mark.parametrize("tile_rows, max_tiles", [(16, 4096), (64, 8), (4096, 4096)])
-def test_neighbours_equal_brute_force(spark, tile_rows, max_tiles):
+@pytest.mark.parametrize("tile_rows, max_tiles, block_rows", [(16, 4096, 32768), (64, 8, 24), (4096, 4096, 32768)])
+def test_neighbours_equal_brute_force(spark, tile_rows, max_tiles, block_rows):
     df = points(spark, 400).dropDuplicates(COLS)
-    got = nearest_neighbours(df, KEY, COLS, 5, tile_rows, max_tiles).toPandas()
+    got = nearest_neighbours(df, KEY, COLS, 5, tile_rows, max_tiles, block_rows).toPandas()
     pdf = df.toPandas().sort_values(KEY, ignore_index=True)
     x, keys = pdf[COLS].to_numpy(), pdf[KEY].to_numpy()
     gaps = sum((x[:, None, j] - x[None, :, j]) ** 2 for j in range(3))
