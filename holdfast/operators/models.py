@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from holdfast.functions import sigmoid
 from holdfast.operators.prep import SEED, scaling_stats, smote, with_folds
-from holdfast.session import materialise
+from holdfast.session import materialise, shared_root
 from holdfast.sources.schemas import CORE9, KEY
 
 # The search space, by the names of the booster's parameters.
@@ -136,6 +136,7 @@ def fit_boosted(
     train: DataFrame, columns: Sequence[str] = CORE9, params: dict[str, float] | None = None, seed: int = SEED
 ) -> PipelineModel:
     params = dict(params or {})
+    shared_root(train.sparkSession)  # long boosting runs cut their lineage there
     weighted = with_weight(train, params.pop("scale_pos_weight", 1.0))
     return Pipeline(stages=[_vector_stage(columns), booster(params, seed)]).fit(_spread(weighted))
 

@@ -56,11 +56,18 @@ def running_totals(
 
 
 def row_numbers(
-    df: DataFrame, order: Sequence[Column], name: str = "rank", groups: Sequence[str] = ()
+    df: DataFrame,
+    order: Sequence[Column],
+    name: str = "rank",
+    groups: Sequence[str] = (),
+    with_totals: bool = False,
 ) -> DataFrame:
-    """``row_number`` over ``groups``; ``order`` must be total within each group."""
+    """``row_number`` over ``groups``; ``order`` must be total within each group.
+
+    ``with_totals`` also adds the group's row count, as ``<name>_total``.
+    """
     one = f"_one_{name}"
-    return running_totals(df.withColumn(one, F.lit(1)), order, {name: one}, groups).drop(one)
+    return running_totals(df.withColumn(one, F.lit(1)), order, {name: one}, groups, with_totals).drop(one)
 
 
 def tile_of(rank: Column, rows: Column, tiles: int) -> Column:

@@ -170,14 +170,13 @@ def worst_sellers(orders: DataFrame, items: DataFrame, reviews: DataFrame, tiles
         .withColumns({"avg_delay": F.round("avg_delay", 6), "avg_review": F.round("avg_review", 6)})
     )
     by_delay = row_numbers(sellers, [F.desc("avg_delay"), F.col("seller_id")], "delay_rank")
-    ranked = row_numbers(by_delay, [F.col("avg_review"), F.col("seller_id")], "review_rank")
-    total = ranked.agg(F.count("*")).scalar()
+    ranked = row_numbers(by_delay, [F.col("avg_review"), F.col("seller_id")], "review_rank", with_totals=True)
+    total = F.col("review_rank_total")
     return (
-        ranked.withColumn("_n", total)
-        .withColumns(
+        ranked.withColumns(
             {
-                "delay_tile": tile_of(F.col("delay_rank"), F.col("_n"), tiles),
-                "review_tile": tile_of(F.col("review_rank"), F.col("_n"), tiles),
+                "delay_tile": tile_of(F.col("delay_rank"), total, tiles),
+                "review_tile": tile_of(F.col("review_rank"), total, tiles),
             }
         )
         .where((F.col("delay_tile") == 1) | (F.col("review_tile") == 1))
@@ -277,10 +276,10 @@ def recency_band_churn(
 
 def spend_concentration(features: DataFrame, tiles: int = 5) -> DataFrame:
     """Share of spend held by the top tile of people."""
-    ranked = row_numbers(features.select(KEY, "total_spend"), [F.desc("total_spend"), F.col(KEY)], "spend_rank")
-    total = ranked.agg(F.count("*")).scalar()
+    order = [F.desc("total_spend"), F.col(KEY)]
+    ranked = row_numbers(features.select(KEY, "total_spend"), order, "spend_rank", with_totals=True)
     top = F.col("tile") == 1
-    sums = ranked.withColumn("tile", tile_of(F.col("spend_rank"), total, tiles)).agg(
+    sums = ranked.withColumn("tile", tile_of(F.col("spend_rank"), F.col("spend_rank_total"), tiles)).agg(
         F.count_if(top).alias("top_customers"),
         F.sum(F.when(top, F.col("total_spend"))).alias("top_spend"),
         F.sum("total_spend").alias("all_spend"),

@@ -273,6 +273,11 @@ def _survival(s: Study) -> DataFrame:
     return extensions.kaplan_meier(grouped.where(F.col("segment").isNotNull()), "segment")
 
 
+def _state_churn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = Study(order_tables(spark, sf_dir, with_states=True))
+    return extensions.state_churn(s.features(), s.table("orders"), s.table("customers"), s.cutoff)
+
+
 def _experiment(s: Study) -> DataFrame:
     target = s.tiered().where(F.col("risk_tier") == segments.TIER_LABELS[-1])
     return extensions.assign_arms(target).withColumn("retained", 1 - F.col("churned"))
@@ -434,9 +439,7 @@ QUERIES: dict[str, Query] = {
     "one_time_buyers": _study_query(lambda s: labels.one_time_buyers(s.table("orders"), s.table("customers"))),
     # survival, geography, sellers, experiments
     "km_survival": _study_query(_survival),
-    "state_churn": _study_query(
-        lambda s: extensions.state_churn(s.features(), s.table("orders"), s.table("customers"), s.cutoff)
-    ),
+    "state_churn": _state_churn,
     "seller_churn": _study_query(
         lambda s: extensions.seller_churn(
             s.labels(), s.table("orders"), s.table("customers"), s.table("order_items"), s.cutoff

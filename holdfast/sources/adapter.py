@@ -20,7 +20,9 @@ SOURCE_SCHEMAS = {
 }
 
 
-def order_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def order_tables(spark: SparkSession, sf_dir: str, with_states: bool = False) -> dict[str, DataFrame]:
+    """The order tables; people's states cost two joins, so they are added on request."""
+
     def read(name: str) -> DataFrame:
         return spark.read.schema(SOURCE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
@@ -45,14 +47,13 @@ def order_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         promised.alias("order_estimated_delivery_date"),
     )
 
-    people = read("customer").join(
-        read("nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left"
-    ).select("c_custkey", F.col("n_name").alias("customer_state"))
-    customers = source.join(people, F.col("o_custkey") == F.col("c_custkey"), "left").select(
-        key.alias("customer_id"),
-        F.col("o_custkey").alias("customer_unique_id"),
-        "customer_state",
-    )
+    customers = source.select(key.alias("customer_id"), F.col("o_custkey").alias("customer_unique_id"))
+    if with_states:
+        people = read("customer").join(read("nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        states = people.select(
+            F.col("c_custkey").alias("customer_unique_id"), F.col("n_name").alias("customer_state")
+        )
+        customers = customers.join(states, "customer_unique_id", "left")
 
     items = read("lineitem").select(
         F.col("l_orderkey").alias("order_id"),
