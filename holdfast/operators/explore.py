@@ -54,32 +54,30 @@ def correlation_matrix(features: DataFrame, columns: Sequence[str] = (*COMPARED8
     One pass with one set of pairwise sums; rows with either side null are left
     out of that pair, and the diagonal is 1 unless the column is constant.
     """
-    pairs = list(combinations(columns, 2))
     typed = features.select(*[F.col(c).cast("double").alias(c) for c in columns])
 
     def correlation(a: str, b: str):
-        spread = F.sqrt(F.regr_sxx(a, b) * F.regr_syy(a, b))
-        return F.try_divide(F.regr_sxy(a, b), spread)
-
-    def itself(a: str):
-        return F.when(F.stddev_pop(a) > 0, F.lit(1.0))
+        # The sums of one pair leave out rows with either side null.
+        return F.expr(f"try_divide(regr_sxy({a}, {b}), sqrt(regr_sxx({a}, {b}) * regr_syy({a}, {b})))")
 
     row = typed.agg(
-        *[correlation(a, b).alias(f"{a}|{b}") for a, b in pairs],
-        *[itself(a).alias(f"{a}|{a}") for a in columns],
+        *[correlation(a, b).alias(f"{a}|{b}") for a, b in combinations(columns, 2)],
+        *[F.expr(f"CASE WHEN stddev_pop({a}) > 0 THEN 1.0D END").alias(f"{a}|{a}") for a in columns],
+    )
+    names = F.split("pair", "[|]")
+    sides = row.unpivot([], row.columns, "pair", "correlation").select(
+        F.get(names, F.lit(0)).alias("a"), F.get(names, F.lit(1)).alias("b"), F.round("correlation", 6).alias("value")
     )
 
-    def cell(a: str, b: str, source: str):
+    def cell(first: str, second: str):
         return F.struct(
-            F.lit(a).alias("feature_a"),
-            F.lit(b).alias("feature_b"),
-            F.col(f"`{source}`").alias("correlation"),
+            F.col(first).alias("feature_a"), F.col(second).alias("feature_b"), F.col("value").alias("correlation")
         )
 
-    cells = [cell(a, a, f"{a}|{a}") for a in columns]
-    for a, b in pairs:
-        cells += [cell(a, b, f"{a}|{b}"), cell(b, a, f"{a}|{b}")]
-    return row.select(F.inline(F.array(*cells))).withColumn("correlation", F.round("correlation", 6))
+    cells = F.when(F.col("a") == F.col("b"), F.array(cell("a", "b"))).otherwise(
+        F.array(cell("a", "b"), cell("b", "a"))
+    )
+    return sides.select(F.inline(cells))
 
 
 def histogram(df: DataFrame, groups: Sequence[str], value: str, bins: int = 40) -> DataFrame:

@@ -5,7 +5,9 @@ from __future__ import annotations
 import random
 from collections.abc import Iterable, Sequence
 from itertools import product
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -169,8 +171,10 @@ def random_search(
     folded = materialise(_spread(vectors.select(KEY, "label", "fold", "features", *columns)), "folds")
     judge = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC", numBins=0)
     parts = _balanced_parts(folded, columns, cv, seed) if balance_within_fold else None
-    scores: dict[int, float] = {}
-    for weight in sorted({d.get("scale_pos_weight", 1) for d in draws}):
+    weights = sorted({d.get("scale_pos_weight", 1) for d in draws})
+    share = max(1, parallelism // len(weights))
+
+    def judge_weight(weight: float) -> dict[int, float]:
         chosen = [i for i, d in enumerate(draws) if d.get("scale_pos_weight", 1) == weight]
         trees = booster({}, seed)
         maps = [_param_map(trees, draws[i]) for i in chosen]
@@ -181,7 +185,7 @@ def random_search(
                 evaluator=judge,
                 numFolds=cv,
                 foldCol="fold",
-                parallelism=parallelism,
+                parallelism=share,
                 seed=seed,
             )
             averages = search.fit(with_weight(folded, weight)).avgMetrics
@@ -190,7 +194,12 @@ def random_search(
                 sum(judge.evaluate(trees.fit(with_weight(t, weight), m).transform(v)) for t, v in parts) / len(parts)
                 for m in maps
             ]
-        scores.update(zip(chosen, averages))
+        return dict(zip(chosen, averages))
+
+    # Fits are independent jobs; threads only submit them side by side.
+    in_session = inheritable_thread_target(train.sparkSession)
+    with ThreadPool(min(parallelism, len(weights))) as pool:
+        scores = {i: auc for part in pool.map(in_session(judge_weight), weights) for i, auc in part.items()}
     order = sorted(scores, key=lambda i: (-scores[i], i))
     best = fit_boosted(train, columns, draws[order[0]], seed)
     rows = [(i, *[float(draws[i][p]) for p in space], float(scores[i]), order.index(i) + 1) for i in range(len(draws))]
