@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import bpe, packing
+from holdfast.llm import bpe, lines, packing, secrets, shards
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,32 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of known shapes and strings that look random, in every text."""
+    spans = F.col("spans")
+    base = secrets.base_only(spans)
+    return secrets.scan(documents(spark, sf_dir).select("doc_id", "text")).select(
+        "doc_id",
+        *[secrets.count_of(spans, kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.sha2(secrets.listed(base), 256).alias("base_sha256"),
+        secrets.listed(spans).alias("spans"),
+    )
+
+
+def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents along a Hilbert curve over language, source and length, cut into 24 runs."""
+    placed = shards.assign(documents(spark, sf_dir), ["lang", "source", "n_chars"])
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 1024 tokens."""
     pieces = packing.pack(packing.tokenise(documents(spark, sf_dir)))
@@ -41,8 +67,21 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text without the lines that an earlier document holds."""
+    return lines.drop_repeated_lines(documents(spark, sf_dir).select("doc_id", "text")).select(
+        "doc_id",
+        "n_lines",
+        "n_dropped",
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
+    "op4_secrets": op4_secrets,
+    "op5_shards": op5_shards,
     "op7_packing": op7_packing,
+    "op9_lines": op9_lines,
 }
 ORACLE: dict[str, str] = {}
