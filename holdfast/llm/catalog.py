@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import bpe, lines, packing, secrets, shards
+from holdfast.llm import bpe, lines, minhash, packing, secrets, shards, topk, vector_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,20 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best others of every hundredth vector."""
+    return topk.top_k(embeddings(spark, sf_dir), F.col("vec_id") % 100 == 0)
+
+
+def op3_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, component and representative of every vector."""
+    return vector_dedup.near_vectors(embeddings(spark, sf_dir))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of known shapes and strings that look random, in every text."""
     spans = F.col("spans")
@@ -53,6 +67,12 @@ def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of near duplicates of every document; its smallest document is kept."""
+    found = minhash.near_duplicates(documents(spark, sf_dir))
+    return found.withColumn("kept", F.col("doc_id") == F.col("class_id"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 1024 tokens."""
     pieces = packing.pack(packing.tokenise(documents(spark, sf_dir)))
@@ -79,8 +99,11 @@ def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
+    "op2_topk": op2_topk,
+    "op3_vectors": op3_vectors,
     "op4_secrets": op4_secrets,
     "op5_shards": op5_shards,
+    "op6_minhash": op6_minhash,
     "op7_packing": op7_packing,
     "op9_lines": op9_lines,
 }
