@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import bpe, lines, minhash, packing, secrets, shards, topk, vector_dedup
+from holdfast.llm import bpe, language, lines, minhash, packing, quality, secrets, shards, topk, vector_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -87,6 +87,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every text, learned from trusted positives and unlabelled text."""
+    return quality.rate(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text without the lines that an earlier document holds."""
     return lines.drop_repeated_lines(documents(spark, sf_dir).select("doc_id", "text")).select(
@@ -97,6 +102,11 @@ def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text."""
+    return language.identify(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_topk": op2_topk,
@@ -105,6 +115,8 @@ QUERIES: dict[str, Query] = {
     "op5_shards": op5_shards,
     "op6_minhash": op6_minhash,
     "op7_packing": op7_packing,
+    "op8_quality": op8_quality,
     "op9_lines": op9_lines,
+    "op10_language": op10_language,
 }
 ORACLE: dict[str, str] = {}
