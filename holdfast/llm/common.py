@@ -36,6 +36,40 @@ def keep_rows(df: DataFrame, ids: DataFrame, key: str, how: str = "left_semi") -
     return df.join(renamed, df[key] == renamed[name], how)
 
 
+# Words of 64 bits in a sieve: at most so many rows of two numbers, 4 MB, are broadcast whatever the data.
+SIEVE_WORDS = 1 << 18
+
+
+def _sifted(df: DataFrame, key: str, ids: DataFrame, maybe: bool) -> DataFrame:
+    word, bit, mask, bits = (fresh(df, c) for c in ("_word", "_bit", "_mask", "_bits"))
+
+    def marked(table: DataFrame, column: str) -> DataFrame:
+        hashed = F.xxhash64(column)
+        placed = table.withColumns(
+            {word: F.pmod(hashed, F.lit(SIEVE_WORDS)), bit: F.pmod(F.shiftright(hashed, 20), F.lit(64)).cast("int")}
+        )
+        return placed.withColumn(mask, F.expr(f"shiftleft(1L, `{bit}`)")).drop(bit)
+
+    there = marked(ids, ids.columns[0]).groupBy(word).agg(F.bit_or(mask).alias(bits))
+    joined = marked(df, key).join(F.broadcast(there), word, "inner" if maybe else "left")
+    hit = F.col(bits).bitwiseAND(F.col(mask)) != 0
+    return joined.where(hit if maybe else ~F.coalesce(hit, F.lit(False))).select(*df.columns)
+
+
+def sieve(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose key may be in the one-column table ``ids``, without moving ``df``.
+
+    Keys are hashed to one of 16 million bits. All rows whose key is there pass, others
+    only by chance, so a join after it shuffles little as long as ``ids`` are few, and loses nothing if they aren't.
+    """
+    return _sifted(df, key, ids, True)
+
+
+def without(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose key isn't in the one-column table ``ids``; only those that pass the sieve are joined."""
+    return _sifted(df, key, ids, False).union(keep_rows(sieve(df, key, ids), ids, key, "left_anti"))
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for undirected ``links`` (a, b): the smallest node each node can reach.
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from holdfast.llm.common import components, fresh, keep_rows, two_hashes
+from holdfast.llm.common import components, keep_rows, sieve, two_hashes, without
 from holdfast.session import materialise
 
 WORDS = 5
@@ -154,15 +154,17 @@ def _bucket_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     Buckets are reduced to a count and two documents; none is ever listed.
     """
     who = F.struct("doc", "n")
-    buckets = (
+    buckets = materialise(
         members.groupBy("bucket")
         .agg(F.count("*").alias("members"), F.min(who).alias("lowest"), F.max(who).alias("highest"))
-        .where("members > 1")
+        .where("members > 1"),
+        "buckets",
     )
     twos = buckets.where("members = 2").select(
         F.col("lowest.doc").alias("a"), F.col("lowest.n").alias("n_a"), F.col("highest.doc").alias("b"), F.col("highest.n").alias("n_b")
     )
-    larger = members.join(buckets.where("members > 2").select("bucket", "lowest"), "bucket")
+    large = buckets.where("members > 2").select("bucket", "lowest")
+    larger = materialise(sieve(members, "bucket", large.select("bucket")).join(large, "bucket"), "larger")
     stars = larger.select(
         F.col("lowest.doc").alias("a"), F.col("lowest.n").alias("n_a"), F.col("doc").alias("b"), F.col("n").alias("n_b")
     )
@@ -186,14 +188,16 @@ def near_pairs(signed: DataFrame, threshold: float, bands: int, rows: int) -> Da
     )
     dealt = (
         larger.select("doc", "n", "band", "bucket")
-        .join(signed.select("doc", "signature"), "doc")
+        .join(sieve(signed.select("doc", "signature"), "doc", larger.select("doc")), "doc")
         .select("doc", "n", F.explode(finer).alias("bucket"))
     )
     both = pairs.union(_bucket_pairs(dealt)[0])
     # A set can only be this similar to one of nearly its own size.
     fits = F.least("n_a", "n_b") >= F.lit(threshold) * F.greatest("n_a", "n_b")
-    found = both.where((F.col("a") < F.col("b")) & fits).select("a", "b").distinct()
-    left, right = (signed.select(F.col("doc").alias(c), signature.alias(f"s_{c}")) for c in ("a", "b"))
+    found = materialise(both.where((F.col("a") < F.col("b")) & fits).select("a", "b").distinct(), "candidates")
+    left, right = (
+        sieve(signed, "doc", found.select(c)).select(F.col("doc").alias(c), signature.alias(f"s_{c}")) for c in ("a", "b")
+    )
     alike = F.size(F.filter(F.arrays_zip("s_a", "s_b"), lambda s: s["s_a"] == s["s_b"]))
     return found.join(left, "a").join(right, "b").where(alike >= (threshold - MARGIN) * bands * rows).select("a", "b")
 
@@ -211,19 +215,18 @@ def near_duplicates(
     Two documents are linked if the Jaccard similarity of their distinct shingles of five words (lower
     case, cut at white space; fewer words are one shingle) is at least ``threshold``, which is checked exactly. Equal
     texts are one document for all of this. Pairs are found if they share a band of the signature: at 0.8 all but
-    3 in 10,000, at 0.9 all but 2 in 100 million. Null, empty and blank texts are linked with nothing, rows without a key have
-    no class, repeated rows stay, rows of one key are one document, other columns are left out.
+    4 in 10,000, at 0.9 all but 2 in 100 million. Null, empty and blank texts have no words and are copies of one another, rows
+    without a key have no class, repeated rows stay, rows of one key are one document, other columns are left out.
     """
     k = bands * rows
     source = df.select(F.col(key).alias("doc"), F.col(text).cast("string").alias("text"))
     hashed = source.select("doc", words_of(F.col("text")).alias("words"))
     one, two = two_hashes(F.col("words"))
-    known = F.size("words") > 0
-    hashed = hashed.select("doc", F.when(known, one).alias("h1"), F.when(known, two).alias("h2"), "words")
+    hashed = hashed.select("doc", one.alias("h1"), two.alias("h2"), "words")
     fields = [T.StructField("n", T.IntegerType()), T.StructField("signature", T.ArrayType(T.IntegerType()))]
     signed = materialise(_by_document(hashed, lambda words: _signed(words, k), fields), "signed")
     texts = (
-        signed.where("doc IS NOT NULL AND h1 IS NOT NULL")
+        signed.where("doc IS NOT NULL")
         .groupBy("h1", "h2")
         .agg(F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("signature").alias("signature"))
     )
@@ -232,9 +235,9 @@ def near_duplicates(
     one_each = (
         texts.groupBy("doc").agg(F.min_by(F.struct("n", "signature"), F.struct("h1", "h2")).alias("t")).select("doc", "t.*")
     )
-    pairs = materialise(near_pairs(one_each, threshold, bands, rows), "pairs")
+    pairs = materialise(near_pairs(one_each.where("n > 0"), threshold, bands, rows), "pairs")
     ids = pairs.select("a").union(pairs.select("b")).distinct()
-    wanted = keep_rows(source.where("doc IS NOT NULL"), ids, "doc").select("doc", words_of(F.col("text")).alias("words"))
+    wanted = keep_rows(sieve(source, "doc", ids), ids, "doc").select("doc", words_of(F.col("text")).alias("words"))
     words = wanted.groupBy("doc").agg(F.min_by("words", F.struct(*two_hashes(F.col("words")))).alias("words"))
     fields = [T.StructField("shingles", T.ArrayType(T.LongType()))]
     sets = materialise(_by_document(words, lambda w: (shingles(w).view(np.int64),), fields), "shingles")
@@ -258,4 +261,4 @@ def first_of_each(df: DataFrame, text: str = "text", key: str = "doc_id", **sett
     """The rows of ``df`` whose key is that of their class, and rows without a key; all columns."""
     found = near_duplicates(df, text, key, **settings)
     others = found.where(F.col("class_id") < F.col(key)).select(key).distinct()
-    return keep_rows(df, others, key, "left_anti")
+    return without(df, key, materialise(others, "later-copies"))
