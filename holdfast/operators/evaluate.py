@@ -66,9 +66,9 @@ def classification_report(scored: DataFrame, threshold: float | None = 0.5) -> D
     def line(name: str, precision: Column, recall: Column, f1: Column, support: Column) -> Column:
         return F.struct(
             F.lit(name).alias("class_name"),
-            F.round(precision, 6).alias("precision"),
-            F.round(recall, 6).alias("recall"),
-            F.round(f1, 6).alias("f1_score"),
+            precision.alias("precision"),
+            recall.alias("recall"),
+            f1.alias("f1_score"),
             support.alias("support"),
         )
 
@@ -119,9 +119,9 @@ def roc_auc(scored: DataFrame) -> DataFrame:
             "model",
             "positives",
             "negatives",
-            F.round(
-                F.try_divide(F.col("wins"), F.col("positives").cast("double") * F.col("negatives").cast("double")), 6
-            ).alias("roc_auc"),
+            F.try_divide(F.col("wins"), F.col("positives").cast("double") * F.col("negatives").cast("double")).alias(
+                "roc_auc"
+            ),
         )
     )
 
@@ -144,8 +144,8 @@ def roc_curve(scored: DataFrame, drop_intermediate: bool = False) -> DataFrame:
     rated = points.select(
         "model",
         "threshold",
-        F.round(safe_ratio(F.col("fp"), F.col("all_neg")), 6).alias("fpr"),
-        F.round(safe_ratio(F.col("tp"), F.col("all_pos")), 6).alias("tpr"),
+        safe_ratio(F.col("fp"), F.col("all_neg")).alias("fpr"),
+        safe_ratio(F.col("tp"), F.col("all_pos")).alias("tpr"),
     )
     starts = points.groupBy("model").agg(
         F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
@@ -206,8 +206,8 @@ def precision_recall_curve(scored: DataFrame, closing_point: bool = True) -> Dat
     points = _descending(scored).select(
         "model",
         F.col("probability").alias("threshold"),
-        F.round(F.coalesce(safe_ratio(F.col("tp"), F.col("tp") + F.col("fp")), F.lit(0.0)), 6).alias("precision"),
-        F.round(F.coalesce(safe_ratio(F.col("tp"), F.col("all_pos")), F.lit(1.0)), 6).alias("recall"),
+        F.coalesce(safe_ratio(F.col("tp"), F.col("tp") + F.col("fp")), F.lit(0.0)).alias("precision"),
+        F.coalesce(safe_ratio(F.col("tp"), F.col("all_pos")), F.lit(1.0)).alias("recall"),
     )
     if not closing_point:
         return points

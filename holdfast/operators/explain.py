@@ -54,7 +54,7 @@ def shap_importance(shap: DataFrame, n: int | None = None) -> DataFrame:
     """Features by mean absolute Shapley value, largest first."""
     ranked = (
         shap.groupBy("feature")
-        .agg(F.round(F.avg(F.abs("shap")), 6).alias("mean_abs_shap"))
+        .agg(F.avg(F.abs("shap")).alias("mean_abs_shap"))
         .orderBy(F.desc("mean_abs_shap"), "feature")
     )
     return ranked if n is None else ranked.limit(n)
@@ -81,7 +81,7 @@ def shap_summary(shap: DataFrame) -> DataFrame:
         "feature",
         "value",
         "shap",
-        F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), place)), 6).alias("colour"),
+        F.greatest(F.lit(0.0), F.least(F.lit(1.0), place)).alias("colour"),
     )
 
 

@@ -16,7 +16,7 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     """Count and share of each non-null value."""
     counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("rows"))
     total = counts.agg(F.sum("rows")).scalar()
-    return counts.withColumn("share", F.round(F.col("rows") / total, 6)).orderBy(F.desc("rows"), column)
+    return counts.withColumn("share", F.col("rows") / total).orderBy(F.desc("rows"), column)
 
 
 def class_balance(features: DataFrame) -> DataFrame:
@@ -66,7 +66,7 @@ def correlation_matrix(features: DataFrame, columns: Sequence[str] = (*COMPARED8
     )
     names = F.split("pair", "[|]")
     sides = row.unpivot([], row.columns, "pair", "correlation").select(
-        F.get(names, F.lit(0)).alias("a"), F.get(names, F.lit(1)).alias("b"), F.round("correlation", 6).alias("value")
+        F.get(names, F.lit(0)).alias("a"), F.get(names, F.lit(1)).alias("b"), F.col("correlation").alias("value")
     )
 
     def cell(first: str, second: str):
@@ -110,9 +110,9 @@ def histogram(df: DataFrame, groups: Sequence[str], value: str, bins: int = 40)
     return frame.join(counts, [*groups, "bin"], "left").select(
         *groups,
         "bin",
-        F.round(F.col("lo") + F.col("bin") * width, 6).alias("bin_start"),
+        (F.col("lo") + F.col("bin") * width).alias("bin_start"),
         F.coalesce("rows", F.lit(0)).alias("rows"),
-        F.round(safe_ratio(F.coalesce("rows", F.lit(0)), F.col("total") * width), 9).alias("density"),
+        safe_ratio(F.coalesce("rows", F.lit(0)), F.col("total") * width).alias("density"),
     )
 
 

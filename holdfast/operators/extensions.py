@@ -39,7 +39,7 @@ def kaplan_meier(lives: DataFrame, group: str) -> DataFrame:
         .withColumn("log_stay", F.when(stays > 0, F.log(stays)).otherwise(0.0))
         .withColumn("died_out", F.max(F.when(stays > 0, 0).otherwise(1)).over(sofar))
         .withColumn("survival", F.when(F.col("died_out") == 1, 0.0).otherwise(F.exp(F.sum("log_stay").over(sofar))))
-        .select(group, "duration", "at_risk", "events", F.round("survival", 6).alias("survival"))
+        .select(group, "duration", "at_risk", "events", "survival")
     )
 
 
@@ -57,8 +57,8 @@ def state_churn(features: DataFrame, orders: DataFrame, customers: DataFrame, cu
         .groupBy("customer_state")
         .agg(
             F.count("*").alias("customers"),
-            F.round(F.avg("churned"), 6).alias("churn_rate"),
-            F.round(F.avg("avg_delivery_delay"), 6).alias("avg_delay"),
+            F.avg("churned").alias("churn_rate"),
+            F.avg("avg_delivery_delay").alias("avg_delay"),
         )
     )
 
@@ -79,7 +79,7 @@ def seller_churn(labels: DataFrame, orders: DataFrame, customers: DataFrame, ite
         .agg(
             F.count("*").alias("buyers"),
             F.sum("churned").alias("churned_buyers"),
-            F.round(F.avg("churned"), 6).alias("churn_rate"),
+            F.avg("churned").alias("churn_rate"),
         )
         .orderBy(F.desc("churn_rate"), "seller_id")
     )
@@ -108,8 +108,8 @@ def lift_readout(assigned: DataFrame, outcome: str = "retained") -> DataFrame:
     return sums.where((c("n_t") > 0) & (c("n_c") > 0)).select(
         c("n_t").alias("treated"),
         c("n_c").alias("controls"),
-        F.round(p_t, 6).alias("treated_rate"),
-        F.round(p_c, 6).alias("control_rate"),
-        F.round(p_t - p_c, 6).alias("lift"),
-        F.round(F.try_divide(p_t - p_c, error), 6).alias("z_statistic"),
+        p_t.alias("treated_rate"),
+        p_c.alias("control_rate"),
+        (p_t - p_c).alias("lift"),
+        F.try_divide(p_t - p_c, error).alias("z_statistic"),
     )

@@ -21,7 +21,7 @@ def delivered_ratio(orders: DataFrame) -> DataFrame:
     return orders.agg(
         F.count_if(F.col("order_status") == "delivered").alias("delivered_orders"),
         F.count("*").alias("total_orders"),
-        F.round(fraction(F.col("order_status") == "delivered"), 6).alias("delivered_share"),
+        fraction(F.col("order_status") == "delivered").alias("delivered_share"),
     )
 
 
@@ -97,7 +97,7 @@ def churn_rate(labels: DataFrame) -> DataFrame:
     return labels.agg(
         F.count("*").alias("customers"),
         F.sum("churned").alias("churned_customers"),
-        F.round(F.avg("churned"), 6).alias("churn_rate"),
+        F.avg("churned").alias("churn_rate"),
     )
 
 
@@ -107,5 +107,5 @@ def one_time_buyers(orders: DataFrame, customers: DataFrame) -> DataFrame:
     return per_person.agg(
         F.count("*").alias("customers"),
         F.count_if(F.col("count") == 1).alias("one_time_customers"),
-        F.round(fraction(F.col("count") == 1), 6).alias("one_time_share"),
+        fraction(F.col("count") == 1).alias("one_time_share"),
     )

@@ -7,11 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from holdfast.functions import safe_ratio
+from holdfast.functions import from_units, money_units, safe_ratio
 from holdfast.operators.features import BAD_SCORE, delivery_measures, reviews_by_order
 from holdfast.operators.labels import delivered_orders, with_person
 from holdfast.operators.ordering import quantiles, row_numbers, tile_of
 from holdfast.operators.segments import TIER_LABELS, churn_by_bin
+from holdfast.session import materialise
 from holdfast.sources.schemas import KEY
 
 HIGH_PROBABILITY = 0.6
@@ -154,7 +155,11 @@ def vip_target(scored: DataFrame, top_share: float = 0.2, probability: float = H
 
 
 def worst_sellers(orders: DataFrame, items: DataFrame, reviews: DataFrame, tiles: int = 10) -> DataFrame:
-    """Sellers in the worst tile by mean delay or by mean review; an order counts once per seller."""
+    """Sellers in the worst tile by mean delay or by mean review; an order counts once per seller.
+
+    Each list ranks the sellers that have its measure: one without reviews can still be among the
+    latest, with a null review tile, and the other way round.
+    """
     per_order = delivery_measures(delivered_orders(orders)).select("order_id", "delivery_delay_days")
     pairs = items.select("seller_id", "order_id").distinct()
     sellers = (
@@ -166,19 +171,17 @@ def worst_sellers(orders: DataFrame, items: DataFrame, reviews: DataFrame, tiles
             F.avg("delivery_delay_days").alias("avg_delay"),
             F.try_divide(F.sum("score_sum").cast("double"), F.sum("scores").cast("double")).alias("avg_review"),
         )
-        .where(F.col("avg_delay").isNotNull() & F.col("avg_review").isNotNull())
-        .withColumns({"avg_delay": F.round("avg_delay", 6), "avg_review": F.round("avg_review", 6)})
     )
-    by_delay = row_numbers(sellers, [F.desc("avg_delay"), F.col("seller_id")], "delay_rank")
-    ranked = row_numbers(by_delay, [F.col("avg_review"), F.col("seller_id")], "review_rank", with_totals=True)
-    total = F.col("review_rank_total")
+    sellers = materialise(sellers, "sellers")
+
+    def tiled(measure: str, order: Column, name: str) -> DataFrame:
+        known = sellers.where(F.col(measure).isNotNull()).select("seller_id", measure)
+        ranked = row_numbers(known, [order, F.col("seller_id")], "place", with_totals=True)
+        return ranked.select("seller_id", tile_of(F.col("place"), F.col("place_total"), tiles).alias(name))
+
     return (
-        ranked.withColumns(
-            {
-                "delay_tile": tile_of(F.col("delay_rank"), total, tiles),
-                "review_tile": tile_of(F.col("review_rank"), total, tiles),
-            }
-        )
+        sellers.join(tiled("avg_delay", F.desc("avg_delay"), "delay_tile"), "seller_id", "left")
+        .join(tiled("avg_review", F.col("avg_review"), "review_tile"), "seller_id", "left")
         .where((F.col("delay_tile") == 1) | (F.col("review_tile") == 1))
         .select("seller_id", "orders", "avg_delay", "avg_review", "delay_tile", "review_tile")
     )
@@ -199,9 +202,9 @@ def _two_rates(features: DataFrame, exposed: Column, baseline: Column) -> DataFr
     return rates.select(
         "exposed_customers",
         "baseline_customers",
-        F.round("exposed_rate", 6).alias("exposed_rate"),
-        F.round("baseline_rate", 6).alias("baseline_rate"),
-        F.round(safe_ratio(F.col("exposed_rate"), F.col("baseline_rate")), 6).alias("churn_ratio"),
+        "exposed_rate",
+        "baseline_rate",
+        safe_ratio(F.col("exposed_rate"), F.col("baseline_rate")).alias("churn_ratio"),
     )
 
 
@@ -222,12 +225,9 @@ def review_slope(features: DataFrame) -> DataFrame:
     """Change of churn per review point, by least squares."""
     return features.agg(
         F.regr_count("churned", "avg_review_score").alias("customers"),
-        F.round(
-            F.try_divide(
-                F.regr_sxy(F.col("churned").cast("double"), F.col("avg_review_score")),
-                F.regr_sxx(F.col("churned").cast("double"), F.col("avg_review_score")),
-            ),
-            6,
+        F.try_divide(
+            F.regr_sxy(F.col("churned").cast("double"), F.col("avg_review_score")),
+            F.regr_sxx(F.col("churned").cast("double"), F.col("avg_review_score")),
         ).alias("churn_per_review_point"),
     )
 
@@ -243,7 +243,7 @@ def review_jump(features: DataFrame) -> DataFrame:
     # One row per band: five at most.
     step = F.col("rate") - F.lag("rate").over(Window.orderBy("review_band"))
     return rates.select(
-        "review_band", "customers", F.round("rate", 6).alias("churn_rate"), F.round(step, 6).alias("jump")
+        "review_band", "customers", F.col("rate").alias("churn_rate"), step.alias("jump")
     )
 
 
@@ -252,19 +252,23 @@ def spend_insight(features: DataFrame, threshold: float = 300.0) -> DataFrame:
     spend, churned = F.col("total_spend"), F.col("churned").cast("double")
     return features.agg(
         F.count_if(spend > threshold).alias("high_spenders"),
-        F.round(F.avg(F.when(spend > threshold, churned)), 6).alias("high_spend_rate"),
-        F.round(F.avg(F.when(spend <= threshold, churned)), 6).alias("low_spend_rate"),
-        F.round(
-            F.try_divide(F.regr_sxy(churned, spend), F.sqrt(F.regr_sxx(churned, spend) * F.regr_syy(churned, spend))),
-            6,
+        F.avg(F.when(spend > threshold, churned)).alias("high_spend_rate"),
+        F.avg(F.when(spend <= threshold, churned)).alias("low_spend_rate"),
+        F.try_divide(
+            F.regr_sxy(churned, spend), F.sqrt(F.regr_sxx(churned, spend) * F.regr_syy(churned, spend))
         ).alias("spend_churn_correlation"),
     )
 
 
 def category_insight(features: DataFrame) -> DataFrame:
+    """Churn by the number of known categories; people none of whose items has one are a group of their own."""
+    kinds = F.col("category_diversity")
     return features.groupBy(
-        F.when(F.col("category_diversity") > 1, "several categories").otherwise("one category").alias("categories")
-    ).agg(F.count("*").alias("customers"), F.round(F.avg("churned"), 6).alias("churn_rate"))
+        F.when(kinds > 1, "several categories")
+        .when(kinds == 1, "one category")
+        .otherwise("no known category")
+        .alias("categories")
+    ).agg(F.count("*").alias("customers"), F.avg("churned").alias("churn_rate"))
 
 
 def recency_band_churn(
@@ -281,12 +285,12 @@ def spend_concentration(features: DataFrame, tiles: int = 5) -> DataFrame:
     top = F.col("tile") == 1
     sums = ranked.withColumn("tile", tile_of(F.col("spend_rank"), F.col("spend_rank_total"), tiles)).agg(
         F.count_if(top).alias("top_customers"),
-        F.sum(F.when(top, F.col("total_spend"))).alias("top_spend"),
-        F.sum("total_spend").alias("all_spend"),
+        from_units(F.sum(F.when(top, money_units(F.col("total_spend"))))).alias("top_spend"),
+        from_units(F.sum(money_units(F.col("total_spend")))).alias("all_spend"),
     )
     return sums.select(
         "top_customers",
-        F.round("top_spend", 2).alias("top_spend"),
-        F.round("all_spend", 2).alias("all_spend"),
-        F.round(safe_ratio(F.col("top_spend"), F.col("all_spend")), 6).alias("top_share"),
+        "top_spend",
+        "all_spend",
+        safe_ratio(F.col("top_spend"), F.col("all_spend")).alias("top_share"),
     )

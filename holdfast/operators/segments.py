@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.functions import currency_text, cut, cut_ordinal, percent_text
+from holdfast.functions import currency_text, cut, cut_ordinal, from_units, money_units, percent_text
 from holdfast.operators.explore import histogram
 from holdfast.sources.schemas import KEY
 
@@ -80,7 +80,7 @@ def churn_by_bin(
     ordinal = cut_ordinal(F.col(value), edges, include_lowest=include_lowest)
     rates = (
         features.groupBy(ordinal.alias("ordinal"))
-        .agg(F.count("*").alias("customers"), F.round(F.avg("churned"), 6).alias("churn_rate"))
+        .agg(F.count("*").alias("customers"), F.avg("churned").alias("churn_rate"))
         .where(F.col("ordinal").isNotNull())
     )
     return (
@@ -127,7 +127,7 @@ def tier_counts(tiered: DataFrame) -> DataFrame:
 
 
 def tier_spend(tiered: DataFrame) -> DataFrame:
-    return _by_tier(tiered, F.round(F.avg("total_spend"), 4).alias("avg_spend"))
+    return _by_tier(tiered, F.try_divide(from_units(F.sum(money_units(F.col("total_spend")))), F.count("total_spend")).alias("avg_spend"))
 
 
 def tier_kpis(tiered: DataFrame) -> DataFrame:
@@ -142,12 +142,12 @@ def tier_kpis(tiered: DataFrame) -> DataFrame:
 
 def revenue_at_risk(tiered: DataFrame) -> DataFrame:
     """Spend weighted by churn probability, per tier."""
-    expected = F.sum(F.col("churn_probability") * F.col("total_spend"))
+    spend = F.col("total_spend")
     return _by_tier(
         tiered,
         F.count("*").alias("customers"),
-        F.round(F.sum("total_spend"), 2).alias("total_spend"),
-        F.round(expected, 2).alias("revenue_at_risk"),
+        from_units(F.sum(money_units(spend))).alias("total_spend"),
+        from_units(F.sum(money_units(F.col("churn_probability") * spend))).alias("revenue_at_risk"),
     )
 
 
@@ -181,7 +181,7 @@ def monthly_churn_trend(scored: DataFrame) -> DataFrame:
         scored.groupBy(F.date_trunc("month", "last_purchase").cast("date").alias("month"))
         .agg(
             F.count("*").alias("customers"),
-            F.round(F.avg("churn_probability"), 6).alias("predicted_churn_rate"),
+            F.avg("churn_probability").alias("predicted_churn_rate"),
         )
         .orderBy("month")
     )

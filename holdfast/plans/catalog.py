@@ -22,7 +22,17 @@ from holdfast.sources.schemas import CORE9, FULL13, KEY
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-DIGITS = {"total_spend": 2, "total_freight": 4}
+# Decimals shown, where they aren't six; queries that choose their own are left alone.
+DIGITS = {
+    "total_spend": 2,
+    "total_freight": 4,
+    "avg_spend": 4,
+    "revenue_at_risk": 2,
+    "top_spend": 2,
+    "all_spend": 2,
+    "density": 12,
+}
+OWN_DIGITS = ("smote_balanced", "scaled_features", "linear_shap", "shap_summary", "range_violations")
 FLOATS = [c for c in FULL13 if c not in ("recency_days", "order_count", "category_diversity")]
 
 # Fixed-weight scores that stand in for three models in comparisons.
@@ -67,9 +77,17 @@ def _on_tiered(operator) -> Query:
 # Tables, labels and features
 
 
+SQL_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP"}
+
+
+def _sql_types(profiled: DataFrame) -> DataFrame:
+    """Column types by their SQL names."""
+    return profiled.replace(SQL_TYPES, subset=["data_type"])
+
+
 def _table_profile(s: Study) -> DataFrame:
     named = {name: s.table(name) for name in ("orders", "order_items", "order_reviews")}
-    return profile.profile_tables(named).drop("data_type")
+    return _sql_types(profile.profile_tables(named))
 
 
 def _orders_at(s: Study, pick) -> DataFrame:
@@ -138,7 +156,7 @@ def _diversity(s: Study) -> DataFrame:
 
 def _feature_profile(s: Study) -> DataFrame:
     wide = s.features().select(*FULL13, "churned")
-    return profile.table_profile(wide, "features").drop("data_type")
+    return _sql_types(profile.table_profile(wide, "features"))
 
 
 def _csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -215,7 +233,7 @@ def _rounded_shap(s: Study) -> DataFrame:
 
 def _shap_summary(s: Study) -> DataFrame:
     shap = materialise(_linear_shap(s), "shap")
-    return rounded(explain.shap_summary(shap), ["value", "shap"])
+    return rounded(explain.shap_summary(shap), ["value", "shap", "colour"])
 
 
 # Scored customers
@@ -238,8 +256,11 @@ def _actions(scored: DataFrame) -> DataFrame:
 
 
 def _top_display(tiered: DataFrame) -> DataFrame:
+    predicted = evaluate.hard_prediction(F.col("churn_probability"))
     return segments.top_at_risk(tiered).select(
-        KEY, class_name(F.lit(1)).alias("predicted_class"), currency_text(F.round("total_spend", 2)).alias("spend_text")
+        KEY,
+        class_name(predicted).alias("predicted_class"),
+        currency_text(F.round("total_spend", 2)).alias("spend_text"),
     )
 
 
@@ -268,9 +289,11 @@ def _suggestions(s: Study) -> DataFrame:
 
 def _survival(s: Study) -> DataFrame:
     lives = extensions.customer_lifetimes(s.table("orders"), s.table("customers"), s.labels(), s.cutoff)
-    segment = segments.cut(F.col("avg_delivery_delay"), segments.DELAY_EDGES, segments.DELAY_LABELS)
+    # The outer edges are open, so that nobody's lifetime is left out.
+    edges = [float("-inf"), *segments.DELAY_EDGES[1:-1], float("inf")]
+    segment = segments.cut(F.col("avg_delivery_delay"), edges, segments.DELAY_LABELS)
     grouped = lives.join(s.features().select(KEY, segment.alias("segment")), KEY, "inner")
-    return extensions.kaplan_meier(grouped.where(F.col("segment").isNotNull()), "segment")
+    return extensions.kaplan_meier(grouped, "segment")
 
 
 def _state_churn(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -405,6 +428,7 @@ QUERIES: dict[str, Query] = {
     "scored_round_trip": _scored_round_trip,
     "top10_high_risk": _on_tiered(lambda t: rounded(segments.top_at_risk(t))),
     "top10_display": _on_tiered(_top_display),
+    "top10_text": _on_tiered(segments.top_at_risk_text),
     "probability_histogram": _on_scored(segments.probability_histogram),
     "monthly_churn_trend": _on_scored(
         lambda scored: segments.monthly_churn_trend(scored).withColumn("month", F.col("month").cast("string"))
@@ -458,3 +482,17 @@ QUERIES: dict[str, Query] = {
     "tree_shap": _study_query(_tree_shap),
     "batch_scores": _batch_scores,
 }
+
+
+def _shown(query: Query) -> Query:
+    """The query with its floating-point columns rounded; operators themselves don't round."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        found = query(spark, sf_dir)
+        doubles = [c for c, kind in found.dtypes if kind == "double"]
+        return found.withColumns({c: F.round(c, DIGITS.get(c, 6)) for c in doubles}) if doubles else found
+
+    return run
+
+
+QUERIES = {name: query if name in OWN_DIGITS else _shown(query) for name, query in QUERIES.items()}

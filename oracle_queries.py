@@ -2,10 +2,67 @@
 
 from __future__ import annotations
 
-from holdfast.operators.models import LINEAR_BIAS, LINEAR_WEIGHTS
-from holdfast.operators.retention import CAMPAIGN_DAYS, INPUT_RULES
-from holdfast.plans.catalog import RIVAL_SCORES
-from holdfast.sources.schemas import COMPARED8, CORE9, FULL13
+# Fixed values, written out here so that an error in the library's own can show.
+COMPARED8 = (
+    "recency_days",
+    "order_count",
+    "total_spend",
+    "avg_order_value",
+    "avg_delivery_delay",
+    "pct_late_orders",
+    "avg_review_score",
+    "pct_bad_reviews",
+)
+CORE9 = (*COMPARED8, "category_diversity")
+FULL13 = (
+    "recency_days",
+    "order_count",
+    "total_spend",
+    "avg_order_value",
+    "total_freight",
+    "avg_delivery_delay",
+    "max_delivery_delay",
+    "avg_delivery_days",
+    "pct_late_orders",
+    "avg_review_score",
+    "min_review_score",
+    "pct_bad_reviews",
+    "category_diversity",
+)
+LINEAR_BIAS = -0.6
+LINEAR_WEIGHTS = {
+    "recency_days": 0.004,
+    "order_count": -0.25,
+    "total_spend": -0.0000005,
+    "avg_order_value": 0.000005,
+    "avg_delivery_delay": 0.06,
+    "pct_late_orders": 0.5,
+    "avg_review_score": -0.1,
+    "pct_bad_reviews": 0.4,
+    "category_diversity": 0.05,
+}
+RIVAL_SCORES = {
+    "all features": LINEAR_WEIGHTS,
+    "recency": {"recency_days": 0.004, "order_count": -0.25},
+    "service": {"avg_delivery_delay": 0.2, "avg_review_score": -0.3, "pct_bad_reviews": 0.8},
+}
+# Lowest and highest accepted value of each input field, and its default.
+INPUT_RULES = {
+    "recency_days": (0, 365, 90),
+    "order_count": (1, None, 2),
+    "total_spend": (0.0, None, 150.0),
+    "avg_order_value": (0.0, None, 75.0),
+    "total_freight": (0.0, None, 20.0),
+    "avg_delivery_delay": (-10, 30, 0),
+    "max_delivery_delay": (-10, 60, 0),
+    "avg_delivery_days": (1, 60, 12),
+    "pct_late_orders": (0.0, 1.0, 0.2),
+    "avg_review_score": (1.0, 5.0, 4.0),
+    "min_review_score": (1, 5, 3),
+    "pct_bad_reviews": (0.0, 1.0, 0.0),
+    "category_diversity": (1, 10, 2),
+}
+CAMPAIGN_DAYS = {60: 0, 75: 15, 89: 15}
 
 DAY = "86400000000.0"
 
@@ -242,7 +299,7 @@ def histogram(source: str, groups: str, value: str) -> str:
     FROM {source} {bounds} WHERE {value} IS NOT NULL GROUP BY ALL),
   frame AS (SELECT {keys}lo, hi, total, unnest(range(40))::INT AS bin FROM bounds)
   SELECT {keys}bin, round(lo + bin * ((hi - lo) / 40), 6) AS bin_start, coalesce(n, 0) AS rows,
-    round(coalesce(n, 0) / (total * ((hi - lo) / 40)), 9) AS density
+    round(coalesce(n, 0) / (total * ((hi - lo) / 40)), 12) AS density
   FROM frame LEFT JOIN placed {using}"""
 
 
@@ -251,11 +308,16 @@ def long(source: str, columns: tuple[str, ...], keep: str) -> str:
 
 
 def profile(name: str, source: str, columns: list[str]) -> str:
-    return "\nUNION ALL ".join(
-        f"SELECT '{name}' AS table_name, count(*) AS row_count, {len(columns)} AS column_count, "
-        f"'{shown}' AS column_name, count(*) - count({actual}) AS null_count FROM {source}"
-        for shown, actual in (c.split(":") if ":" in c else (c, c) for c in columns)
-    )
+    """Columns are ``name TYPE``, or ``name:source TYPE`` where the source calls them otherwise."""
+    parts = []
+    for column in columns:
+        names, kind = column.split(" ")
+        shown, actual = names.split(":") if ":" in names else (names, names)
+        parts.append(
+            f"SELECT '{name}' AS table_name, count(*) AS row_count, {len(columns)} AS column_count, "
+            f"'{shown}' AS column_name, '{kind}' AS data_type, count(*) - count({actual}) AS null_count FROM {source}"
+        )
+    return "\nUNION ALL ".join(parts)
 
 
 def correlations() -> str:
@@ -314,13 +376,22 @@ def with_(ctes: str, select: str) -> str:
 
 HIGH = "risk_tier = 'High risk'"
 ORDER_COLUMNS = [
-    "order_id",
-    "customer_id",
-    "order_status",
-    "order_purchase_timestamp:placed",
-    "order_delivered_customer_date:arrived",
-    "order_estimated_delivery_date:promised",
+    "order_id BIGINT",
+    "customer_id BIGINT",
+    "order_status VARCHAR",
+    "order_purchase_timestamp:placed TIMESTAMP",
+    "order_delivered_customer_date:arrived TIMESTAMP",
+    "order_estimated_delivery_date:promised TIMESTAMP",
 ]
+ITEM_COLUMNS = [
+    "order_id BIGINT",
+    "product_id BIGINT",
+    "seller_id BIGINT",
+    "price DOUBLE",
+    "freight_value:freight DOUBLE",
+]
+REVIEW_COLUMNS = ["order_id BIGINT", "review_score:score INTEGER", "review_creation_date:written TIMESTAMP"]
+FEATURE_TYPES = {"recency_days": "INTEGER", "order_count": "BIGINT", "category_diversity": "BIGINT", "churned": "INTEGER"}
 DELIVERY_LIST = """customer_unique_id, round(avg_delivery_delay, 6) AS avg_delivery_delay, max_delivery_delay,
   round(avg_delivery_days, 6) AS avg_delivery_days, round(pct_late_orders, 6) AS pct_late_orders"""
 CAMPAIGN = ", ".join(f"({i}, {d}, {off})" for i, (d, off) in enumerate(CAMPAIGN_DAYS.items(), start=1))
@@ -331,8 +402,8 @@ ORACLE: dict[str, str] = {
         "\nUNION ALL ".join(
             [
                 profile("orders", "orders_v", ORDER_COLUMNS),
-                profile("order_items", "items_v", ["order_id", "product_id", "seller_id", "price", "freight_value:freight"]),
-                profile("order_reviews", "reviews_v", ["order_id", "review_score:score", "review_creation_date:written"]),
+                profile("order_items", "items_v", ITEM_COLUMNS),
+                profile("order_reviews", "reviews_v", REVIEW_COLUMNS),
             ]
         ),
     ),
@@ -396,7 +467,7 @@ ORACLE: dict[str, str] = {
     "feature_table": with_(FEATURES, f"SELECT {FEATURE_LIST} FROM features"),
     "feature_table_repaired": with_(BASE, f"SELECT {FEATURE_LIST} FROM ({wide(repaired=True)})"),
     "feature_table_asof": with_(BASE, f"SELECT {FEATURE_LIST} FROM ({wide('delivery_asof', 'review_asof')})"),
-    "feature_profile": with_(FEATURES, profile("features", "features", [*FULL13, "churned"])),
+    "feature_profile": with_(FEATURES, profile("features", "features", [f"{c} {FEATURE_TYPES.get(c, 'DOUBLE')}" for c in (*FULL13, "churned")])),
     "class_balance": with_(
         FEATURES,
         """SELECT churned, CASE churned WHEN 1 THEN 'Churned' ELSE 'Retained' END AS class_label, count(*) AS rows,
@@ -524,10 +595,17 @@ ORACLE: dict[str, str] = {
     ),
     "top10_display": with_(
         FEATURES,
-        f"""SELECT customer_unique_id, 'Churned' AS predicted_class,
+        f"""SELECT customer_unique_id,
+          CASE WHEN churn_probability >= 0.5 THEN 'Churned' ELSE 'Retained' END AS predicted_class,
           printf('BRL %.0f', round(total_spend, 2)) AS spend_text
         FROM tiered WHERE {HIGH} ORDER BY total_spend DESC, customer_unique_id LIMIT 10""",
     ),
+    "top10_text": with_(
+        FEATURES,
+        f"""SELECT customer_unique_id, printf('BRL %.0f', total_spend) AS total_spend, recency_days,
+          printf('%.1f%%', churn_probability * 100) AS churn_probability
+        FROM (SELECT * FROM tiered WHERE {HIGH} ORDER BY total_spend DESC, customer_unique_id LIMIT 10)""",
+    ),
     "probability_histogram": with_(FEATURES + ",", histogram("scored", "", "churn_probability")),
     "monthly_churn_trend": with_(
         FEATURES,
@@ -539,7 +617,7 @@ ORACLE: dict[str, str] = {
         FEATURES,
         by_tier(
             "count(*) AS customers, round(sum(total_spend), 2) AS total_spend, "
-            "round(sum(churn_probability * total_spend), 2) AS revenue_at_risk",
+            "round(sum(round(churn_probability * total_spend * 10000)::BIGINT) / 10000.0::DOUBLE, 2) AS revenue_at_risk",
             "customers, total_spend, revenue_at_risk",
         ),
     ),
@@ -592,11 +670,14 @@ ORACLE: dict[str, str] = {
           FROM pairs JOIN delivered USING (order_id) GROUP BY ALL),
         scores AS (SELECT seller_id, avg(score) AS avg_review
           FROM pairs JOIN delivered USING (order_id) JOIN reviews_v USING (order_id) GROUP BY ALL),
-        sellers AS (SELECT seller_id, orders, round(avg_delay, 6) AS avg_delay, round(avg_review, 6) AS avg_review
-          FROM delays JOIN scores USING (seller_id) WHERE avg_delay IS NOT NULL)""",
-        """SELECT * FROM (SELECT seller_id, orders, avg_delay, avg_review,
-          (ntile(10) OVER (ORDER BY avg_delay DESC, seller_id))::INT AS delay_tile,
-          (ntile(10) OVER (ORDER BY avg_review, seller_id))::INT AS review_tile FROM sellers)
+        latest AS (SELECT seller_id, (ntile(10) OVER (ORDER BY avg_delay DESC, seller_id))::INT AS delay_tile
+          FROM delays WHERE avg_delay IS NOT NULL),
+        lowest AS (SELECT seller_id, (ntile(10) OVER (ORDER BY avg_review, seller_id))::INT AS review_tile
+          FROM scores WHERE avg_review IS NOT NULL)""",
+        """SELECT seller_id, orders, round(avg_delay, 6) AS avg_delay, round(avg_review, 6) AS avg_review,
+          delay_tile, review_tile
+        FROM delays LEFT JOIN scores USING (seller_id) LEFT JOIN latest USING (seller_id)
+          LEFT JOIN lowest USING (seller_id)
         WHERE delay_tile = 1 OR review_tile = 1""",
     ),
     "product_suggestions": with_(
@@ -642,7 +723,8 @@ ORACLE: dict[str, str] = {
     ),
     "insight_category": with_(
         FEATURES,
-        """SELECT CASE WHEN category_diversity > 1 THEN 'several categories' ELSE 'one category' END AS categories,
+        """SELECT CASE WHEN category_diversity > 1 THEN 'several categories' WHEN category_diversity = 1
+          THEN 'one category' ELSE 'no known category' END AS categories,
         count(*) AS customers, round(avg(churned), 6) AS churn_rate FROM features GROUP BY ALL""",
     ),
     "spend_concentration": with_(
@@ -662,11 +744,11 @@ ORACLE: dict[str, str] = {
         FEATURES
         + f""", lives AS (SELECT segment, {floor_days('b', 'a')} AS duration, churned FROM (
             SELECT customer_unique_id, min(placed) AS a, max(placed) AS b FROM pre GROUP BY ALL)
-          JOIN (SELECT customer_unique_id, churned, CASE WHEN avg_delivery_delay > -99 AND avg_delivery_delay <= 0
+          JOIN (SELECT customer_unique_id, churned, CASE WHEN avg_delivery_delay <= 0
               THEN 'On time' WHEN avg_delivery_delay > 0 AND avg_delivery_delay <= 3 THEN '1-3 days late'
               WHEN avg_delivery_delay > 3 AND avg_delivery_delay <= 7 THEN '4-7 days late'
-              WHEN avg_delivery_delay > 7 AND avg_delivery_delay <= 99 THEN '7+ days late' END AS segment FROM features)
-            USING (customer_unique_id) WHERE segment IS NOT NULL),
+              ELSE '7+ days late' END AS segment FROM features)
+            USING (customer_unique_id)),
         days AS (SELECT segment, duration, sum(churned)::BIGINT AS events, count(*) AS leaving FROM lives GROUP BY ALL),
         risk AS (SELECT *, sum(leaving) OVER (PARTITION BY segment ORDER BY duration
             ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::BIGINT AS at_risk FROM days)""",

@@ -118,6 +118,15 @@ def test_worst_sellers_count_an_order_once(spark):
     reviews = spark.createDataFrame([(i, 1 if i == 4 else 5) for i in range(10)], "order_id int, review_score int")
     rows = {r.seller_id: (r.orders, r.delay_tile, r.review_tile) for r in retention.worst_sellers(orders, items, reviews).collect()}
     assert rows == {"s9": (1, 1, 10), "s4": (1, 6, 1)}
+    # Without its review the latest seller is still there, and nobody else's place depends on it.
+    fewer = retention.worst_sellers(orders, items, reviews.where("order_id <> 9")).collect()
+    assert {r.seller_id: (r.delay_tile, r.review_tile) for r in fewer} == {"s9": (1, None), "s4": (6, 1)}
+
+
+def test_people_without_a_known_category_are_a_group(spark):
+    rows = spark.createDataFrame([(0, 1), (1, 0), (1, 1), (3, 0)], "category_diversity long, churned int")
+    got = {r.categories: (r.customers, r.churn_rate) for r in retention.category_insight(rows).collect()}
+    assert got == {"no known category": (1, 1.0), "one category": (2, 0.5), "several categories": (1, 0.0)}
 
 
 def test_survival_reaches_zero_and_respects_censoring(spark):
@@ -129,5 +138,5 @@ def test_survival_reaches_zero_and_respects_censoring(spark):
 def test_lift(spark):
     rows = [("treatment", 1)] * 30 + [("treatment", 0)] * 70 + [("control", 1)] * 20 + [("control", 0)] * 80
     r = extensions.lift_readout(spark.createDataFrame(rows, "arm string, retained int")).first()
-    assert (r.treated_rate, r.control_rate, r.lift) == (0.3, 0.2, 0.1)
+    assert (r.treated_rate, r.control_rate, r.lift) == pytest.approx((0.3, 0.2, 0.1))
     assert r.z_statistic == pytest.approx(0.1 / (0.25 * 0.75 * 0.02) ** 0.5, abs=1e-6)
