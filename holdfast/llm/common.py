@@ -66,8 +66,14 @@ def sieve(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
 
 
 def without(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
-    """Rows of ``df`` whose key isn't in the one-column table ``ids``; only those that pass the sieve are joined."""
-    return _sifted(df, key, ids, False).union(keep_rows(sieve(df, key, ids), ids, key, "left_anti"))
+    """Rows of ``df`` whose key isn't in the one-column table ``ids``; only those that pass the sieve are joined.
+
+    An outer join, because the optimizer would move an anti join below the sieve and shuffle every row.
+    """
+    name = fresh(df, "_other_key")
+    others, maybe = ids.toDF(name).distinct(), sieve(df, key, ids)
+    rest = maybe.join(others, maybe[key] == others[name], "left").where(F.col(name).isNull()).select(*df.columns)
+    return _sifted(df, key, ids, False).union(rest)
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from holdfast.llm.common import components, keep_rows, sieve, two_hashes, without
+from holdfast.llm.common import components, sieve, two_hashes, without
 from holdfast.session import materialise
 
 WORDS = 5
@@ -237,7 +237,8 @@ def near_duplicates(
     )
     pairs = materialise(near_pairs(one_each.where("n > 0"), threshold, bands, rows), "pairs")
     ids = pairs.select("a").union(pairs.select("b")).distinct()
-    wanted = keep_rows(sieve(source, "doc", ids), ids, "doc").select("doc", words_of(F.col("text")).alias("words"))
+    # An inner join, because the optimizer would move a semi join below the sieve and shuffle every text.
+    wanted = sieve(source, "doc", ids).join(ids.toDF("doc"), "doc").select("doc", words_of(F.col("text")).alias("words"))
     words = wanted.groupBy("doc").agg(F.min_by("words", F.struct(*two_hashes(F.col("words")))).alias("words"))
     fields = [T.StructField("shingles", T.ArrayType(T.LongType()))]
     sets = materialise(_by_document(words, lambda w: (shingles(w).view(np.int64),), fields), "shingles")
