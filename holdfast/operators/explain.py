@@ -11,6 +11,7 @@ import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -105,6 +106,7 @@ def tree_nodes(model: PipelineModel) -> tuple[pd.DataFrame, list[float]]:
             F.col("nodeData.rightChild").alias("right"),
             F.col("nodeData.split.featureIndex").alias("feature"),
             F.get("nodeData.split.leftCategoriesOrThreshold", F.lit(0)).alias("threshold"),
+            F.col("nodeData.impurityStats").alias("stats"),
         )
         .toPandas()
     )
@@ -205,6 +207,44 @@ def tree_shap(model: PipelineModel, data: DataFrame, columns: Sequence[str]) ->
     return wide.mapInPandas(explain, fields).select(KEY, F.inline(F.array(*entries)), F.lit(base).alias("base"))
 
 
+def replayed(model: PipelineModel, data: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(key, probability) of class 1, by walking the saved node table instead of asking the model.
+
+    Boosted trees add up leaf values to half the log-odds; a forest averages the class shares of its leaves. The
+    node table is broadcast, as its size depends on the model alone.
+    """
+    names = list(columns)
+    nodes, weights = tree_nodes(model)
+    forest = isinstance(model.stages[-1], RandomForestClassificationModel)
+    trees = []
+    for tree, table in nodes.sort_values("id").groupby("tree"):
+        value = table["prediction"].to_numpy(float)
+        if forest:
+            value = np.array([s[1] / sum(s) for s in table["stats"]])
+        at = {i: row for row, i in enumerate(table["id"])}
+        left, right = (np.array([at.get(i, 0) for i in table[c]]) for c in ("left", "right"))
+        is_leaf, feature = (table["left"] < 0).to_numpy(), table["feature"].fillna(0).to_numpy(int)
+        trees.append((weights[int(tree)], is_leaf, feature, table["threshold"].to_numpy(float), left, right, value))
+    shared = data.sparkSession.sparkContext.broadcast(trees)
+    wide = data.select(KEY, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in names])
+    key_type = wide.schema[KEY].dataType.simpleString()
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            x, total = pdf[names].to_numpy(float), np.zeros(len(pdf))
+            rows = np.arange(len(x))
+            for weight, is_leaf, feature, threshold, left, right, value in shared.value:
+                node = np.zeros(len(x), dtype=int)
+                while (inner := ~is_leaf[node]).any():
+                    goes_left = x[rows, feature[node]] <= threshold[node]
+                    node = np.where(inner, np.where(goes_left, left[node], right[node]), node)
+                total += weight * value[node]
+            probability = total / sum(t[0] for t in shared.value) if forest else 1 / (1 + np.exp(-2 * total))
+            yield pd.DataFrame({KEY: pdf[KEY], "probability": probability})
+
+    return wide.mapInPandas(walk, f"`{KEY}` {key_type}, probability double")
+
+
 def tree_margin(model: PipelineModel, data: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The log-odds that the base and the Shapley values of a row add up to, from the model itself."""
     filled = data.select(KEY, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in columns])

@@ -14,7 +14,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from holdfast.functions import sigmoid
@@ -32,7 +32,7 @@ SEARCH_SPACE = {
     "scale_pos_weight": (1, 5, 10),
 }
 
-# Fewer rows than this are not worth a task of their own in a fitting pass.
+# Rows of one partition in a fitting pass.
 ROWS_PER_TASK = 2_000
 
 # A fixed-weight logistic score. It needs no fitting, so every operator that
@@ -65,24 +65,22 @@ def linear_score(
     return features.withColumn("churn_probability", F.round(sigmoid(linear_margin(weights, bias)), 6))
 
 
-def _spread(train: DataFrame) -> DataFrame:
-    """Training rows over as many cores as they can keep busy, placed and ordered by key.
+def _spread(train: DataFrame, rows: int | None = None) -> DataFrame:
+    """Training rows in partitions of about ROWS_PER_TASK, placed and ordered by key.
 
-    Fitting passes over the rows many times, so one shuffle up front is repaid by
-    using every core; a fixed placement makes a refit bag the same rows.
+    Bagging draws by partition, so the number of partitions follows from the row count alone:
+    the same table gives the same model on any cluster, and a refit bags the same rows.
     """
-    cores = train.sparkSession.sparkContext.defaultParallelism
-    parts = max(1, min(cores, train.count() // ROWS_PER_TASK))
-    return train.repartition(parts, KEY).sortWithinPartitions(KEY)
+    rows = train.count() if rows is None else rows
+    return train.repartition(max(1, rows // ROWS_PER_TASK), KEY).sortWithinPartitions(KEY)
 
 
 def _vector_stage(columns: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(columns), outputCol="features", handleInvalid="error")
 
 
-def _scaling_stage(train: DataFrame, columns: Sequence[str]) -> SQLTransformer:
+def _scaling_stage(stats: Row, columns: Sequence[str]) -> SQLTransformer:
     """Population standardisation as a stage, so that it is saved with the model."""
-    stats = scaling_stats(train, columns).first()
     scaled = ", ".join(
         f"(`{c}` - CAST('{stats[f'{c}_mean']!r}' AS DOUBLE)) / CAST('{stats[f'{c}_sd']!r}' AS DOUBLE) AS `scaled_{c}`"
         for c in columns
@@ -94,12 +92,13 @@ def fit_logistic(
     train: DataFrame, columns: Sequence[str] = CORE9, max_iter: int = 1000, c: float = 1.0
 ) -> PipelineModel:
     """L2 logistic regression on standardised columns; ``c`` is the inverse penalty on summed loss."""
-    rows = train.count()
+    stats = scaling_stats(train, columns).first()
+    rows = stats["rows_seen"]
     regression = LogisticRegression(
         labelCol="label", maxIter=max_iter, regParam=1.0 / (c * rows), elasticNetParam=0.0, standardization=False
     )
-    stages = [_scaling_stage(train, columns), _vector_stage([f"scaled_{f}" for f in columns]), regression]
-    return Pipeline(stages=stages).fit(_spread(train))
+    stages = [_scaling_stage(stats, columns), _vector_stage([f"scaled_{f}" for f in columns]), regression]
+    return Pipeline(stages=stages).fit(_spread(train, rows))
 
 
 def fit_forest(
@@ -168,7 +167,8 @@ def random_search(
     """
     draws = draw_candidates(space, n_iter, seed)
     vectors = _vector_stage(columns).transform(with_folds(train, cv, seed=seed))
-    folded = materialise(_spread(vectors.select(KEY, "label", "fold", "features", *columns)), "folds")
+    # Spread after reading: a table read back is packed into partitions by the number of cores.
+    folded = _spread(materialise(vectors.select(KEY, "label", "fold", "features", *columns), "folds"))
     judge = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC", numBins=0)
     parts = _balanced_parts(folded, columns, cv, seed) if balance_within_fold else None
     weights = sorted({d.get("scale_pos_weight", 1) for d in draws})

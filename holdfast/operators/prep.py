@@ -91,11 +91,11 @@ def with_folds(df: DataFrame, folds: int, label: str = "label", key: str = KEY,
 
 
 def scaling_stats(train: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Mean and population deviation per column in one row; a constant column divides by 1."""
+    """Mean and population deviation per column, and the row count, in one row; a constant column divides by 1."""
     spread = [
         F.when(F.stddev_pop(c) > 0, F.stddev_pop(c)).otherwise(F.lit(1.0)).alias(f"{c}_sd") for c in columns
     ]
-    return train.agg(*[F.avg(c).alias(f"{c}_mean") for c in columns], *spread)
+    return train.agg(F.count("*").alias("rows_seen"), *[F.avg(c).alias(f"{c}_mean") for c in columns], *spread)
 
 
 def scale(df: DataFrame, stats: DataFrame, columns: Sequence[str]) -> DataFrame:

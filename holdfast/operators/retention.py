@@ -39,15 +39,25 @@ RECENCY_EDGES = (0, 60, 90, 120, float("inf"))
 RECENCY_LABELS = ("0-60 days", "60-90 days", "90-120 days", "120+ days")
 
 
+def _outside(feature: str, low: float, high: float | None) -> Column:
+    value = F.col(feature).cast("double")
+    inside = (value >= low) if high is None else value.between(low, high)
+    return ~F.coalesce(inside, F.lit(False))
+
+
+def count_out_of_range(rules: dict[str, tuple] = INPUT_RULES) -> Column:
+    """How many values of a record lie outside their accepted range."""
+    return sum((_outside(f, low, high).cast("int") for f, (low, high, _) in rules.items()), F.lit(0))
+
+
 def range_violations(records: DataFrame, rules: dict[str, tuple] = INPUT_RULES) -> DataFrame:
     """One row per value outside its accepted range; a missing value is a violation too."""
     checks = []
     for feature, (low, high, _) in rules.items():
         value = F.col(feature).cast("double")
-        inside = (value >= low) if high is None else value.between(low, high)
         checks.append(
             F.when(
-                ~F.coalesce(inside, F.lit(False)),
+                _outside(feature, low, high),
                 F.struct(
                     F.lit(feature).alias("feature"),
                     value.alias("value"),

@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 from holdfast.functions import class_name, currency_text, percent_text
 from holdfast.operators import evaluate, explain, explore, extensions, features, labels, models, prep
 from holdfast.operators import profile, retention, segments, suggestions
-from holdfast.plans.churn import Study, TrainingSet, scoring_job, training_set
+from holdfast.plans import checks
+from holdfast.plans.churn import Study, TrainingSet, scoring_job, serve, training_set
 from holdfast.session import materialise, shared_root
 from holdfast.sources import order_tables, read_scored, read_table, write_scored
 from holdfast.sources.schemas import CORE9, FULL13, KEY
+from holdfast.streaming.live_scores import latest_scores, start_scoring
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -318,48 +320,52 @@ def _balance(s: Study) -> DataFrame:
     return explore.balance_report({"before": sets.train, "after": sets.balanced}, "label")
 
 
-def _fitted(fit) -> Query:
+def _logistic(s: Study) -> DataFrame:
+    sets = _training(s)
+    return checks.logistic_optimum(models.fit_logistic(sets.balanced), sets.balanced)
+
+
+def _fitted_trees(fit) -> Query:
     def run(s: Study) -> DataFrame:
         sets = _training(s)
-        return rounded(models.predict(fit(sets.balanced), sets.test), ["probability"])
+        return checks.tree_predictions(fit(sets.balanced), sets.test)
 
     return _study_query(run)
 
 
-# Small ensembles: the parameters are arguments, and these suit a test machine.
-SMALL_BOOSTER = {
-    "n_estimators": 20,
+# A point of the search space.
+BOOSTER = {
+    "n_estimators": 100,
     "max_depth": 5,
     "learning_rate": 0.1,
     "subsample": 0.8,
     "colsample_bytree": 0.8,
     "scale_pos_weight": 5,
 }
-SMALL_SPACE = {**models.SEARCH_SPACE, "n_estimators": (5, 10), "max_depth": (3, 5)}
 
 
 def _search(s: Study) -> DataFrame:
-    _, results = models.random_search(_training(s).balanced, space=SMALL_SPACE, n_iter=4, cv=3)
-    return rounded(results, ["mean_auc"])
+    """The whole grid, but two draws and folds where the study takes 30 and five: those take hours on one machine."""
+    _, results = models.random_search(_training(s).balanced, n_iter=2, cv=2)
+    return checks.search_draws(results, models.SEARCH_SPACE)
 
 
 def _fitted_comparison(s: Study) -> DataFrame:
     sets = _training(s)
     fitted = {
         "Logistic Regression": models.fit_logistic(sets.balanced),
-        "Random Forest": models.fit_forest(sets.balanced, trees=50),
-        "Boosted Trees": models.fit_boosted(sets.balanced, params=SMALL_BOOSTER),
+        "Random Forest": models.fit_forest(sets.balanced),
+        "Boosted Trees": models.fit_boosted(sets.balanced, params=BOOSTER),
     }
     scored = materialise(
         evaluate.compare_models({name: models.predict(model, sets.test) for name, model in fitted.items()}), "rivals"
     )
-    return evaluate.model_comparison(scored)
+    return checks.areas(scored)
 
 
 def _tree_shap(s: Study) -> DataFrame:
     sets = _training(s)
-    model = models.fit_boosted(sets.balanced, params=SMALL_BOOSTER)
-    return rounded(explain.tree_shap(model, sets.test, CORE9), ["value", "shap", "base"])
+    return checks.shapley_sums(models.fit_boosted(sets.balanced, params=BOOSTER), sets.test)
 
 
 def _batch_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -367,10 +373,35 @@ def _batch_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = study(spark, sf_dir)
     everyone = materialise(s.features(), "features")
     model_path = f"{shared_root(spark)}/model-{uuid.uuid4().hex}"
-    models.save_model(models.fit_boosted(training_set(everyone).balanced, params=SMALL_BOOSTER), model_path)
+    model = models.fit_boosted(training_set(everyone).balanced, params=BOOSTER)
+    models.save_model(model, model_path)
     loaded = models.load_model(model_path)
     scored = scoring_job(spark, loaded, everyone, f"{shared_root(spark)}/scored-{uuid.uuid4().hex}")
-    return rounded(scored.select(KEY, "churn_probability", "risk_tier"), ["churn_probability"])
+    return checks.stored_scores(scored, model, everyone)
+
+
+def _served(s: Study) -> DataFrame:
+    """Every person's features as a partial input record: two fields are never given, one only by some."""
+    records = s.features().drop("total_freight", "max_delivery_delay", "churned")
+    return serve(records, models.linear_score).select(
+        KEY, "fields_out_of_range", "churn_probability", "risk_tier", "recommended_action"
+    )
+
+
+def _live_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries of order files, each with its items and reviews, scored as they arrive."""
+    tables = order_tables(spark, sf_dir)
+    root = f"{shared_root(spark)}/live-{uuid.uuid4().hex}"
+    paths = {name: f"{root}/{name}" for name in tables}
+    tables["customers"].write.parquet(paths["customers"])
+    tables["products"].write.parquet(paths["products"])
+    for later in (False, True):
+        for name in ("orders", "order_items", "order_reviews"):
+            part = tables[name].where((F.col("order_id") % 4 == 0) == F.lit(later))
+            part.write.mode("append").parquet(paths[name])
+        query = start_scoring(spark, paths, models.linear_score, f"{root}/log", f"{root}/progress", available_now=True)
+        query.awaitTermination()
+    return latest_scores(spark, f"{root}/log").select(KEY, "order_count", "churn_probability")
 
 
 QUERIES: dict[str, Query] = {
@@ -474,13 +505,16 @@ QUERIES: dict[str, Query] = {
     # fitted models
     "smote_balance": _study_query(_balance),
     "smote_balanced": _study_query(lambda s: rounded(_training(s).balanced, list(CORE9))),
-    "lr_scores": _fitted(models.fit_logistic),
-    "rf_scores": _fitted(models.fit_forest),
-    "gbt_scores": _fitted(lambda train: models.fit_boosted(train, params=SMALL_BOOSTER)),
+    "lr_scores": _study_query(_logistic),
+    "rf_scores": _fitted_trees(models.fit_forest),
+    "gbt_scores": _fitted_trees(lambda train: models.fit_boosted(train, params=BOOSTER)),
     "random_search_results": _study_query(_search),
     "fitted_model_comparison": _study_query(_fitted_comparison),
     "tree_shap": _study_query(_tree_shap),
     "batch_scores": _batch_scores,
+    # serving
+    "served_records": _study_query(_served),
+    "live_scores": _live_scores,
 }
 
 

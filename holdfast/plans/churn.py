@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from functools import cached_property
@@ -15,7 +15,8 @@ from holdfast.operators import features as feature_ops
 from holdfast.operators import labels as label_ops
 from holdfast.operators.models import linear_score, score_customers
 from holdfast.operators.prep import SEED, matrix, smote, stratified_split
-from holdfast.operators.segments import with_tier
+from holdfast.operators.retention import INPUT_RULES, count_out_of_range, with_defaults
+from holdfast.operators.segments import with_action, with_tier
 from holdfast.session import materialise
 from holdfast.sources import read_scored, write_scored
 from holdfast.sources.schemas import CORE9
@@ -75,6 +76,18 @@ def training_set(
     return TrainingSet(train, test, balanced)
 
 
+def serve(
+    records: DataFrame, scorer: Callable[[DataFrame], DataFrame], rules: dict[str, tuple] = INPUT_RULES
+) -> DataFrame:
+    """Score input records of up to thirteen fields, one or many: defaults, checks, probability, tier and action.
+
+    Missing fields and nulls take their defaults. ``fields_out_of_range`` counts values outside their accepted range; they are
+    scored as given.
+    """
+    filled = with_defaults(records, rules).withColumn("fields_out_of_range", count_out_of_range(rules))
+    return with_action(scorer(filled))
+
+
 def scoring_job(
     spark: SparkSession,
     model: PipelineModel,

@@ -22,12 +22,14 @@ def read_table(
 
     CSV is read as text and cast, so no type inference pass is run over the data.
     Malformed values raise, or become null when ``lenient``. ``columns`` narrows
-    the table to the declared columns an input really has.
+    the table to the declared columns an input really has. The files of one folder must
+    have one header: each file's is checked when it is read, and another order of columns raises.
     """
     declared = TABLES[name]
     if file_format == "csv":
         raw = (
             spark.read.option("header", True)
+            .option("enforceSchema", False)
             .option("escape", '"')
             .option("multiLine", name in MULTILINE_TABLES)
             .csv(path)

@@ -3,6 +3,10 @@
 The score log is append-only: each micro-batch owns one folder named after its
 epoch and overwrites it when it is retried, so a restart neither loses nor
 repeats rows. Readers take each person's newest row.
+
+A batch sees all tables as they stood when it was first tried: the moment is written down before
+anything is scored, and files that came later are left out, also when the batch is retried. Files are
+taken as they are; they aren't changed once written.
 """
 
 from __future__ import annotations
@@ -12,9 +16,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from holdfast.operators.features import feature_table
-from holdfast.operators.labels import cutoff_column, with_person
+from holdfast.operators.labels import PLACED, delivered_orders, with_person
 from holdfast.operators.segments import with_tier
 from holdfast.sources.schemas import KEY
 
@@ -27,20 +32,22 @@ def orders_of(people: DataFrame, orders: DataFrame, customers: DataFrame) -> Dat
     return orders.join(aliases, "customer_id", "left_semi")
 
 
-def rescore(people: DataFrame, tables: dict[str, DataFrame], scorer: Scorer) -> DataFrame:
-    """Current features and score of the given people, as of the last delivered purchase.
+def rescore(people: DataFrame, tables: dict[str, DataFrame], scorer: Scorer, moment) -> DataFrame:
+    """Current features and score of the given people at ``moment``.
 
-    Only their orders enter the aggregation; the moment comes from all orders.
+    Their orders, and only the items and reviews of those, enter the aggregation.
     """
-    now = cutoff_column(tables["orders"], months=0)
-    own = {**tables, "orders": orders_of(people, tables["orders"], tables["customers"])}
-    return with_tier(scorer(feature_table(own, now).drop("churned")))
+    own = orders_of(people, tables["orders"], tables["customers"])
+    theirs = own.select("order_id")
+    near = {**tables, "orders": own}
+    for name in ("order_items", "order_reviews"):
+        near[name] = tables[name].join(theirs, "order_id", "left_semi")
+    return with_tier(scorer(feature_table(near, F.lit(moment).cast("timestamp_ntz")).drop("churned")))
 
 
 def start_scoring(
     spark: SparkSession,
-    orders_path: str,
-    tables: dict[str, DataFrame],
+    paths: dict[str, str],
     scorer: Scorer,
     log_path: str,
     progress_path: str,
@@ -48,21 +55,48 @@ def start_scoring(
 ) -> StreamingQuery:
     """Watch a folder of order files and log a new score for everyone who ordered.
 
-    ``tables`` are the other tables; orders are read from ``orders_path``, both as
-    the stream and, inside each batch, as the history up to that batch.
+    ``paths`` are the Parquet folders of all order tables. Each batch opens them anew, so
+    that items and reviews which arrive with the orders are seen.
     """
-    schema = spark.read.parquet(orders_path).schema
+    schemas: dict[str, StructType] = {name: spark.read.parquet(path).schema for name, path in paths.items()}
+    orders = spark.readStream.schema(schemas["orders"]).parquet(paths["orders"])
+
+    def seen(session: SparkSession, name: str, until) -> DataFrame:
+        files = session.read.schema(schemas[name]).parquet(paths[name])
+        return files.where(F.col("_metadata.file_modification_time") <= F.lit(until)).select(*schemas[name].names)
 
     def on_batch(batch: DataFrame, epoch: int) -> None:
+        session = batch.sparkSession
+        moments = f"{progress_path}-moments"
+        state = _state(session, moments)
+        mine = state.where(F.col("epoch") == epoch).first() if state is not None else None
+        if mine is None:
+            # The last delivered purchase so far is carried from epoch to epoch; orders aren't read again for it.
+            before = state.agg(F.max("latest")).first()[0] if state is not None else None
+            latest = delivered_orders(batch).agg(F.max(PLACED).alias("latest"))
+            row = latest.select(
+                F.lit(epoch).cast("long").alias("epoch"),
+                F.greatest("latest", F.lit(before).cast("timestamp_ntz")).alias("latest"),
+                F.current_timestamp().alias("until"),
+            )
+            row.write.mode("overwrite").parquet(f"{moments}/at={epoch}")
+            mine = session.read.parquet(f"{moments}/at={epoch}").first()
+        tables = {name: seen(session, name, mine.until) for name in paths}
         people = with_person(batch.select("customer_id"), tables["customers"]).select(KEY).distinct()
-        history = {**tables, "orders": spark.read.schema(schema).parquet(orders_path)}
-        rescore(people, history, scorer).write.mode("overwrite").parquet(f"{log_path}/epoch={epoch}")
+        scores = rescore(people, tables, scorer, mine.latest)
+        scores.write.mode("overwrite").parquet(f"{log_path}/epoch={epoch}")
 
-    stream = spark.readStream.schema(schema).parquet(orders_path)
-    writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", progress_path)
+    writer = orders.writeStream.foreachBatch(on_batch).option("checkpointLocation", progress_path)
     return writer.trigger(availableNow=True).start() if available_now else writer.start()
 
 
+def _state(spark: SparkSession, path: str) -> DataFrame | None:
+    """One row per epoch so far; None before the first."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    there = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+    return spark.read.parquet(path).drop("at") if there else None
+
+
 def latest_scores(spark: SparkSession, log_path: str) -> DataFrame:
     """Each person's newest logged row."""
     log = spark.read.parquet(log_path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 # Fixed values, written out here so that an error in the library's own can show.
 COMPARED8 = (
     "recency_days",
@@ -820,3 +822,71 @@ made AS (
     FROM (SELECT customer_unique_id::VARCHAR AS customer_unique_id, label, {', '.join(CORE9)} FROM train
       UNION ALL SELECT customer_unique_id, label, {', '.join(CORE9)} FROM made)""",
 )
+
+# Facts about fitted models, stated from the tables alone.
+ORACLE["lr_scores"] = with_(
+    FEATURES
+    + f""", parts AS (SELECT max(n) AS n FROM (SELECT count(*) AS n FROM split WHERE split = 'train' GROUP BY label)),
+    columns_v AS (SELECT unnest([{', '.join(f"'{c}'" for c in CORE9)}]) AS feature)""",
+    "SELECT n AS rows_0, n AS rows_1, feature, 0.0::DOUBLE AS slope FROM parts, columns_v",
+)
+ORACLE["rf_scores"] = ORACLE["gbt_scores"] = with_(
+    FEATURES,
+    """SELECT customer_unique_id, label, true AS is_probability, true AS agrees, 0.0::DOUBLE AS difference
+    FROM held_out""",
+)
+ORACLE["tree_shap"] = with_(
+    FEATURES, f"SELECT customer_unique_id, {len(CORE9)}::BIGINT AS features, 0.0::DOUBLE AS difference FROM held_out"
+)
+ORACLE["batch_scores"] = with_(
+    FEATURES, "SELECT customer_unique_id, true AS tier_agrees, 0.0::DOUBLE AS difference FROM features"
+)
+ORACLE["fitted_model_comparison"] = with_(
+    FEATURES,
+    """SELECT unnest(['Logistic Regression', 'Random Forest', 'Boosted Trees']) AS model, 0.0::DOUBLE AS difference
+    FROM (SELECT count(*) AS n FROM held_out) WHERE n > 0""",
+)
+ORACLE["random_search_results"] = with_(
+    FEATURES,
+    """SELECT 2::BIGINT AS draws, 2::BIGINT AS distinct_draws, 2::BIGINT AS inside_grid, true AS areas_valid,
+      true AS places_complete, true AS best_is_first FROM (SELECT count(*) AS n FROM split) WHERE n > 0""",
+)
+
+GIVEN = [c for c in FULL13 if c not in ("total_freight", "max_delivery_delay")]
+SERVED = ", ".join(
+    f"coalesce({c}::DOUBLE, {float(INPUT_RULES[c][2])!r}::DOUBLE) AS {c}" if c in GIVEN
+    else f"{float(INPUT_RULES[c][2])!r}::DOUBLE AS {c}"
+    for c in FULL13
+)
+OUTSIDE = " + ".join(
+    f"CASE WHEN {c} >= {low}" + ("" if high is None else f" AND {c} <= {high}") + " THEN 0 ELSE 1 END"
+    for c, (low, high, _) in INPUT_RULES.items()
+)
+ORACLE["served_records"] = with_(
+    FEATURES
+    + f""", filled AS (SELECT customer_unique_id, {SERVED} FROM features),
+    served AS (SELECT *, {score(LINEAR_WEIGHTS)} AS churn_probability FROM filled),
+    ruled AS (SELECT *, {RULE_TIER} AS risk_tier FROM served)""",
+    f"""SELECT customer_unique_id, ({OUTSIDE})::INT AS fields_out_of_range, churn_probability, risk_tier,
+      CASE risk_tier WHEN 'High risk' THEN 'immediate retention action recommended'
+        WHEN 'Medium risk' THEN 'include in next reactivation campaign'
+        ELSE 'no immediate action needed' END AS recommended_action FROM ruled""",
+)
+
+
+def arrived(orders: str) -> str:
+    """Features and score of everyone, as of the last delivered purchase among these orders."""
+    base = re.sub(r"FROM orders\b", f"FROM ({orders})", BASE.replace("INTERVAL 6 MONTH", "INTERVAL 0 MONTH"))
+    return with_(
+        base + f", features AS ({wide()})",
+        f"SELECT customer_unique_id, order_count, {score(LINEAR_WEIGHTS)} AS churn_probability FROM features",
+    )
+
+
+ORACLE["live_scores"] = f"""
+WITH touched AS (SELECT DISTINCT o_custkey FROM orders WHERE o_orderkey % 4 = 0),
+first AS ({arrived("SELECT * FROM orders WHERE o_orderkey % 4 <> 0")}),
+whole AS ({arrived("SELECT * FROM orders")})
+SELECT * FROM whole WHERE customer_unique_id IN (SELECT o_custkey FROM touched)
+UNION ALL SELECT * FROM first WHERE customer_unique_id NOT IN (SELECT o_custkey FROM touched)
+"""

@@ -46,6 +46,22 @@ def test_logistic_regression_reaches_the_penalised_optimum(train):
     assert np.allclose([*got.coefficients.toArray(), got.intercept], w, atol=1e-3)
 
 
+def test_fits_do_not_depend_on_how_the_rows_lie(spark, train, monkeypatch):
+    monkeypatch.setattr(M, "ROWS_PER_TASK", 60)
+    for fit in (lambda t: M.fit_forest(t, COLS, trees=5, depth=3), lambda t: M.fit_boosted(t, COLS, {**SMALL, "subsample": 0.7})):
+        one, other = (M.predict(fit(train.repartition(n)), train) for n in (2, 7))
+        assert one.exceptAll(other).count() == 0
+    assert M._spread(train.repartition(7)).rdd.getNumPartitions() == 5
+
+
+def test_replayed_probabilities_are_the_models_own(train, boosted):
+    for model in (boosted, M.fit_forest(train, COLS, trees=7, depth=4)):
+        own = X.replayed(model, train, COLS).withColumnRenamed("probability", "replayed")
+        joined = M.predict(model, train).join(own, KEY)
+        assert joined.count() == 300
+        assert joined.where("abs(probability - replayed) > 1e-9").count() == 0
+
+
 def test_predictions_have_the_contract_columns(train):
     out = M.predict(M.fit_forest(train, COLS, trees=5, depth=3), train)
     assert out.columns == [KEY, "label", "prediction", "probability"]

@@ -25,6 +25,21 @@ def test_csv_is_matched_by_name_and_may_hold_line_breaks(spark, tmp_path):
     assert [tuple(r) for r in rows] == [("o1", 5, datetime(2018, 1, 2)), ("o2", 1, None)]
 
 
+@pytest.mark.parametrize("name", ["products", "order_reviews"])
+def test_files_with_another_order_of_columns_raise(spark, tmp_path, name):
+    folder = tmp_path / name
+    folder.mkdir()
+    columns = list(TABLES[name])
+    write(folder / "a.csv", ",".join(columns) + "\n" + ",".join("1" for _ in columns) + "\n")
+    write(folder / "b.csv", ",".join(reversed(columns)) + "\n" + ",".join("2" for _ in columns) + "\n")
+    table = read_table(spark, name, str(folder), lenient=True)
+    with pytest.raises(Exception, match="header"):
+        table.collect()
+    for column in (columns[0], columns[1]):
+        with pytest.raises(Exception, match="header"):
+            table.select(column).collect()
+
+
 def test_missing_column_is_named(spark, tmp_path):
     path = write(tmp_path / "products.csv", "product_id\np1\n")
     with pytest.raises(ValueError, match="product_category_name"):

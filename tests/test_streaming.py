@@ -7,35 +7,47 @@ from holdfast.sources.schemas import KEY
 from holdfast.streaming.live_scores import latest_scores, start_scoring
 
 
-def run(spark, folder, tables, tmp_path):
+def run(spark, paths, tmp_path):
     query = start_scoring(
-        spark, folder, tables, linear_score, str(tmp_path / "log"), str(tmp_path / "progress"), available_now=True
+        spark, paths, linear_score, str(tmp_path / "log"), str(tmp_path / "progress"), available_now=True
     )
     query.awaitTermination()
     assert query.exception() is None
 
 
+def deliver(tables, paths, keep):
+    """Orders of a delivery, then their items and reviews."""
+    for name in ("orders", "order_items", "order_reviews"):
+        tables[name].where(keep).coalesce(1).write.mode("append").parquet(paths[name])
+
+
 def test_people_are_rescored_when_they_order(spark, sf_dir, tmp_path):
     tables = order_tables(spark, sf_dir)
-    orders, folder = tables["orders"], str(tmp_path / "orders")
-    first, later = orders.where("order_id % 4 <> 0"), orders.where("order_id % 4 = 0")
-    first.coalesce(1).write.mode("append").parquet(folder)
-    run(spark, folder, tables, tmp_path)
-    later.coalesce(1).write.mode("append").parquet(folder)
-    run(spark, folder, tables, tmp_path)
+    paths = {name: str(tmp_path / name) for name in tables}
+    for name in ("customers", "products"):
+        tables[name].write.parquet(paths[name])
+    deliver(tables, paths, "order_id % 4 <> 0")
+    run(spark, paths, tmp_path)
+    # Items and reviews of the later orders come with them, not before.
+    deliver(tables, paths, "order_id % 4 = 0")
+    run(spark, paths, tmp_path)
 
     got = latest_scores(spark, str(tmp_path / "log"))
     whole = Study(tables, months=0)
     want = linear_score(whole.features())
     # Everyone in the second batch is scored on their complete history.
+    later = tables["orders"].where("order_id % 4 = 0")
     touched = later.join(tables["customers"], "customer_id").select(KEY).distinct()
     joined = want.join(touched, KEY, "left_semi").join(
-        got.select(KEY, F.col("churn_probability").alias("logged")), KEY, "left"
+        got.select(KEY, F.col("churn_probability").alias("logged"), F.col("order_count").alias("n")), KEY, "left"
     )
     assert joined.count() > 0
-    assert joined.where("logged IS NULL OR logged <> churn_probability").count() == 0
+    assert joined.where("logged IS NULL OR logged <> churn_probability OR n <> order_count").count() == 0
     assert got.select(KEY).distinct().count() == got.count()
     # A restart with nothing new logs nothing.
     before = spark.read.parquet(str(tmp_path / "log")).count()
-    run(spark, folder, tables, tmp_path)
+    run(spark, paths, tmp_path)
     assert spark.read.parquet(str(tmp_path / "log")).count() == before
+    # One moment per epoch is kept, and never an earlier one.
+    state = spark.read.parquet(str(tmp_path / "progress-moments")).orderBy("epoch").collect()
+    assert len(state) == 2 and state[0].latest <= state[1].latest and state[0].until < state[1].until
