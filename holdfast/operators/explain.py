@@ -152,8 +152,9 @@ def leaf_shap(x: np.ndarray, leaves: Sequence[tuple]) -> np.ndarray:
     """Path-dependent Shapley values of all rows (Lundberg et al. 2018), leaf by leaf.
 
     With a leaf's features in a coalition the leaf contributes 1 or 0 for each, and
-    outside it the cover share. The sum over coalitions of each size is a polynomial
-    coefficient, so one feature's share costs a product of the others' factors.
+    outside it the cover share. The sum over coalitions of each size is a coefficient of the
+    product of all factors ``share + inside * z``, multiplied out once per leaf; one feature's own
+    share needs it without that feature's factor, which is divided out again.
     """
     out = np.zeros(x.shape)
     for value, names, low, high, share in leaves:
@@ -163,15 +164,19 @@ def leaf_shap(x: np.ndarray, leaves: Sequence[tuple]) -> np.ndarray:
         columns = x[:, names]
         inside = ((columns > low) & (columns <= high)).astype(float)
         weights = _subset_weights(size)
+        whole = np.zeros((len(x), size + 1))
+        whole[:, 0] = 1.0
+        for j in range(size):
+            whole[:, 1:] = whole[:, 1:] * share[j] + whole[:, :-1] * inside[:, j, None]
+            whole[:, 0] *= share[j]
         for i in range(size):
-            sums = np.zeros((len(x), size))
-            sums[:, 0] = 1.0
-            for j in range(size):
-                if j != i:
-                    grown = sums * share[j]
-                    grown[:, 1:] += sums[:, :-1] * inside[:, j, None]
-                    sums = grown
-            out[:, names[i]] += value * (inside[:, i] - share[i]) * (sums @ weights)
+            # A factor that is a number is divided out directly, the other by long division from the top.
+            total, carried = np.zeros(len(x)), np.zeros(len(x))
+            holds = inside[:, i] > 0
+            for k in range(size - 1, -1, -1):
+                carried = np.where(holds, whole[:, k + 1] - share[i] * carried, whole[:, k] / share[i])
+                total += carried * weights[k]
+            out[:, names[i]] += value * (inside[:, i] - share[i]) * total
     return out
 
 

@@ -33,8 +33,12 @@ INPUT_RULES = {
     "pct_bad_reviews": (0.0, 1.0, 0.0),
     "category_diversity": (1, 10, 2),
 }
-# Recency days on which the reactivation messages go out, and their discount.
+# Recency days on which the reactivation messages go out, and their discount in percent.
 CAMPAIGN_DAYS = {60: 0, 75: 15, 89: 15}
+# Days the campaign's discount holds, discount after a late delivery, least and most for the best customers.
+CAMPAIGN_OFFER_DAYS = 7
+RECOVERY_DISCOUNT = 10
+VIP_DISCOUNT = (20, 25)
 RECENCY_EDGES = (0, 60, 90, 120, float("inf"))
 RECENCY_LABELS = ("0-60 days", "60-90 days", "90-120 days", "120+ days")
 
@@ -92,6 +96,7 @@ def delivery_recovery_trigger(orders: DataFrame, customers: DataFrame, days: int
         KEY,
         "delivery_delay_days",
         (arrived + F.make_dt_interval(hours=F.lit(24))).alias("outreach_due"),
+        F.lit(RECOVERY_DISCOUNT).alias("discount_pct"),
         (arrived + F.make_dt_interval(F.lit(30))).alias("offer_expires"),
     )
 
@@ -136,11 +141,20 @@ def reactivation_target(
 
 
 def campaign_schedule(targets: DataFrame, days: dict[int, int] = CAMPAIGN_DAYS) -> DataFrame:
-    """One row per message: its day since the last purchase, send date and discount."""
+    """One row per message: its day since the last purchase, send date, discount, what it offers and until when.
+
+    The first message has suggestions instead of a discount. The discount starts with the first message that has
+    one and ends some days later; later messages remind of it and may go out after its end.
+    """
+    first_offer = next((day for day, off in days.items() if off), None)
     messages = F.array(
         *[
             F.struct(
-                F.lit(step).alias("message"), F.lit(day).alias("recency_day"), F.lit(off).alias("discount_pct")
+                F.lit(step).alias("message"),
+                F.lit(day).alias("recency_day"),
+                F.lit(off).alias("discount_pct"),
+                F.lit("discount" if off else "product suggestions").alias("offer"),
+                F.lit(first_offer + CAMPAIGN_OFFER_DAYS if off else None).cast("int").alias("end_day"),
             )
             for step, (day, off) in enumerate(days.items(), start=1)
         ]
@@ -150,7 +164,9 @@ def campaign_schedule(targets: DataFrame, days: dict[int, int] = CAMPAIGN_DAYS)
         "message",
         "recency_day",
         "discount_pct",
+        "offer",
         F.date_add(F.to_date("last_purchase"), F.col("recency_day")).alias("send_date"),
+        F.date_add(F.to_date("last_purchase"), F.col("end_day")).alias("offer_ends"),
     )
 
 
@@ -159,7 +175,13 @@ def vip_target(scored: DataFrame, top_share: float = 0.2, probability: float = H
     threshold = quantiles(scored, "total_spend", [1 - top_share]).select("q0").scalar()
     return (
         scored.where((F.col("churn_probability") >= probability) & (F.col("total_spend") >= threshold))
-        .select(KEY, "total_spend", "churn_probability")
+        .select(
+            KEY,
+            "total_spend",
+            "churn_probability",
+            F.lit(VIP_DISCOUNT[0]).alias("min_discount_pct"),
+            F.lit(VIP_DISCOUNT[1]).alias("max_discount_pct"),
+        )
         .orderBy(F.desc("total_spend"), KEY)
     )
 

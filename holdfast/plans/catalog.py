@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -162,16 +163,26 @@ def _feature_profile(s: Study) -> DataFrame:
 
 
 def _csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders written as CSV and read back with their declared types, then counted."""
-    orders = study(spark, sf_dir).table("orders")
-    path = f"{shared_root(spark)}/orders-csv-{uuid.uuid4().hex}"
-    orders.write.option("header", True).csv(path)
-    back = read_table(spark, "orders", path, columns=orders.columns)
-    return back.groupBy("order_status").agg(
-        F.count("*").alias("orders"),
-        F.count("order_delivered_customer_date").alias("with_delivery"),
-        F.max(labels.PLACED).alias("last_purchase"),
+    """Orders, items and reviews written as CSV and read back with their declared types, then counted."""
+    s = study(spark, sf_dir)
+
+    def back(name: str) -> DataFrame:
+        path = f"{shared_root(spark)}/{name}-csv-{uuid.uuid4().hex}"
+        s.table(name).write.option("header", True).csv(path)
+        return read_table(spark, name, path, columns=s.table(name).columns)
+
+    parts = (
+        ("orders", F.col("order_status"), "order_delivered_customer_date", F.max(labels.PLACED)),
+        ("order_items", F.lit("all"), "price", F.lit(None).cast("timestamp_ntz")),
+        ("order_reviews", F.col("review_score").cast("string"), "review_creation_date", F.max("review_creation_date")),
     )
+    counted = [
+        back(name).groupBy(group.alias("part")).agg(
+            F.lit(name).alias("table_name"), F.count("*").alias("rows"), F.count(filled).alias("filled"), last.alias("last_moment")
+        )
+        for name, group, filled, last in parts
+    ]
+    return reduce(DataFrame.unionByName, counted)
 
 
 # Training data and fixed-weight scores
@@ -271,9 +282,8 @@ def _violations(features_df: DataFrame) -> DataFrame:
 
 
 def _campaign(features_df: DataFrame) -> DataFrame:
-    return retention.campaign_schedule(retention.reactivation_target(features_df)).withColumn(
-        "send_date", F.col("send_date").cast("string")
-    )
+    rows = retention.campaign_schedule(retention.reactivation_target(features_df))
+    return rows.withColumns({c: F.col(c).cast("string") for c in ("send_date", "offer_ends")})
 
 
 def _bad_review_trigger(s: Study) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from holdfast.operators import evaluate, explain, explore, labels, models, profile, retention, segments, suggestions
 from holdfast.plans.churn import Study, scoring_job, training_set
-from holdfast.session import materialise
+from holdfast.session import clear_scratch, materialise
 from holdfast.sources.schemas import FEATURE_SETS
 
 
@@ -28,7 +28,8 @@ def run_study(
     """Write every table of the study below ``out`` and return their paths by name.
 
     Tables that several steps read are written before they are used. The boosted
-    model found by the search is the one that explains, scores and is saved.
+    model found by the search is the one that explains, scores and is saved. All results lie below
+    ``out``; the application's scratch tables are deleted at the end.
     """
     columns = FEATURE_SETS[feature_set]
     study = Study(tables)
@@ -92,4 +93,5 @@ def run_study(
     keep("worst_sellers", retention.worst_sellers(orders, items, study.table("order_reviews")))
     observed = materialise(study.observed_orders.select("order_id", "customer_id"), "observed")
     keep("product_suggestions", suggestions.product_suggestions(observed, customers, items, study.table("products")))
+    clear_scratch(spark)
     return paths

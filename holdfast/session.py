@@ -47,12 +47,22 @@ def shared_root(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+# Folder of the tables that materialise() writes, below the shared one.
+SCRATCH = "tables"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all tables this application has materialised; DataFrames that read them can't be used any more."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark)}/{SCRATCH}")
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def materialise(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Cuts the lineage at a point that survives executor loss, and lets the steps
     that read the result more than once prune columns instead of recomputing it.
     """
-    path = f"{shared_root(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
+    path = f"{shared_root(df.sparkSession)}/{SCRATCH}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -411,8 +411,10 @@ ORACLE: dict[str, str] = {
     ),
     "csv_round_trip": with_(
         BASE,
-        """SELECT order_status, count(*) AS orders, count(arrived) AS with_delivery, max(placed) AS last_purchase
-        FROM orders_v GROUP BY order_status""",
+        """SELECT 'orders' AS table_name, order_status AS part, count(*) AS rows, count(arrived) AS filled,
+          max(placed) AS last_moment FROM orders_v GROUP BY order_status
+        UNION ALL SELECT 'order_items', 'all', count(*), count(price), NULL::TIMESTAMP FROM items_v
+        UNION ALL SELECT 'order_reviews', score::VARCHAR, count(*), count(written), max(written) FROM reviews_v GROUP BY score""",
     ),
     "delivered_ratio": with_(
         BASE,
@@ -626,7 +628,7 @@ ORACLE: dict[str, str] = {
     "trigger_delivery_recovery": with_(
         BASE,
         """SELECT order_id, customer_unique_id, delay AS delivery_delay_days, arrived + INTERVAL 24 HOUR AS outreach_due,
-        arrived + INTERVAL 30 DAY AS offer_expires FROM delivered WHERE delay > 3""",
+        10 AS discount_pct, arrived + INTERVAL 30 DAY AS offer_expires FROM delivered WHERE delay > 3""",
     ),
     "trigger_bad_review": with_(
         BASE,
@@ -656,13 +658,16 @@ ORACLE: dict[str, str] = {
     "campaign_schedule": with_(
         FEATURES,
         f"""SELECT customer_unique_id, message, recency_day, discount_pct,
-          (last_purchase::DATE + recency_day)::DATE::VARCHAR AS send_date
+          CASE WHEN discount_pct > 0 THEN 'discount' ELSE 'product suggestions' END AS offer,
+          (last_purchase::DATE + recency_day)::DATE::VARCHAR AS send_date,
+          CASE WHEN discount_pct > 0 THEN (last_purchase::DATE + 75 + 7)::DATE::VARCHAR END AS offer_ends
         FROM features, (VALUES {CAMPAIGN}) AS c(message, recency_day, discount_pct)
         WHERE recency_days BETWEEN 60 AND 90 AND total_spend > 100""",
     ),
     "target_vip": with_(
         FEATURES,
-        """SELECT customer_unique_id, round(total_spend, 2) AS total_spend, churn_probability FROM scored
+        """SELECT customer_unique_id, round(total_spend, 2) AS total_spend, churn_probability,
+          20 AS min_discount_pct, 25 AS max_discount_pct FROM scored
         WHERE churn_probability >= 0.6 AND total_spend >= (SELECT quantile_cont(total_spend, 0.8) FROM scored)""",
     ),
     "worst_sellers": with_(
