@@ -38,6 +38,23 @@ def items_by_order(items: DataFrame) -> DataFrame:
     )
 
 
+def items_with_categories(items: DataFrame, products: DataFrame) -> DataFrame:
+    """Item totals per order with the set of known categories, and whether any item is of a known product."""
+    known = products.select("product_id", "product_category_name", F.lit(True).alias("is_product"))
+    return (
+        items.select("order_id", "product_id", "price", "freight_value")
+        .join(known, "product_id", "left")
+        .groupBy("order_id")
+        .agg(
+            F.sum(money_units(F.col("price"))).alias("spend"),
+            F.count("price").alias("priced_items"),
+            F.sum(money_units(F.col("freight_value"))).alias("freight"),
+            F.collect_set("product_category_name").alias("categories"),
+            F.bool_or(F.coalesce("is_product", F.lit(False))).alias("has_product"),
+        )
+    )
+
+
 def _total(units: Column) -> Column:
     return from_units(F.coalesce(F.sum(units), F.lit(0)))
 
@@ -181,56 +198,85 @@ def feature_table(
     fill: str = "literal",
     strict_asof: bool = False,
 ) -> DataFrame:
-    """The labelled feature table, with all order-grain measures reduced in one pass by person."""
+    """The labelled feature table from one pass over each table.
+
+    Items meet their products and are reduced to their order, measures and set of categories together. A
+    person's orders then give one row with the measures and one per category, so that the same two
+    aggregations, by person and category and then by person, count distinct categories and add up the rest. A
+    person with very many orders reaches either shuffle as one row per task and category.
+    """
     reviews = reviews_asof(tables["order_reviews"], cutoff) if strict_asof else tables["order_reviews"]
     measured = delivery_measures(delivered_orders(tables["orders"]), cutoff if strict_asof else None)
-    placed = F.col(PLACED)
+    placed, observed = F.col(PLACED), F.col("observed")
     per_order = (
         with_person(
             measured.select("order_id", "customer_id", PLACED, "delivery_delay_days", "actual_delivery_days"),
             tables["customers"],
         )
-        .join(items_by_order(tables["order_items"]), "order_id", "left")
+        .join(items_with_categories(tables["order_items"], tables["products"]), "order_id", "left")
         .join(reviews_by_order(reviews), "order_id", "left")
         .withColumn("observed", placed <= cutoff)
     )
-    observed = F.col("observed")
-    bought = observed & F.col("priced_items").isNotNull()
-
-    def when_observed(column: str) -> Column:
-        return F.when(observed, F.col(column))
+    nothing = F.array(F.lit(None).cast("string"))
+    spread = per_order.withColumn(
+        "category", F.explode(F.concat(nothing, F.coalesce("categories", F.array().cast("array<string>"))))
+    )
+    # The row without a category speaks for the order.
+    is_order = F.col("category").isNull()
+    counted = is_order & observed
+    bought = counted & F.col("priced_items").isNotNull()
+    delay = F.col("delivery_delay_days")
 
-    people = (
-        per_order.groupBy(KEY)
-        .agg(
-            F.max(F.when(bought, placed)).alias("last_purchase"),
-            F.count_if(bought).alias("order_count"),
-            _total(when_observed("spend")).alias("total_spend"),
-            _mean(when_observed("spend"), when_observed("priced_items")).alias("avg_order_value"),
-            _total(when_observed("freight")).alias("total_freight"),
-            F.avg(when_observed("delivery_delay_days")).alias("avg_delivery_delay"),
-            F.max(when_observed("delivery_delay_days")).cast("double").alias("max_delivery_delay"),
-            F.avg(when_observed("actual_delivery_days")).alias("avg_delivery_days"),
-            F.try_divide(
-                F.count_if(observed & (F.col("delivery_delay_days") > 0)).cast("double"),
-                F.count_if(observed).cast("double"),
-            ).alias("pct_late_orders"),
-            F.try_divide(
-                F.sum(when_observed("score_sum")).cast("double"),
-                F.sum(when_observed("scores")).cast("double"),
-            ).alias("avg_review_score"),
-            F.min(when_observed("score_min")).cast("double").alias("min_review_score"),
-            F.try_divide(
-                F.sum(when_observed("bad_reviews")).cast("double"),
-                F.sum(when_observed("reviews")).cast("double"),
-            ).alias("pct_bad_reviews"),
-            F.when(F.bool_or(~observed), 0).otherwise(1).alias("churned"),
-        )
-        .where(F.col("order_count") > 0)
-        .withColumn("recency_days", floor_days(cutoff, F.col("last_purchase")))
+    def own(column: str) -> Column:
+        return F.when(counted, F.col(column))
+
+    added = {
+        "order_count": F.count_if(bought),
+        "orders_seen": F.count_if(counted),
+        **{c: F.sum(own(c)) for c in ("spend", "priced_items", "freight", "score_sum", "scores", "bad_reviews", "reviews")},
+        "delay_sum": F.sum(own("delivery_delay_days")),
+        "delays": F.count(own("delivery_delay_days")),
+        "days_sum": F.sum(own("actual_delivery_days")),
+        "transits": F.count(own("actual_delivery_days")),
+        "late": F.count_if(counted & (delay > 0)),
+    }
+    by_category = spread.groupBy(KEY, "category").agg(
+        F.max(F.when(bought, placed)).alias("last_purchase"),
+        F.max(own("delivery_delay_days")).alias("max_delivery_delay"),
+        F.min(own("score_min")).alias("score_min"),
+        F.bool_or(is_order & ~observed).alias("came_back"),
+        F.bool_or(observed & F.coalesce("has_product", F.lit(False))).alias("has_product"),
+        F.bool_or(observed).alias("seen"),
+        *[column.alias(name) for name, column in added.items()],
     )
-    diversity = category_diversity(
-        tables["orders"], tables["customers"], tables["order_items"], tables["products"], cutoff
+    sums = by_category.groupBy(KEY).agg(
+        F.max("last_purchase").alias("last_purchase"),
+        F.max("max_delivery_delay").cast("double").alias("max_delivery_delay"),
+        F.min("score_min").cast("double").alias("min_review_score"),
+        F.bool_or("came_back").alias("came_back"),
+        # Null when none of the items is of a known product.
+        F.when(F.bool_or("has_product"), F.count_if(F.col("category").isNotNull() & F.col("seen"))).alias(
+            "category_diversity"
+        ),
+        *[F.sum(name).alias(name) for name in added],
+    )
+
+    def ratio(top: str, bottom: str) -> Column:
+        return F.try_divide(F.col(top).cast("double"), F.col(bottom).cast("double"))
+
+    people = sums.where(F.col("order_count") > 0).withColumns(
+        {
+            "recency_days": floor_days(cutoff, F.col("last_purchase")),
+            "total_spend": from_units(F.coalesce("spend", F.lit(0))),
+            "avg_order_value": F.try_divide(from_units(F.col("spend")), F.col("priced_items").cast("double")),
+            "total_freight": from_units(F.coalesce("freight", F.lit(0))),
+            "avg_delivery_delay": ratio("delay_sum", "delays"),
+            "avg_delivery_days": ratio("days_sum", "transits"),
+            "pct_late_orders": ratio("late", "orders_seen"),
+            "avg_review_score": ratio("score_sum", "scores"),
+            "pct_bad_reviews": ratio("bad_reviews", "reviews"),
+            "churned": F.when(F.col("came_back"), 0).otherwise(1),
+        }
     )
-    joined = people.join(diversity, KEY, "left").select(KEY, *FULL13, "last_purchase", "churned")
+    joined = people.select(KEY, *FULL13, "last_purchase", "churned")
     return fill_features(joined, fill)

@@ -38,8 +38,20 @@ def test_feature_table_shuffles_each_grain_once(spark, sf_dir):
     try:
         study = Study(order_tables(spark, sf_dir))
         plan = plan_of(study.features()).split("== Physical Plan ==")[1]
-        # The last join by person reuses the partitioning of both aggregations.
-        by_person = re.findall(r"Exchange hashpartitioning\(customer_unique_id#\d+L?, \d+\)", plan)
+        # Items are read once and go to their order once; people are added up twice, by category and alone.
+        assert len(re.findall(r"FileScan parquet .*lineitem\.parquet", plan)) == 1
+        after_items = plan[: plan.index("lineitem.parquet")].splitlines()
+        depth = len(after_items[-1]) - len(after_items[-1].lstrip(" :+-*()0123456789"))
+        by_order, at = 0, depth
+        for line in reversed(after_items):
+            indent = len(line) - len(line.lstrip(" :+-*()0123456789"))
+            if indent < at:
+                at = indent
+                by_order += bool(re.search(r"Exchange hashpartitioning\(order_id#\d+L?, \d+\)", line))
+                if "customer_unique_id" in line and "Exchange" in line:
+                    break
+        assert by_order == 1
+        by_person = re.findall(r"Exchange hashpartitioning\(customer_unique_id#\d+L?, (?:category#\d+, )?\d+\)", plan)
         assert len(by_person) == 2
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
