@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,8 @@ def run_study(
     model found by the search is the one that explains, scores and is saved. All results lie below
     ``out``; the application's scratch tables are deleted at the end.
     """
+    if spark.conf.get("spark.sql.adaptive.enabled") != "true":
+        warnings.warn("adaptive execution is off: joins on best-selling products won't be split", stacklevel=2)
     columns = FEATURE_SETS[feature_set]
     study = Study(tables)
     paths: dict[str, str] = {}
