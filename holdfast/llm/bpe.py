@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from holdfast.llm.chunks import ChunkCache, groups
+from holdfast.llm.chunks import ChunkCache, current, groups, tidy
 
 RANKS = "byte_bpe_50k.tiktoken"
 # Entries after which what is remembered about pairs and words is forgotten; only speed depends on them.
@@ -121,18 +121,14 @@ class MergeTable:
             for chunk in chunks
         ]
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, ids))
 
-
-@lru_cache(maxsize=4)
-def _table(raw: bytes, pattern: str) -> MergeTable:
-    return MergeTable(read_ranks(raw), pattern)
+def _cache(raw: bytes, pattern: str) -> ChunkCache:
+    return current((raw, pattern), lambda: ChunkCache(MergeTable(read_ranks(raw), pattern).encode_all))
 
 
-@lru_cache(maxsize=4)
-def _cache(raw: bytes, pattern: str) -> ChunkCache:
-    return ChunkCache(_table(raw, pattern).encode_all)
+@lru_cache(maxsize=1)
+def _pieces(raw: bytes) -> dict[int, bytes]:
+    return {rank: piece for piece, rank in read_ranks(raw).items()}
 
 
 def _ranks(df: DataFrame, path: str | None):
@@ -165,23 +161,23 @@ def encode(
 
     source = df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     schema = T.StructType([T.StructField("key", df.schema[key].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return source.mapInArrow(run, schema).withColumnRenamed("key", key)
+    return source.mapInArrow(tidy(run, keep_cache=True), schema).withColumnRenamed("key", key)
 
 
 def decode(
-    df: DataFrame, ids: str = "ids", key: str = "doc_id", ranks_path: str | None = None, pattern: str | None = None
+    df: DataFrame, ids: str = "ids", key: str = "doc_id", ranks_path: str | None = None
 ) -> DataFrame:
     """(key, ids, bytes): the bytes the ids stand for. Null ids are no ids; an unknown id is an error."""
-    ranks, pattern = _ranks(df, ranks_path), pattern or public_tokenizers.PATTERN
+    ranks = _ranks(df, ranks_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _table(ranks.value, pattern)
+        piece = _pieces(ranks.value).__getitem__
         for batch in batches:
             column = batch.column(1)
             flat, ends = column.flatten().to_numpy(zero_copy_only=False), column.value_lengths().fill_null(0).to_numpy()
             out, at = [], 0
             for n in ends.tolist():
-                out.append(table.decode(flat[at : at + n].tolist()))
+                out.append(b"".join(map(piece, flat[at : at + n].tolist())))
                 at += n
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), column, pa.array(out, type=pa.binary())], ["key", "ids", "bytes"]
@@ -189,4 +185,4 @@ def decode(
 
     source = df.select(F.col(key).alias("key"), F.col(ids).alias("ids"))
     schema = T.StructType([*source.schema.fields, T.StructField("bytes", T.BinaryType())])
-    return source.mapInArrow(run, schema).withColumnRenamed("key", key)
+    return source.mapInArrow(tidy(run, keep_cache=True), schema).withColumnRenamed("key", key)

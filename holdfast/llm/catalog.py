@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast.llm import bpe, language, lines, minhash, packing, quality, secrets, shards, topk, vector_dedup
+from holdfast.llm.oracle import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -119,4 +122,3 @@ QUERIES: dict[str, Query] = {
     "op9_lines": op9_lines,
     "op10_language": op10_language,
 }
-ORACLE: dict[str, str] = {}

@@ -8,8 +8,12 @@ stands around it, and a text is encoded by encoding the parts between such place
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Hashable, Iterable, Iterator
+
+import pyarrow as pa
 
 # Python's white space contains that of the tokenizers, so every cut found here is one for them.
 CUT = re.compile(r"(?<=\S) ")
@@ -50,6 +54,50 @@ class ChunkCache:
         return out
 
 
+# The cache of this Python worker. Workers are used again by later stages, so there is one at a time.
+_CURRENT: dict[Hashable, ChunkCache] = {}
+
+
+def current(key: Hashable, make: Callable[[], ChunkCache]) -> ChunkCache:
+    """The worker's cache for ``key``, made after another one has been let go."""
+    if key not in _CURRENT:
+        release()
+        _CURRENT[key] = make()
+    return _CURRENT[key]
+
+
+def release() -> None:
+    """Let the worker's cache go and give freed memory back; the allocators keep it otherwise."""
+    _CURRENT.clear()
+    _trim()
+
+
+def _trim() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator], Iterator], keep_cache: bool = False) -> Callable[[Iterator], Iterator]:
+    """``run`` over the batches of a task, leaving a small worker behind.
+
+    Spark keeps several idle Python workers per executor, so what one holds on to counts several times. Only
+    operators that use the worker's cache keep it for their next task.
+    """
+
+    def tidied(batches: Iterator) -> Iterator:
+        if not keep_cache:
+            release()
+        try:
+            yield from run(batches)
+        finally:
+            _trim()
+
+    return tidied
+
+
 def groups(texts: Iterable[str | None]) -> Iterable[list[str]]:
     """Runs of texts of at most GROUP_CHARS characters (one longer text alone); null is the empty text."""
     run, size = [], 0

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from holdfast.llm.chunks import tidy
 from holdfast.llm.common import fold
 
 FOLDS, HELD_OUT = 3, 1
@@ -216,7 +217,7 @@ def train(
                 [batch.column(0), batch.column(2), pa.array(made, type=pa.binary())], ["lang", "draw", "windows"]
             )
 
-    sample = drawn.mapInArrow(run, "lang string, draw long, windows binary")
+    sample = drawn.mapInArrow(tidy(run), "lang string, draw long, windows binary")
     # Ordered, so that the network is the same whichever task ends first.
     taken = sample.orderBy("draw", "lang", "windows").limit(settings.most).collect()
     labels = sorted({r.lang for r in taken})
@@ -266,7 +267,7 @@ def predict(df: DataFrame, network: Network | None, key: str = "doc_id", text: s
             T.StructField("score", T.DoubleType()),
         ]
     )
-    return source.mapInArrow(run, schema).withColumnRenamed("key", key)
+    return source.mapInArrow(tidy(run), schema).withColumnRenamed("key", key)
 
 
 def identify(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from holdfast.llm.chunks import tidy
 from holdfast.llm.common import components, sieve, two_hashes, without
 from holdfast.session import materialise
 
@@ -140,7 +141,7 @@ def _by_document(df: DataFrame, compute, result: list[T.StructField]) -> DataFra
                     [*(batch.column(i) for i in range(len(carried))), *made], [f.name for f in schema.fields]
                 )
 
-    return df.select(*carried, "words").mapInArrow(run, schema)
+    return df.select(*carried, "words").mapInArrow(tidy(run), schema)
 
 
 def _signed(words: np.ndarray, k: int) -> tuple:

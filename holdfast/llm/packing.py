@@ -16,7 +16,6 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -28,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from holdfast.llm.chunks import ChunkCache, groups
+from holdfast.llm.chunks import ChunkCache, current, groups, tidy
 
 VOCABULARY = "byte_bpe_50k.json"
 # Ends every example.
@@ -124,9 +123,8 @@ class ChunkEncoder:
         return out
 
 
-@lru_cache(maxsize=2)
 def _chunk_cache(vocabulary: str) -> ChunkCache:
-    return ChunkCache(ChunkEncoder(vocabulary).encode_all)
+    return current(vocabulary, lambda: ChunkCache(ChunkEncoder(vocabulary).encode_all))
 
 
 def tokenise(
@@ -154,7 +152,7 @@ def tokenise(
 
     source = df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     schema = T.StructType([T.StructField("key", df.schema[key].dataType), T.StructField("tokens", T.BinaryType())])
-    found = source.mapInArrow(run, schema).withColumnRenamed("key", key)
+    found = source.mapInArrow(tidy(run, keep_cache=True), schema).withColumnRenamed("key", key)
     return found.withColumn("n_prompt", F.lit(1))
 
 
@@ -270,4 +268,4 @@ def pack(
             yield taken()
 
     source = df.select(F.col(key).alias("key"), F.col(tokens).alias("tokens"), F.col(n_prompt).cast("int").alias("n_prompt"))
-    return source.mapInArrow(run, schema).withColumnRenamed("key", key)
+    return source.mapInArrow(tidy(run, keep_cache=True), schema).withColumnRenamed("key", key)

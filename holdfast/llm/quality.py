@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from holdfast.llm.chunks import tidy
 from holdfast.llm.common import fold, fresh, keep_rows
 
 FOLDS = 5
@@ -200,7 +201,7 @@ def _sample(df: DataFrame, ids: DataFrame, key: str, text: str, n: int) -> np.nd
     chosen = keep_rows(df, F.broadcast(ids), key).select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     schema = T.StructType([T.StructField("key", df.schema[key].dataType), T.StructField("features", T.BinaryType())])
     # Ordered, so that the sample and with it the model is the same whichever task ends first.
-    rows = chosen.mapInArrow(run, schema).orderBy("key", "features").limit(n).collect()
+    rows = chosen.mapInArrow(tidy(run), schema).orderBy("key", "features").limit(n).collect()
     return np.frombuffer(b"".join(r.features for r in rows), dtype=np.float32).reshape(-1, WIDTH).astype(np.float64)
 
 
@@ -240,7 +241,7 @@ def score(df: DataFrame, model: Model, name: str = "score", key: str = "doc_id",
 
     source = df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     schema = T.StructType([T.StructField("key", df.schema[key].dataType), T.StructField(name, T.DoubleType())])
-    return source.mapInArrow(run, schema).withColumnRenamed("key", key)
+    return source.mapInArrow(tidy(run), schema).withColumnRenamed("key", key)
 
 
 def trusted(labels: DataFrame, key: str = "doc_id", quality: str = "quality", folds: int = FOLDS) -> DataFrame:
@@ -286,4 +287,4 @@ def keep_good(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
                 scores = model.score([t or "" for t in part.column(at).to_pylist()])
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores, type=pa.float64())], schema.names)
 
-    return df.mapInArrow(run, schema).where(F.col(name) >= threshold).drop(name)
+    return df.mapInArrow(tidy(run), schema).where(F.col(name) >= threshold).drop(name)

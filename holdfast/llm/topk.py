@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from holdfast.llm.chunks import tidy
 from holdfast.llm.common import two_hashes
 from holdfast.session import materialise
 
@@ -126,7 +127,7 @@ class Search:
                 )
 
         schema = "id long, vector array<bigint>, pivot long, distance double"
-        return vectors.select("id", "vector").mapInArrow(run, schema)
+        return vectors.select("id", "vector").mapInArrow(tidy(run), schema)
 
     def _plan(self, queries: DataFrame, near: bool) -> DataFrame:
         """(pivot, ring, id, vector, bound, chunk): the rings each query searches. ``near``: those around its own
@@ -162,7 +163,7 @@ class Search:
                 )
 
         schema = "id long, vector array<bigint>, bound double, chunk long, pivot long, ring long"
-        return queries.select("id", "vector", "bound", "chunk").mapInArrow(run, schema)
+        return queries.select("id", "vector", "bound", "chunk").mapInArrow(tidy(run), schema)
 
     def _scored(self, plan: DataFrame, chunks: int) -> DataFrame:
         """(query_id, vec_id, score): of each block a query searches, its best k rows."""

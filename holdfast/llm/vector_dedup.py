@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from holdfast.llm.chunks import tidy
 from holdfast.llm.common import components, two_hashes
 from holdfast.session import materialise
 
@@ -110,7 +111,7 @@ def _dealt(vectors: DataFrame, size: int) -> DataFrame:
                     [own.column(0), own.column(1), pa.array(found, type=pa.list_(pa.int64()))], ["node", "dim", "filters"]
                 )
 
-    return vectors.select("node", "dim", "vector").mapInArrow(run, schema).select("node", "dim", F.explode("filters").alias("filter"))
+    return vectors.select("node", "dim", "vector").mapInArrow(tidy(run), schema).select("node", "dim", F.explode("filters").alias("filter"))
 
 
 def _smallest_common(lists: list[np.ndarray], filter_id: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -204,7 +205,7 @@ def _linked(dealt: DataFrame, least: float, size: int) -> DataFrame:
         if made:
             yield taken()
 
-    return dealt.mapInArrow(run, schema)
+    return dealt.mapInArrow(tidy(run), schema)
 
 
 def near_vectors(df: DataFrame, vector: str = "embedding", key: str = "vec_id", cosine: float = COSINE) -> DataFrame:
