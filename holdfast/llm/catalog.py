@@ -78,7 +78,7 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 1024 tokens."""
-    pieces = packing.pack(packing.tokenise(documents(spark, sf_dir)))
+    pieces = packing.pack_texts(documents(spark, sf_dir))
     return pieces.select(
         "doc_id",
         "start",

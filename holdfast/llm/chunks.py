@@ -30,7 +30,7 @@ class ChunkCache:
     that came once, is forgotten.
     """
 
-    def __init__(self, encode_all: Callable[[list[str]], list[bytes]], room: int = 600_000):
+    def __init__(self, encode_all: Callable[[list[str]], list[bytes]], room: int = 400_000):
         self._encode_all, self._room = encode_all, room
         self._known: dict[str, bytes] = {}
 

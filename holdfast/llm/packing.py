@@ -14,7 +14,7 @@ of a task stays partly filled.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -127,20 +127,20 @@ def _chunk_cache(vocabulary: str) -> ChunkCache:
     return current(vocabulary, lambda: ChunkCache(ChunkEncoder(vocabulary).encode_all))
 
 
-def tokenise(
-    df: DataFrame, text: str = "text", key: str = "doc_id", path: str | None = None, end_id: int = END_ID
-) -> DataFrame:
-    """(key, tokens, n_prompt): each whole text's ids and ``end_id``, as little-endian unsigned 32-bit binary.
+Batches = Iterator[pa.RecordBatch]
 
-    Null and empty texts have the end id alone. ``n_prompt``, the ids at the start that
-    bear no loss, is 1: nothing predicts a document's first id. Repeated rows stay, other
-    columns are left out.
-    """
+
+def _texts(df: DataFrame, text: str, key: str) -> DataFrame:
+    return df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+
+
+def _tokeniser(df: DataFrame, path: str | None, end_id: int) -> Callable[[Batches], Batches]:
+    """From batches of (key, text) to batches of (key, tokens, n_prompt)."""
     with open(path or public_tokenizers.path(VOCABULARY), encoding="utf-8") as file:
         vocabulary = df.sparkSession.sparkContext.broadcast(file.read())  # a vocabulary file, under 2 MB
     end = np.array([end_id], dtype="<u4").tobytes()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Batches) -> Batches:
         cache = _chunk_cache(vocabulary.value)
         for batch in batches:
             done = 0
@@ -148,12 +148,25 @@ def tokenise(
                 tokens = pa.array([ids + end for ids in cache.encode(texts)], type=pa.binary())
                 keys = batch.column(0).slice(done, len(texts))
                 done += len(texts)
-                yield pa.RecordBatch.from_arrays([keys, tokens], ["key", "tokens"])
+                prompts = pa.array([1] * len(texts), type=pa.int32())
+                yield pa.RecordBatch.from_arrays([keys, tokens, prompts], ["key", "tokens", "n_prompt"])
 
-    source = df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    schema = T.StructType([T.StructField("key", df.schema[key].dataType), T.StructField("tokens", T.BinaryType())])
-    found = source.mapInArrow(tidy(run, keep_cache=True), schema).withColumnRenamed("key", key)
-    return found.withColumn("n_prompt", F.lit(1))
+    return run
+
+
+def tokenise(
+    df: DataFrame, text: str = "text", key: str = "doc_id", path: str | None = None, end_id: int = END_ID
+) -> DataFrame:
+    """(key, tokens, n_prompt): each whole text's ids and ``end_id``, as little-endian unsigned 32-bit binary.
+
+    Null and empty texts have the end id alone. ``n_prompt``, the ids at the start that
+    bear no loss, is 1: nothing predicts a document's first id. Repeated rows stay, other
+    columns are left out.
+    """
+    fields = [T.StructField("tokens", T.BinaryType()), T.StructField("n_prompt", T.IntegerType())]
+    schema = T.StructType([T.StructField("key", df.schema[key].dataType), *fields])
+    run = tidy(_tokeniser(df, path, end_id), keep_cache=True)
+    return _texts(df, text, key).mapInArrow(run, schema).withColumnRenamed("key", key)
 
 
 class Packer:
@@ -229,33 +242,23 @@ class Packer:
         self._needs = needs[here]
 
 
-def pack(
-    df: DataFrame, limits: Limits = Limits(), key: str = "doc_id", tokens: str = "tokens", n_prompt: str = "n_prompt"
-) -> DataFrame:
-    """One row per piece: (key, start, length, piece, n_tokens, sequence_id, offset).
+NAMES = ["key", "start", "length", "piece", "n_tokens", "sequence_id", "offset"]
 
-    Every id of every example lies in exactly one piece; ``piece`` has its ids as
-    little-endian binary, ``start`` counts the example's ids before it, ``offset`` the ids
-    before it in its sequence. Null or empty ``tokens`` give no piece, a null ``n_prompt``
-    is 0, repeated rows are packed like any others. Sequence numbers are unique, not
-    dense. A task that runs again packs alike if it reads its rows in the same order, as from files.
-    """
+
+def _packer(limits: Limits) -> Callable[[Batches], Batches]:
+    """From batches of (key, tokens, n_prompt) to batches of NAMES."""
     if min(limits.tokens, limits.segments, limits.loss_tokens) < 1:
         raise ValueError("limits must be positive")
-    names = ["key", "start", "length", "piece", "n_tokens", "sequence_id", "offset"]
-    fields = [T.StructField(n, T.BinaryType() if n == "piece" else T.LongType()) for n in names[1:]]
-    schema = T.StructType([T.StructField("key", df.schema[key].dataType), *fields])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Batches) -> Batches:
         packer = Packer(limits, TaskContext.get().partitionId() * PER_TASK)
-        types, kind = {"piece": pa.binary()}, None
+        kind = None
 
         def taken() -> pa.RecordBatch:
-            columns = list(zip(*packer.rows))
+            types = {"key": kind, "piece": pa.binary()}
+            columns = [pa.array(c, type=types.get(n, pa.int64())) for n, c in zip(NAMES, zip(*packer.rows))]
             packer.rows = []
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, type=kind if n == "key" else types.get(n, pa.int64())) for n, c in zip(names, columns)], names
-            )
+            return pa.RecordBatch.from_arrays(columns, NAMES)
 
         for batch in batches:
             kind = batch.column(0).type
@@ -267,5 +270,38 @@ def pack(
         if packer.rows:
             yield taken()
 
+    return run
+
+
+def _pieces(df: DataFrame, key: str) -> T.StructType:
+    fields = [T.StructField(n, T.BinaryType() if n == "piece" else T.LongType()) for n in NAMES[1:]]
+    return T.StructType([T.StructField("key", df.schema[key].dataType), *fields])
+
+
+def pack(
+    df: DataFrame, limits: Limits = Limits(), key: str = "doc_id", tokens: str = "tokens", n_prompt: str = "n_prompt"
+) -> DataFrame:
+    """One row per piece: (key, start, length, piece, n_tokens, sequence_id, offset).
+
+    Every id of every example lies in exactly one piece; ``piece`` has its ids as
+    little-endian binary, ``start`` counts the example's ids before it, ``offset`` the ids
+    before it in its sequence. Null or empty ``tokens`` give no piece, a null ``n_prompt``
+    is 0, repeated rows are packed like any others. Sequence numbers are unique, not
+    dense. A task that runs again packs alike if it reads its rows in the same order, as from files.
+    """
     source = df.select(F.col(key).alias("key"), F.col(tokens).alias("tokens"), F.col(n_prompt).cast("int").alias("n_prompt"))
-    return source.mapInArrow(tidy(run, keep_cache=True), schema).withColumnRenamed("key", key)
+    return source.mapInArrow(tidy(_packer(limits)), _pieces(df, key)).withColumnRenamed("key", key)
+
+
+def pack_texts(
+    df: DataFrame,
+    limits: Limits = Limits(),
+    text: str = "text",
+    key: str = "doc_id",
+    path: str | None = None,
+    end_id: int = END_ID,
+) -> DataFrame:
+    """``pack`` of ``tokenise``, in one Python worker per task, so that no ids travel between two."""
+    tokens, packed = _tokeniser(df, path, end_id), _packer(limits)
+    run = tidy(lambda batches: packed(tokens(batches)), keep_cache=True)
+    return _texts(df, text, key).mapInArrow(run, _pieces(df, key)).withColumnRenamed("key", key)

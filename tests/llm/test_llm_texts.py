@@ -105,6 +105,9 @@ def test_packing_covers_every_id_once(spark, tmp_path):
             assert offset == at
             at += length
         assert at <= 1024
+    # In two steps it is the same.
+    apart = packing.pack(packing.tokenise(frame))
+    assert sorted((r.doc_id, r.length) for r in apart.collect()) == sorted((r.doc_id, r.length) for r in rows)
     used = sum(r.length for r in rows)
     tasks = len({s // packing.PER_TASK for s in by_sequence})
     assert len(by_sequence) <= used // 1024 + tasks + 1
