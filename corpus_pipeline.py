@@ -43,7 +43,7 @@ def no_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of at most 1024 tokens, with their ids."""
-    return packing.pack(packing.tokenise(docs))
+    return packing.pack_texts(docs)
 
 
 STAGES = [
