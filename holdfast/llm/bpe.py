@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from holdfast.llm.chunks import ChunkCache, current, groups, tidy
+from holdfast.llm.chunks import ChunkCache, current, groups, texts_of, tidy
 
 RANKS = "byte_bpe_50k.tiktoken"
 # Entries after which what is remembered about pairs and words is forgotten; only speed depends on them.
@@ -151,7 +151,7 @@ def encode(
         cache = _cache(ranks.value, pattern)
         for batch in batches:
             done = 0
-            for texts in groups(batch.column(1).to_pylist()):
+            for texts in groups(texts_of(batch.column(1))):
                 encoded = cache.encode(texts)
                 ends = np.cumsum([0, *(len(ids) // 4 for ids in encoded)], dtype=np.int32)
                 ids = pa.array(np.frombuffer(b"".join(encoded), dtype="<i4"), type=pa.int32())

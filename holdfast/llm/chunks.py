@@ -98,6 +98,12 @@ def tidy(run: Callable[[Iterator], Iterator], keep_cache: bool = False) -> Calla
     return tidied
 
 
+def texts_of(column: pa.Array) -> Iterator[str | None]:
+    """A batch's texts, some hundred at a time in Python's memory."""
+    for start in range(0, len(column), 500):
+        yield from column.slice(start, 500).to_pylist()
+
+
 def groups(texts: Iterable[str | None]) -> Iterable[list[str]]:
     """Runs of texts of at most GROUP_CHARS characters (one longer text alone); null is the empty text."""
     run, size = [], 0

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from holdfast.llm.chunks import ChunkCache, current, groups, tidy
+from holdfast.llm.chunks import ChunkCache, current, groups, texts_of, tidy
 
 VOCABULARY = "byte_bpe_50k.json"
 # Ends every example.
@@ -144,7 +144,7 @@ def _tokeniser(df: DataFrame, path: str | None, end_id: int) -> Callable[[Batche
         cache = _chunk_cache(vocabulary.value)
         for batch in batches:
             done = 0
-            for texts in groups(batch.column(1).to_pylist()):
+            for texts in groups(texts_of(batch.column(1))):
                 tokens = pa.array([ids + end for ids in cache.encode(texts)], type=pa.binary())
                 keys = batch.column(0).slice(done, len(texts))
                 done += len(texts)
