@@ -11,7 +11,7 @@ from holdfast.functions import currency_text, cut, cut_ordinal, from_units, mone
 from holdfast.operators.explore import histogram
 from holdfast.sources.schemas import KEY
 
-# Bin edges and labels of the segments and tiers.
+# Bin edges and labels of the segments and tiers, and the action for each tier.
 DELAY_EDGES = (-99, 0, 3, 7, 99)
 DELAY_LABELS = ("On time", "1-3 days late", "4-7 days late", "7+ days late")
 REVIEW_EDGES = (0, 2, 3, 4, 5.01)
@@ -76,7 +76,10 @@ def churn_by_bin(
     name: str = "segment",
     include_lowest: bool = False,
 ) -> DataFrame:
-    """Churn rate and size per bin of ``value``; empty bins have a null rate."""
+    """Churn rate and size per bin of ``value``; empty bins have a null rate.
+
+    Values beyond the outer edges, and nulls, are in no bin and count nowhere.
+    """
     ordinal = cut_ordinal(F.col(value), edges, include_lowest=include_lowest)
     rates = (
         features.groupBy(ordinal.alias("ordinal"))
