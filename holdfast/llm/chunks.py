@@ -13,6 +13,7 @@ import gc
 import re
 from collections.abc import Callable, Hashable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 
 # Python's white space contains that of the tokenizers, so every cut found here is one for them.
@@ -98,6 +99,22 @@ def tidy(run: Callable[[Iterator], Iterator], keep_cache: bool = False) -> Calla
     return tidied
 
 
+def key_runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Runs of at least two rows with the same integer ``keys``, of sorted batches; a run may go on in the next batch."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = pa.concat_tables([rest, table]) if rest is not None else table
+        values = np.stack([table.column(c).to_numpy() for c in keys])
+        starts = [0, *(np.nonzero((values[:, 1:] != values[:, :-1]).any(axis=0))[0] + 1).tolist()]
+        for start, end in zip(starts[:-1], starts[1:]):
+            if end - start > 1:
+                yield table.slice(start, end - start)
+        rest = table.slice(starts[-1]) if table.num_rows else None
+    if rest is not None and rest.num_rows > 1:
+        yield rest
+
+
 def texts_of(column: pa.Array) -> Iterator[str | None]:
     """A batch's texts, some hundred at a time in Python's memory."""
     for start in range(0, len(column), 500):

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from holdfast.llm.chunks import tidy
+from holdfast.llm.chunks import key_runs, tidy
 from holdfast.llm.common import components, sieve, two_hashes, without
 from holdfast.session import materialise
 
@@ -31,6 +31,8 @@ BANDS, ROWS = 20, 5
 FINER, FINER_ROWS = 4, 2
 # Pairs whose signatures agree this much less than the threshold (four to five standard errors) aren't checked exactly.
 MARGIN = 0.2
+# So many members of a bucket are compared with one another, or with so many others, at once; and pairs at a time in memory.
+TILE, PAIRS = 512, 20_000
 ROWS_OUT = 2_000
 
 _MIX = [np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15)]
@@ -150,7 +152,8 @@ def _signed(words: np.ndarray, k: int) -> tuple:
 
 
 def _bucket_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of (bucket, doc, n): each bucket's smallest document with every other, and the members of buckets of three and more.
+    """Of (bucket, doc, n): each bucket's smallest document with every other, and the members of buckets of three and more
+    with that smallest one.
 
     Buckets are reduced to a count and two documents; none is ever listed.
     """
@@ -172,8 +175,12 @@ def _bucket_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     return twos.union(stars), larger
 
 
-def near_pairs(signed: DataFrame, threshold: float, bands: int, rows: int) -> DataFrame:
-    """(a, b), a below b: documents of (doc, n, signature) that share a band and may reach the threshold."""
+def near_pairs(signed: DataFrame, threshold: float, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
+    """(a, b), a below b: documents of (doc, n, signature) that share a band and may reach the threshold, and the
+    members of large buckets.
+
+    A first pass that links most of a group of near copies with few comparisons; ``rest_pairs`` gives what it leaves out.
+    """
     signature = F.col("signature")
     key = F.transform(
         F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.xxhash64(b, F.slice(signature, b * rows + 1, F.lit(rows)))
@@ -200,7 +207,95 @@ def near_pairs(signed: DataFrame, threshold: float, bands: int, rows: int) -> Da
         sieve(signed, "doc", found.select(c)).select(F.col("doc").alias(c), signature.alias(f"s_{c}")) for c in ("a", "b")
     )
     alike = F.size(F.filter(F.arrays_zip("s_a", "s_b"), lambda s: s["s_a"] == s["s_b"]))
-    return found.join(left, "a").join(right, "b").where(alike >= (threshold - MARGIN) * bands * rows).select("a", "b")
+    alike_enough = alike >= (threshold - MARGIN) * bands * rows
+    return found.join(left, "a").join(right, "b").where(alike_enough).select("a", "b"), larger
+
+
+def _open_pairs(group: pa.Table, threshold: float, bands: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (i, j) of different classes that may reach the threshold and share no band before this one."""
+    n, tile = (group.column(c).to_numpy() for c in ("n", "tile"))
+    of_class = group.column("class").combine_chunks().dictionary_encode().indices.to_numpy()
+    signatures = group.column("signature").combine_chunks().flatten().to_numpy().reshape(-1, bands * rows)
+    band, x, y = (group.column(c)[0].as_py() for c in ("band", "x", "y"))
+    left, right = np.nonzero(tile == x)[0], np.nonzero(tile == y)[0]
+    fits = of_class[left, None] != of_class[None, right]
+    fits &= np.minimum(n[left, None], n[None, right]) >= threshold * np.maximum(n[left, None], n[None, right])
+    if x == y:
+        fits &= left[:, None] < right[None, :]
+    i, j = np.nonzero(fits)
+    i, j = left[i], right[j]
+    kept = []
+    for first in range(0, len(i), PAIRS):
+        a, b = i[first : first + PAIRS], j[first : first + PAIRS]
+        same = signatures[a] == signatures[b]
+        near = np.nonzero(same.sum(axis=1) >= (threshold - MARGIN) * bands * rows)[0]
+        shared = same[near].reshape(-1, bands, rows).all(axis=2)
+        kept.append(first + near[shared[:, band] & (shared.argmax(axis=1) == band)])
+    found = np.concatenate(kept) if kept else np.zeros(0, dtype=np.int64)
+    return i[found], j[found]
+
+
+def rest_pairs(
+    signed: DataFrame, larger: DataFrame, classes: DataFrame, threshold: float, bands: int, rows: int
+) -> DataFrame:
+    """(a, b), a below b: the pairs of large buckets that ``classes`` leaves apart and that may reach the threshold.
+
+    Members of one class need no comparing, nor does a bucket's smallest document, which met all others. Every
+    other pair is compared by its signatures, in tiles over many tasks, and given by the first band it shares only.
+    """
+    of_doc = classes.select(F.col("node").alias("doc"), F.col("component").alias("class"))
+    others = larger.where(F.col("doc") != F.col("lowest.doc")).select("bucket", "band", "doc", "n")
+    others = materialise(
+        others.join(of_doc, "doc", "left").withColumn("class", F.coalesce("class", "doc")), "bucket-classes"
+    )
+    mixed = materialise(
+        others.groupBy("bucket")
+        .agg(F.ceil(F.count("*") / TILE).alias("tiles"), F.min("class").alias("low"), F.max("class").alias("high"))
+        .where("low != high")
+        .select("bucket", "tiles"),
+        "mixed-buckets",
+    )
+    left_apart = materialise(sieve(others, "bucket", mixed.select("bucket")).join(mixed, "bucket"), "left-apart")
+    signatures = sieve(signed.select("doc", "signature"), "doc", left_apart.select("doc"))
+    placed = (
+        left_apart.join(signatures, "doc")
+        .withColumn("tile", F.pmod(F.xxhash64("doc"), F.col("tiles")))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
+        .withColumns({"x": F.least("tile", "other"), "y": F.greatest("tile", "other")})
+        .select("bucket", "x", "y", "tile", "band", "doc", "n", "class", "signature")
+    )
+    grouped = placed.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y")
+    doc = signed.schema["doc"].dataType
+    schema = T.StructType([T.StructField("a", doc), T.StructField("b", doc)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in key_runs(batches, ["bucket", "x", "y"]):
+            i, j = _open_pairs(group, threshold, bands, rows)
+            docs = group.column("doc").combine_chunks()
+            for first in range(0, len(i), PAIRS):
+                a, b = (docs.take(pa.array(rows_of[first : first + PAIRS])) for rows_of in (i, j))
+                yield pa.RecordBatch.from_arrays([a, b], ["a", "b"])
+
+    found = grouped.mapInArrow(tidy(run), schema)
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def _links(source: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+    """Those of ``pairs`` whose texts' shingles reach the threshold, by exact Jaccard similarity."""
+    ids = pairs.select("a").union(pairs.select("b")).distinct()
+    # An inner join, because the optimizer would move a semi join below the sieve and shuffle every text.
+    wanted = sieve(source, "doc", ids).join(ids.toDF("doc"), "doc").select("doc", words_of(F.col("text")).alias("words"))
+    words = wanted.groupBy("doc").agg(F.min_by("words", F.struct(*two_hashes(F.col("words")))).alias("words"))
+    fields = [T.StructField("shingles", T.ArrayType(T.LongType()))]
+    sets = materialise(_by_document(words, lambda w: (shingles(w).view(np.int64),), fields), "shingles")
+    left, right = (sets.select(F.col("doc").alias(c), F.col("shingles").alias(f"s_{c}")) for c in ("a", "b"))
+    common = F.size(F.array_intersect("s_a", "s_b"))
+    return (
+        pairs.join(left, "a")
+        .join(right, "b")
+        .where(common >= F.lit(threshold) * (F.size("s_a") + F.size("s_b") - common))
+        .select("a", "b")
+    )
 
 
 def near_duplicates(
@@ -216,8 +311,10 @@ def near_duplicates(
     Two documents are linked if the Jaccard similarity of their distinct shingles of five words (lower
     case, cut at white space; fewer words are one shingle) is at least ``threshold``, which is checked exactly. Equal
     texts are one document for all of this. Pairs are found if they share a band of the signature: at 0.8 all but
-    4 in 10,000, at 0.9 all but 2 in 100 million. Null, empty and blank texts have no words and are copies of one another, rows
-    without a key have no class, repeated rows stay, rows of one key are one document, other columns are left out.
+    4 in 10,000, at 0.9 all but 2 in 100 million. Of a band's bucket every pair is compared that isn't in one class already,
+    so many different texts that share a band without being near copies cost the square of their number. Null, empty and
+    blank texts have no words and are copies of one another, rows without a key have no class, repeated rows stay, rows of
+    one key are one document, other columns are left out.
     """
     k = bands * rows
     source = df.select(F.col(key).alias("doc"), F.col(text).cast("string").alias("text"))
@@ -236,22 +333,15 @@ def near_duplicates(
     one_each = (
         texts.groupBy("doc").agg(F.min_by(F.struct("n", "signature"), F.struct("h1", "h2")).alias("t")).select("doc", "t.*")
     )
-    pairs = materialise(near_pairs(one_each.where("n > 0"), threshold, bands, rows), "pairs")
-    ids = pairs.select("a").union(pairs.select("b")).distinct()
-    # An inner join, because the optimizer would move a semi join below the sieve and shuffle every text.
-    wanted = sieve(source, "doc", ids).join(ids.toDF("doc"), "doc").select("doc", words_of(F.col("text")).alias("words"))
-    words = wanted.groupBy("doc").agg(F.min_by("words", F.struct(*two_hashes(F.col("words")))).alias("words"))
-    fields = [T.StructField("shingles", T.ArrayType(T.LongType()))]
-    sets = materialise(_by_document(words, lambda w: (shingles(w).view(np.int64),), fields), "shingles")
-    left, right = (sets.select(F.col("doc").alias(c), F.col("shingles").alias(f"s_{c}")) for c in ("a", "b"))
-    common = F.size(F.array_intersect("s_a", "s_b"))
-    links = (
-        pairs.join(left, "a")
-        .join(right, "b")
-        .where(common >= F.lit(threshold) * (F.size("s_a") + F.size("s_b") - common))
-        .select("a", "b")
-    )
-    classes = components(links)
+    one_each = one_each.where("n > 0")
+    pairs, larger = near_pairs(one_each, threshold, bands, rows)
+    pairs = materialise(pairs, "pairs")
+    classes = components(_links(source, pairs, threshold))
+    rest = rest_pairs(one_each, larger, classes, threshold, bands, rows)
+    rest = materialise(rest.join(pairs, ["a", "b"], "left_anti"), "rest-pairs")
+    if not rest.isEmpty():
+        known = classes.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        classes = components(known.union(_links(source, rest, threshold)))
     of_text = texts.select("h1", "h2", F.col("doc").alias("node")).join(classes, "node", "left")
     of_text = of_text.select("h1", "h2", F.coalesce("component", "node").alias("class_id"))
     return signed.select("doc", "h1", "h2").join(of_text, ["h1", "h2"], "left").select(

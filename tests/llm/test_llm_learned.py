@@ -196,6 +196,35 @@ def test_near_duplicates_equal_brute_force(spark, tmp_path):
     assert collections.Counter((r.doc_id, r.class_id, r.kept) for r in got) == want
 
 
+def template_texts(seed, n):
+    """Form letters of 20 clauses, each now and then in another version: one clause apart is linked, two are not."""
+    rng = random.Random(seed)
+    clauses = [[" ".join(words(rng, 10)) for _ in range(3)] for _ in range(20)]
+    return [" ".join(c[rng.choice([1, 2]) if rng.random() < 0.12 else 0] for c in clauses) for _ in range(n)]
+
+
+def template_classes(texts):
+    """Of numbered texts: the smallest number each is linked to, by brute force."""
+    sets = [shingle_set(t) for t in texts]
+    pairs = ((a, b) for a in range(len(sets)) for b in range(a + 1, len(sets)))
+    return roots(range(len(sets)), [(a, b) for a, b in pairs if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])])
+
+
+@pytest.mark.parametrize("tile", [512, 30])
+def test_near_duplicates_of_a_template_family(spark, monkeypatch, tile):
+    monkeypatch.setattr(minhash, "TILE", tile)
+    rng = random.Random(3)
+    # Two texts of each group are linked with one another but not with the group's smallest.
+    base = [words(rng, 100) for _ in range(20)]
+    texts = [" ".join([*b[:76], *words(rng, 24)]) for b in base]
+    texts += [" ".join([*b, *end]) for b in base for end in (["p"], ["q"])]
+    texts += template_texts(5, 300)
+    want = template_classes(texts)
+    assert any(k >= 20 and k != root for k, root in want.items()) and len(set(want.values())) > 100
+    frame = docs(spark, [(k, t, "en") for k, t in enumerate(texts)])
+    assert {r.doc_id: r.class_id for r in minhash.near_duplicates(frame).collect()} == want
+
+
 def test_near_duplicates_of_nothing(spark):
     frame = docs(spark, [(1, "a b", "en")])
     assert minhash.near_duplicates(frame.limit(0)).count() == 0
