@@ -352,6 +352,14 @@ def test_gradient_of_the_network():
         assert abs((up - down) / (2 * step) - g[at]) < 0.05 * abs(g[at]) + 1e-3
 
 
+def test_pipeline_keeps_one_text_of_each_class_of_a_template_family(spark, sf_dir):
+    texts = template_texts(9, 400)
+    want = template_classes(texts)
+    frame = docs(spark, [(k, t, "en") for k, t in enumerate(texts)])
+    kept = dict(corpus_pipeline.STAGES)["MinHash near-dedup"](spark, frame, sf_dir)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values()))
+
+
 def test_pipeline_stages(spark, sf_dir):
     sf_dir = sf_dir.replace("0.001", "0.01")  # the smallest that holds a secret in a good text
     docs_in = spark.read.parquet(f"{sf_dir}/documents.parquet")
