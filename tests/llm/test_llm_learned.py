@@ -151,6 +151,18 @@ def test_filters_find_nearly_all_pairs_just_over_the_limit():
     assert np.mean(met) >= 0.99
 
 
+@pytest.mark.parametrize("vectors_in_all", [200_000, 5_000_000, 50_000_000])
+def test_no_pair_just_over_the_limit_is_lost_in_large_tables(vectors_in_all):
+    rng = np.random.default_rng(6)
+    a = rng.standard_normal((1_000, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    away = rng.standard_normal((1_000, 64))
+    away -= (away * a).sum(axis=1, keepdims=True) * a
+    b = 0.9 * a + np.sqrt(1 - 0.81) * away / np.linalg.norm(away, axis=1, keepdims=True)
+    filters = vector_dedup._filters(64, vector_dedup.code_size(vectors_in_all))
+    assert all(len(np.intersect1d(x, y)) for x, y in zip(filters.decode(a), filters.decode(b)))
+
+
 def words(rng, n):
     return [rng.choice(["la", "ne", "tor", "mi", "sa", "qu", "ve"]) + str(rng.randint(0, 400)) for _ in range(n)]
 
