@@ -44,4 +44,22 @@ owned AS (SELECT *, length(key) >= 10 AND min(doc_id) OVER (PARTITION BY key) <
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
 FROM owned GROUP BY doc_id""",
+    "op13_infill": """
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h,
+    regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units FROM documents),
+drawn AS (
+  SELECT *, len(units) AS n, list_transform([1, 9, 17, 25], lambda i: ('0x' || substr(h, i, 8))::BIGINT) AS draws FROM cut),
+placed AS (
+  SELECT *, least(draws[1] % (n + 1), draws[2] % (n + 1)) AS one, greatest(draws[1] % (n + 1), draws[2] % (n + 1)) AS two,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR draws[3] % 100 >= 100
+      THEN 'plain' WHEN draws[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+parts AS (
+  SELECT *, array_to_string(units[1:one], '') AS prefix, array_to_string(units[one + 1:two], '') AS middle,
+    array_to_string(units[two + 1:], '') AS suffix FROM placed)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256
+FROM parts""",
 }
