@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import bpe, infill, language, lines, minhash, packing, quality, secrets, shards, topk, vector_dedup
+from holdfast.llm import bpe, infill, language, lines, minhash, packing, phrases, quality, secrets, shards, topk, vector_dedup
 from holdfast.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -110,6 +110,11 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(documents(spark, sf_dir))
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's best collocations."""
+    return phrases.collocations(documents(spark, sf_dir))
+
+
 def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text cut and put in another order, and rebuilt from that; both as digests."""
     both = infill.restore(infill.rearrange(documents(spark, sf_dir)))
@@ -135,5 +140,6 @@ QUERIES: dict[str, Query] = {
     "op8_quality": op8_quality,
     "op9_lines": op9_lines,
     "op10_language": op10_language,
+    "op12_phrases": op12_phrases,
     "op13_infill": op13_infill,
 }

@@ -44,6 +44,40 @@ owned AS (SELECT *, length(key) >= 10 AND min(doc_id) OVER (PARTITION BY key) <
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
 FROM owned GROUP BY doc_id""",
+    "op12_phrases": """
+WITH plain AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+pieces AS (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\n-\r]')) AS piece FROM plain),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS words FROM pieces),
+placed AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM worded),
+sized AS (SELECT lang, words, i, unnest(range(1, 6)) AS m FROM placed),
+counted AS (
+  SELECT lang, m, array_to_string(words[i:i + m - 1], ' ') AS phrase, count(*) AS f
+  FROM sized WHERE i + m - 1 <= len(words) GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counted WHERE m = 1 GROUP BY lang),
+candidates AS (SELECT * FROM counted WHERE m > 1 AND f >= 100),
+cuts AS (
+  SELECT lang, phrase, f, m, unnest(range(1, m)) AS k, string_split(phrase, ' ') AS words FROM candidates),
+scored AS (
+  SELECT c.lang, c.phrase, c.f AS a, k, x.f AS l, y.f AS r, n,
+    ((1000::HUGEINT * c.f * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cuts c JOIN totals USING (lang)
+  JOIN counted x ON x.lang = c.lang AND x.phrase = array_to_string(c.words[1:k], ' ')
+  JOIN counted y ON y.lang = c.lang AND y.phrase = array_to_string(c.words[k + 1:], ' ')),
+lowest AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM scored),
+inside AS (
+  SELECT lang, f, unnest([array_to_string(words[1:m - 1], ' '), array_to_string(words[2:], ' '),
+    array_to_string(words[1:m - 2], ' '), array_to_string(words[2:m - 1], ' '), array_to_string(words[3:], ' '),
+    array_to_string(words[1:m - 3], ' '), array_to_string(words[2:m - 2], ' '), array_to_string(words[3:m - 1], ' '),
+    array_to_string(words[4:], ' ')]) AS phrase
+  FROM (SELECT *, string_split(phrase, ' ') AS words FROM candidates WHERE m > 2)),
+around AS (SELECT lang, phrase, max(f) AS most FROM inside GROUP BY ALL),
+kept AS (
+  SELECT l.* FROM lowest l LEFT JOIN around USING (lang, phrase)
+  WHERE place = 1 AND (most IS NULL OR 100 * most < 100 * a)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000""",
     "op13_infill": """
 WITH cut AS (
   SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h,
