@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import bpe, infill, language, lines, minhash, packing, phrases, quality, secrets, shards, topk, vector_dedup
+from holdfast.llm import bpe, infill, language, lines, minhash, packing, phrases, quality, secrets, shards, topk, toxicity, vector_dedup
 from holdfast.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -110,6 +110,11 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(documents(spark, sf_dir))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text, learned from labelled ones."""
+    return toxicity.rate(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each language's best collocations."""
     return phrases.collocations(documents(spark, sf_dir))
@@ -140,6 +145,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality": op8_quality,
     "op9_lines": op9_lines,
     "op10_language": op10_language,
+    "op11_toxicity": op11_toxicity,
     "op12_phrases": op12_phrases,
     "op13_infill": op13_infill,
 }

@@ -15,6 +15,7 @@ from collections.abc import Callable, Hashable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 # Python's white space contains that of the tokenizers, so every cut found here is one for them.
 CUT = re.compile(r"(?<=\S) ")
@@ -133,3 +134,16 @@ def groups(texts: Iterable[str | None]) -> Iterable[list[str]]:
         size += len(text)
     if run:
         yield run
+
+
+def runs_of(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """(start, length) of runs of texts of at most ``most`` bytes together; one longer text is a run of its own."""
+    start = total = 0
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+    for i, size in enumerate(sizes):
+        if i > start and total + size > most:
+            yield start, i - start
+            start, total = i, 0
+        total += size
+    if start < len(sizes):
+        yield start, len(sizes) - start

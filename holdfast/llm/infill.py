@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from holdfast.llm.chunks import tidy
+from holdfast.llm.chunks import runs_of, tidy
 
 # Texts of a batch are cut together up to so many bytes (one longer text alone).
 GROUP_BYTES = 16_000_000
@@ -123,18 +123,6 @@ def restore_arrays(outputs: pa.Array, forms: pa.Array, s: Settings) -> pa.Array:
     return pa.concat_arrays(found).take(pa.array(back))
 
 
-def _runs(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
-    """(start, length) of runs of at most GROUP_BYTES bytes; one larger row is a run of its own."""
-    start = total = 0
-    for i, size in enumerate(sizes.tolist()):
-        if i > start and total + size > GROUP_BYTES:
-            yield start, i - start
-            start, total = i, 0
-        total += size
-    if start < len(sizes):
-        yield start, len(sizes) - start
-
-
 def _texts(column: pa.Array) -> pa.Array:
     return pc.fill_null(column.cast(pa.string()), "")
 
@@ -151,7 +139,7 @@ def rearrange(df: DataFrame, key: str = "doc_id", text: str = "text", settings:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, length in _runs(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy()):
+            for start, length in runs_of(batch.column(1), GROUP_BYTES):
                 part = batch.slice(start, length)
                 drawn = [c.to_numpy() for c in part.columns[2:]]
                 made = rearrange_arrays(_texts(part.column(1)), drawn, settings)
@@ -183,7 +171,7 @@ def restore(df: DataFrame, settings: Settings = Settings(), name: str = "restore
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, length in _runs(pc.fill_null(pc.binary_length(batch.column(at[0])), 0).to_numpy()):
+            for start, length in runs_of(batch.column(at[0]), GROUP_BYTES):
                 part = batch.slice(start, length)
                 outputs, forms = (part.column(i).cast(pa.string()) for i in at)
                 yield pa.RecordBatch.from_arrays([*part.columns, restore_arrays(outputs, forms, settings)], schema.names)

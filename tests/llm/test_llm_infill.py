@@ -7,7 +7,7 @@ import re
 import pyarrow as pa
 from test_llm_texts import ODD, docs, noisy, table
 
-from holdfast.llm import catalog, infill
+from holdfast.llm import catalog, chunks, infill
 
 MARKED = ["a <P> b\nc", "<S>", "x\n<M>\n", "<", "<P", "S>\n<", "\n<\nS>\n<P\n>", "M><\n\n<S\n>"]
 LINES = ["one\ntwo\nthree", "one\ntwo\n", "\n\n\n", "\r\n\x0b\n", "é\n漢字\n🤖", "line\n" * 3_000, "word " * 40_000]
@@ -56,12 +56,12 @@ def test_infill_rates_and_key_types(spark):
     assert shares["plain"] > shares["psm"] > shares["spm"] > 0
 
 
-def test_infill_groups_hold_every_row_once(monkeypatch):
-    monkeypatch.setattr(infill, "GROUP_BYTES", 10)
-    sizes = pa.array([3, 4, 50, 0, 0, 10, 1, 9, 2]).to_numpy()
-    runs = list(infill._runs(sizes))
+def test_groups_hold_every_row_once():
+    texts = pa.array(["a" * n if n is not None else None for n in [3, 4, 50, 0, None, 10, 1, 9, 2]])
+    runs = list(chunks.runs_of(texts, 10))
     assert [i for start, length in runs for i in range(start, start + length)] == list(range(9))
-    assert all(length == 1 or sizes[start : start + length].sum() <= 10 for start, length in runs)
+    sizes = [len(t or "") for t in texts.to_pylist()]
+    assert all(length == 1 or sum(sizes[start : start + length]) <= 10 for start, length in runs)
 
 
 def test_infill_of_nothing(spark, tmp_path):
