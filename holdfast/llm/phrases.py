@@ -3,14 +3,21 @@
 Documents are gathered into shards of one language. Each shard's words become numbers, and an
 FM-index over them (Burrows-Wheeler transforms of the shard and of the shard read backwards) lists
 its phrases by extending intervals on either side, word by word, down to a bounded depth. Counts are then
-summed across shards. A phrase is as frequent as asked for only if its words and its pairs of words are, so
-these are counted first, and shards list nothing that holds a word or pair that is certainly too rare. What is
-known to be frequent goes to the shards as a sieve of fixed size: at most it lets too much through.
+summed across shards.
+
+So are the counts of each phrase's commonest extension to the right and to the left: no phrase one word longer can
+be found more often than that sum. Only where it reaches what is asked for do shards list longer phrases at
+all. And a phrase found often enough in all shards of a language has its share in at least one of them, so pairs of
+words that have it nowhere aren't counted (with more shards than occurrences asked for, that leaves none out). What
+may be frequent goes to the shards as a sieve of fixed size, which at most lets too much through. Counting
+is by hashes of 96 bits; the words of a frequent phrase are asked of one shard that holds it.
 """
 
 from __future__ import annotations
 
-import zlib
+import functools
+import itertools
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -18,17 +25,19 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdfast.llm.chunks import tidy
-from holdfast.session import materialise
+from holdfast.session import SCRATCH, materialise, shared_root
 
 UNKNOWN = "und"
 # A task holds back the texts of all languages together up to so many times a shard.
 HELD = 4
-# Bits of the sieve: 2 MB, whatever the data.
-SIEVE_BITS = 24
+# Bits of a sieve: 4 MB, whatever the data.
+SIEVE_BITS = 25
 # Rows of a language's ranking are first ranked in so many parts.
 PARTS = 64
 
@@ -37,8 +46,11 @@ _ENDS = b".,;:!?\x0b\x0c\r"
 _PLAIN = bytes.maketrans(
     bytes(range(65, 91)) + _ENDS + b"\t", bytes(range(97, 123)) + b"\n" * len(_ENDS) + b" "
 )
-_SHARD = "lang string, words array<string>, counts array<long>, ids binary"
-_COUNTED = "lang string, phrase string, n_words int, f long"
+# The numbers of a shard are kept compressed.
+CODEC = "zstd"
+_SHARD = "shard long, lang string, words array<string>, counts array<long>, size long, ids binary"
+_HASHED = "h1 long, h2 int, f long, right long, left long, shard long"
+_LISTED = "h1 long, h2 int, shard long, lang string, phrase string, n_words int"
 
 
 @dataclass(frozen=True)
@@ -53,7 +65,7 @@ class Settings:
     longest: int = 5
     share: int = 100
     top: int = 2_000
-    shard_bytes: int = 12_000_000
+    shard_bytes: int = 8_000_000
 
 
 class Index:
@@ -133,14 +145,17 @@ class Index:
         parent, word, there, back, new = self._extended(self.forward, starts, reverse, counts)
         return np.hstack([word[:, None], phrases[parent]]), there, back, new
 
-    def phrases(self, shortest: int, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(phrases, counts) of each length, extended in turn to the right and to the left."""
-        found = self.words()
-        for length in range(1, longest + 1):
-            if length > 1 and len(found[3]):
-                found = self.extend_left(*found) if length % 2 else self.extend_right(*found)
-            if length >= shortest and len(found[3]):
-                yield found[0], found[3]
+    def longest_extensions(self, phrases, starts, reverse, counts) -> tuple[np.ndarray, np.ndarray]:
+        """The counts of each phrase's commonest extension to the right and to the left."""
+        out = []
+        for sided in ((self.backward, reverse, starts), (self.forward, starts, reverse)):
+            parent, _, _, _, new = self._extended(*sided, counts)
+            most = np.zeros(len(counts), dtype=np.int64)
+            if len(parent):
+                own, first = np.unique(parent, return_index=True)
+                most[own] = np.maximum.reduceat(new, first)
+            out.append(most)
+        return out[0], out[1]
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -150,18 +165,17 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(words: list[str]) -> np.ndarray:
-    """64-bit hashes, the same in every process."""
-    encoded = [w.encode() for w in words]
-    halves = [np.fromiter((zlib.crc32(w, seed) for w in encoded), np.uint64, len(encoded)) for seed in (0, 0x9E3779B9)]
-    return _mixed(halves[0] << np.uint64(32) | halves[1])
+    """Two rows of 64-bit hashes, the same in every process."""
+    digests = b"".join(xxhash.xxh3_128_digest(w.encode()) for w in words)
+    return np.frombuffer(digests, dtype=">u8").astype(np.uint64).reshape(-1, 2).T
 
 
 def phrase_hashes(lang: np.ndarray, words: list[np.ndarray]) -> np.ndarray:
-    """Hashes of phrases from those of their language and of their words, in order."""
+    """Hashes of phrases from those of their language and of their words, in order; the second has 32 bits."""
     out = lang
     for one in words:
         out = _mixed(out * np.uint64(0x9E3779B97F4A7C15) + one)
-    return out
+    return np.stack([out[0], out[1] >> np.uint64(32)])
 
 
 def _slots(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -174,28 +188,25 @@ def _passes(sieve: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return sieve[slot] & bit != 0
 
 
-def sieve_of(frequent: DataFrame) -> np.ndarray:
-    """Bits of the phrases (all of one length) in a table of lang and phrase; at most 2 MB come to the driver."""
+def _owned(hashes: np.ndarray, shard: int) -> np.ndarray:
+    return hashes ^ np.uint64((shard << (64 - SIEVE_BITS)) % (1 << 64))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            words = word_hashes(pc.list_flatten(pc.split_pattern(batch.column(1), " ")).to_pylist())
-            hashes = phrase_hashes(word_hashes(batch.column(0).to_pylist()), list(words.reshape(batch.num_rows, -1).T))
-            slot, bit = _slots(hashes)
-            order = np.argsort(slot)
-            there, first = np.unique(slot[order], return_index=True)
-            bits = np.bitwise_or.reduceat(bit[order], first).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(bits)], ["slot", "bits"])
-
-    marked = frequent.select("lang", "phrase").mapInArrow(tidy(run), "slot long, bits long")
-    rows = marked.groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
+
+def sieve_of(hashes: DataFrame) -> np.ndarray:
+    """Bits of the hashes in a one-column table; at most 4 MB come to the driver."""
+    h = hashes.columns[0]
+    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned({h}, {64 - SIEVE_BITS}) & 63 as int))")
+    marked = hashes.select(F.shiftrightunsigned(h, 64 - SIEVE_BITS + 6).alias("slot"), bit.alias("bit"))
+    rows = marked.groupBy("slot").agg(F.bit_or("bit").alias("bits")).toArrow()
     out = np.zeros(1 << (SIEVE_BITS - 6), dtype=np.uint64)
     out[rows.column("slot").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
     return out
 
 
+# Sieves of the words and of the pairs that may be extended to the right and to the left.
+Sieves = list[tuple[np.ndarray, np.ndarray]]
+
+
 def _cut_long(text: bytes, most: int) -> Iterator[bytes]:
     """Parts of at most ``most`` bytes, cut behind ends of pieces; a longer piece stays whole."""
     start = 0
@@ -239,6 +250,7 @@ def shards(df: DataFrame, text: str = "text", lang: str = "lang", shard_bytes: i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[bytes]] = {}
         sizes: dict[str, int] = {}
+        task, made_here = TaskContext.get().partitionId(), itertools.count()
 
         def made(name: str) -> pa.RecordBatch:
             words, ids = shard_of(b"".join(held.pop(name)))
@@ -248,12 +260,14 @@ def shards(df: DataFrame, text: str = "text", lang: str = "lang", shard_bytes: i
             one = np.array([0, len(words)], dtype=np.int32)
             return pa.RecordBatch.from_arrays(
                 [
+                    pa.array([task << 16 | next(made_here)]),
                     pa.array([name]),
                     pa.ListArray.from_arrays(one, words.cast(pa.string())),
                     pa.ListArray.from_arrays(one, pa.array(counts, type=pa.int64())),
-                    pa.array([ids.astype("<i4").tobytes()], type=pa.binary()),
+                    pa.array([len(ids)]),
+                    pa.array([pa.compress(ids.astype("<i4"), CODEC, asbytes=True)], type=pa.binary()),
                 ],
-                ["lang", "words", "counts", "ids"],
+                ["shard", "lang", "words", "counts", "size", "ids"],
             )
 
         for batch in batches:
@@ -282,53 +296,136 @@ def shards(df: DataFrame, text: str = "text", lang: str = "lang", shard_bytes: i
     return source.mapInArrow(tidy(run), _SHARD)
 
 
-def _thinned(ids: np.ndarray, lang: np.ndarray, hashes: np.ndarray, sieves: list[np.ndarray]) -> np.ndarray:
-    """``ids`` with 0 in place of words, and between words, that can't be in a frequent phrase."""
-    allowed = np.concatenate([[False], _passes(sieves[0], phrase_hashes(lang, [hashes]))])
-    ids = _squeezed(np.where(allowed[ids], ids, 0))
-    if len(sieves) > 1 and len(ids) > 1:
-        own = np.concatenate([np.zeros(1, dtype=np.uint64), hashes])[ids]
-        together = _passes(sieves[1], phrase_hashes(lang, [own[:-1], own[1:]])) & (ids[:-1] > 0) & (ids[1:] > 0)
+class _Shard:
+    """A row of ``shards``, with what the passes over it need."""
+
+    def __init__(self, batch: pa.RecordBatch, at: int):
+        self.number, self.lang = batch.column(0)[at].as_py(), batch.column(1)[at].as_py()
+        self.words, self.counts = batch.column(2)[at].values, batch.column(3)[at].values.to_numpy()
+        size = 4 * batch.column(4)[at].as_py()
+        self.ids = np.frombuffer(pa.decompress(batch.column(5)[at].as_buffer(), size, CODEC), dtype="<i4")
+        self._lang_hash, self._hashes = word_hashes([self.lang]), word_hashes(self.words.to_pylist())
+
+    def hashes_of(self, phrases: np.ndarray) -> np.ndarray:
+        return phrase_hashes(self._lang_hash, [self._hashes[:, column - 1] for column in phrases.T])
+
+    def single(self) -> tuple[np.ndarray, np.ndarray]:
+        """All words as phrases, and their counts."""
+        return np.arange(1, len(self.words) + 1)[:, None], self.counts
+
+    def thinned(self, sieves: Sieves) -> np.ndarray:
+        """The text with 0 in place of words, and between words, that can't be in a longer frequent phrase."""
+        if not sieves:
+            return self.ids
+        hashes = self.hashes_of(self.single()[0])[0]
+        right, left = (np.concatenate([[False], _passes(sieve, hashes)]) for sieve in sieves[0])
+        ids = _squeezed(np.where((right | left)[self.ids], self.ids, 0))
+        together = right[ids[:-1]] & left[ids[1:]]
+        if len(sieves) > 1:
+            at = np.nonzero(together)[0]
+            pairs = self.hashes_of(np.stack([ids[at], ids[at + 1]], axis=1))[0]
+            together[at] = _passes(sieves[1][0], pairs) | _passes(sieves[1][1], pairs)
         spread = np.full(2 * len(ids), -1, dtype=ids.dtype)
         # Words that stand alone on both sides can't be in any phrase.
-        spread[::2] = np.where(np.append(together, False) | np.insert(together, 0, False), ids, 0)
+        spread[::2] = np.where(np.append(together, False) | np.insert(together, 0, False), ids, 0)[: len(ids)]
         spread[1:-1:2][~together] = 0
-        ids = _squeezed(spread[spread >= 0])
-    return ids
-
-
-def _listed(sharded: DataFrame, shortest: int, longest: int, sieves: list[np.ndarray]) -> DataFrame:
-    """(lang, phrase, n_words, f): each shard's own count of phrases that may be frequent in all."""
+        return _squeezed(spread[spread >= 0])
+
+    def phrases(self, index: Index, longest: int, sieves: Sieves) -> Iterator[tuple[np.ndarray, ...]]:
+        """Bi-intervals of the phrases of two words and more, extended in turn to the right and to the left."""
+        found = index.extend_right(*index.words())
+        for length in range(2, longest + 1):
+            if length > 2:
+                # Both phrases of one word less must be able to grow, as far as their pairs at the ends tell.
+                side, other = (slice(0, 2), slice(-2, None)) if length % 2 else (slice(-2, None), slice(0, 2))
+                ahead, behind = (1, 0) if length % 2 else (0, 1)
+                found = self._where(found, side, sieves[1][ahead])
+                found = index.extend_left(*found) if length % 2 else index.extend_right(*found)
+                found = self._where(found, side, sieves[1][behind])
+            yield found
+
+    def _where(self, found: tuple, words: slice, sieve: np.ndarray) -> tuple:
+        may = _passes(sieve, self.hashes_of(found[0][:, words])[0])
+        return tuple(x[may] for x in found)
+
+
+def _hashed(
+    sharded: DataFrame,
+    lengths: range,
+    sieves: Sieves,
+    extended: bool,
+    least: dict[str, int] | None = None,
+    candidates: np.ndarray | None = None,
+) -> DataFrame:
+    """(h1, h2, f, right, left, shard): each shard's own counts of phrases of so many words that may be frequent.
+
+    ``right`` and ``left`` are the counts of the commonest extensions, 0 if they aren't asked for (``extended``). Only
+    phrases that the shard holds as often as ``least`` says for its language, and that may be ``candidates``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
-                name, ids = batch.column(0)[at].as_py(), np.frombuffer(batch.column(3)[at].as_buffer(), dtype="<i4")
-                words = batch.column(1)[at].values
-                thin = _thinned(ids, word_hashes([name]), word_hashes(words.to_pylist()), sieves)
-                if not thin.any():
+                shard = _Shard(batch, at)
+                text = shard.thinned(sieves)
+                if not len(text):
                     continue
-                for phrases, counts in Index(thin, max(1, longest - 1)).phrases(shortest, longest):
-                    for start in range(0, len(counts), 100_000):
-                        columns = [words.take(pa.array(c - 1)) for c in phrases[start : start + 100_000].T]
-                        joined = pc.binary_join_element_wise(*columns, " ")
-                        n = len(joined)
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                pa.array([name] * n, type=pa.string()),
-                                joined,
-                                pa.array(np.full(n, phrases.shape[1], dtype=np.int32)),
-                                pa.array(counts[start : start + n].astype(np.int64)),
-                            ],
-                            ["lang", "phrase", "n_words", "f"],
-                        )
-
-    return sharded.mapInArrow(tidy(run), _COUNTED)
-
+                index = Index(text, max(1, lengths[-1] if extended else lengths[-1] - 1))
+                for found in [index.words()] if lengths[-1] == 1 else shard.phrases(index, lengths[-1], sieves):
+                    if found[0].shape[1] not in lengths:
+                        continue
+                    if least is not None:
+                        found = tuple(x[found[3] >= least[shard.lang]] for x in found)
+                    h1, h2 = shard.hashes_of(found[0])
+                    if candidates is not None:
+                        may = _passes(candidates, h1)
+                        found, h1, h2 = tuple(x[may] for x in found), h1[may], h2[may]
+                    counts = found[3]
+                    if not len(counts):
+                        continue
+                    none = np.zeros(len(counts), dtype=np.int64)
+                    right, left = index.longest_extensions(*found) if extended else (none, none)
+                    columns = [h1.view(np.int64), h2.astype(np.uint32).view(np.int32), counts, right, left]
+                    yield pa.RecordBatch.from_arrays(
+                        [*map(pa.array, columns), pa.array(np.full(len(counts), shard.number))],
+                        ["h1", "h2", "f", "right", "left", "shard"],
+                    )
+
+    return sharded.mapInArrow(tidy(run), _HASHED)
+
+
+def _listed(sharded: DataFrame, longest: int, sieves: Sieves, owners: np.ndarray) -> DataFrame:
+    """(h1, h2, shard, lang, phrase, n_words): the frequent phrases that a shard was asked for, and a few more."""
 
-def _summed(listed: DataFrame, least: int) -> DataFrame:
-    found = listed.groupBy("lang", "phrase", "n_words").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
-    return materialise(found, "phrases")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                shard = _Shard(batch, at)
+                text = shard.thinned(sieves[:1])
+                found = [shard.single()]
+                if longest > 1 and len(text):
+                    found = itertools.chain(found, shard.phrases(Index(text, longest - 1), longest, sieves))
+                for phrases, *_ in found:
+                    h1, h2 = shard.hashes_of(phrases)
+                    asked = _passes(owners, _owned(h1, shard.number))
+                    phrases, h1, h2 = phrases[asked], h1[asked], h2[asked]
+                    if not len(phrases):
+                        continue
+                    columns = [shard.words.take(pa.array(c - 1)) for c in phrases.T]
+                    n = len(phrases)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(h1.view(np.int64)),
+                            pa.array(h2.astype(np.uint32).view(np.int32)),
+                            pa.array(np.full(n, shard.number)),
+                            pa.array([shard.lang] * n, type=pa.string()),
+                            pc.binary_join_element_wise(*columns, " "),
+                            pa.array(np.full(n, phrases.shape[1], dtype=np.int32)),
+                        ],
+                        ["h1", "h2", "shard", "lang", "phrase", "n_words"],
+                    )
+
+    return sharded.mapInArrow(tidy(run), _LISTED)
 
 
 def frequent(df: DataFrame, text: str = "text", lang: str = "lang", settings: Settings = Settings()) -> tuple[DataFrame, DataFrame]:
@@ -337,21 +434,34 @@ def frequent(df: DataFrame, text: str = "text", lang: str = "lang", settings: Se
     Counts are of whole texts and exact. Null texts have no words, a null language is ``und``; repeated rows count
     each; an empty table gives empty ones.
     """
-    sharded = materialise(shards(df, text, lang, settings.shard_bytes), "shards")
-    single = sharded.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w"))
-    single = single.select("lang", F.col("w.words").alias("phrase"), F.lit(1).alias("n_words"), F.col("w.counts").alias("f"))
-    levels = [_summed(single, settings.least)]
+    path = f"{shared_root(df.sparkSession)}/{SCRATCH}/shards-{uuid.uuid4().hex}"
+    shards(df, text, lang, settings.shard_bytes).write.parquet(path)
+    sharded = df.sparkSession.read.schema(_SHARD).parquet(path)
     totals = sharded.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)).alias("n"))
-    sieves = [sieve_of(levels[0])]
-    if settings.longest > 1:
-        levels.append(_summed(_listed(sharded, 2, 2, sieves), settings.least))
-    if settings.longest > 2:
-        sieves.append(sieve_of(levels[1]))
-        levels.append(_summed(_listed(sharded, 3, settings.longest, sieves), settings.least))
-    out = levels[0]
-    for level in levels[1:]:
-        out = out.union(level)
-    return out, totals
+    passes = [range(1, 2), range(2, 3), range(3, settings.longest + 1)]
+    passes = [r for r in passes if r and r[0] <= settings.longest]
+    # One row per language: the share of the occurrences asked for that the shard richest in a phrase has at least.
+    shares = {r.lang: -(-settings.least // r["count"]) for r in sharded.groupBy("lang").count().collect()}
+    sieves: Sieves = []
+    levels = []
+    for lengths in passes:
+        last = lengths[-1] == settings.longest
+        candidates = None
+        if lengths[-1] == 2 and max(shares.values(), default=1) > 1:
+            candidates = sieve_of(_hashed(sharded, lengths, sieves, False, least=shares).select("h1"))
+        sums = [F.sum(c).alias(c) for c in ("f", "right", "left")]
+        counted = _hashed(sharded, lengths, sieves, not last, candidates=candidates)
+        counted = counted.groupBy("h1", "h2").agg(*sums, F.min("shard").alias("shard"))
+        level = materialise(counted.where(F.col("f") >= settings.least), "phrases")
+        levels.append(level.select("h1", "h2", "f", "shard"))
+        if not last:
+            right, left = (sieve_of(level.where(F.col(c) >= settings.least).select("h1")) for c in ("right", "left"))
+            sieves.append((right, left))
+    known = functools.reduce(DataFrame.union, levels)
+    owned = F.col("h1").bitwiseXOR(F.shiftleft("shard", 64 - SIEVE_BITS)).alias("h1")
+    listed = _listed(sharded, settings.longest, sieves, sieve_of(known.select(owned)))
+    found = listed.join(known, ["h1", "h2", "shard"]).select("lang", "phrase", "n_words", "f")
+    return materialise(found, "phrases"), totals
 
 
 def collocations(df: DataFrame, text: str = "text", lang: str = "lang", settings: Settings = Settings()) -> DataFrame:
