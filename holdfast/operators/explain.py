@@ -11,11 +11,10 @@ import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import RandomForestClassificationModel
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from holdfast.operators.boosting import BoostedModel
 from holdfast.operators.ordering import quantiles
 from holdfast.session import shared_root
 from holdfast.sources.schemas import KEY
@@ -23,10 +22,6 @@ from holdfast.sources.schemas import KEY
 # The helpers below travel with the job, so executors need no installed package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Boosted trees here are fitted to half the log-odds: p = 1 / (1 + exp(-2 * margin)).
-LOG_ODDS_PER_MARGIN = 2.0
-
-
 def linear_shap(data: DataFrame, weights: dict[str, float], background: DataFrame | None = None) -> DataFrame:
     """Shapley values of a linear margin: weight times the distance from the background mean."""
     columns = list(weights)
@@ -86,11 +81,13 @@ def shap_summary(shap: DataFrame) -> DataFrame:
     )
 
 
-def tree_nodes(model: PipelineModel) -> tuple[pd.DataFrame, list[float]]:
-    """Node table and weights of a fitted tree ensemble, through its saved form.
+def tree_nodes(model: PipelineModel | BoostedModel) -> tuple[pd.DataFrame, list[float]]:
+    """Node table and weights of a fitted tree ensemble, a forest's through its saved form.
 
-    Its size is set by the number and depth of the trees, not by the data.
+    Its size is set by the number and depth of the trees, not by the data. A booster's cover is its sum of Hessians.
     """
+    if isinstance(model, BoostedModel):
+        return model.nodes(), [1.0] * len(model.trees)
     ensemble = model.stages[-1]
     spark = SparkSession.getActiveSession()
     path = f"{shared_root(spark)}/trees-{uuid.uuid4().hex}"
@@ -185,7 +182,7 @@ def expected_margin(leaves: Sequence[tuple]) -> float:
     return float(sum(value * np.prod(share) for value, _, _, _, share in leaves))
 
 
-def tree_shap(model: PipelineModel, data: DataFrame, columns: Sequence[str]) -> DataFrame:
+def tree_shap(model: BoostedModel, data: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Shapley values of a boosted model's log-odds: (key, feature, value, shap, base).
 
     The leaf list is broadcast, as its size depends on the model alone; rows are
@@ -193,7 +190,7 @@ def tree_shap(model: PipelineModel, data: DataFrame, columns: Sequence[str]) ->
     """
     names = list(columns)
     nodes, weights = tree_nodes(model)
-    leaves = leaf_paths(nodes, [LOG_ODDS_PER_MARGIN * w for w in weights])
+    leaves = leaf_paths(nodes, weights)
     shared = data.sparkSession.sparkContext.broadcast(leaves)
     base = expected_margin(leaves)
     wide = data.select(KEY, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in names])
@@ -212,15 +209,15 @@ def tree_shap(model: PipelineModel, data: DataFrame, columns: Sequence[str]) ->
     return wide.mapInPandas(explain, fields).select(KEY, F.inline(F.array(*entries)), F.lit(base).alias("base"))
 
 
-def replayed(model: PipelineModel, data: DataFrame, columns: Sequence[str]) -> DataFrame:
+def replayed(model: PipelineModel | BoostedModel, data: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(key, probability) of class 1, by walking the saved node table instead of asking the model.
 
-    Boosted trees add up leaf values to half the log-odds; a forest averages the class shares of its leaves. The
+    Boosted trees add up leaf values to the log-odds; a forest averages the class shares of its leaves. The
     node table is broadcast, as its size depends on the model alone.
     """
     names = list(columns)
     nodes, weights = tree_nodes(model)
-    forest = isinstance(model.stages[-1], RandomForestClassificationModel)
+    forest = not isinstance(model, BoostedModel)
     trees = []
     for tree, table in nodes.sort_values("id").groupby("tree"):
         value = table["prediction"].to_numpy(float)
@@ -244,14 +241,12 @@ def replayed(model: PipelineModel, data: DataFrame, columns: Sequence[str]) -> D
                     goes_left = x[rows, feature[node]] <= threshold[node]
                     node = np.where(inner, np.where(goes_left, left[node], right[node]), node)
                 total += weight * value[node]
-            probability = total / sum(t[0] for t in shared.value) if forest else 1 / (1 + np.exp(-2 * total))
+            probability = total / sum(t[0] for t in shared.value) if forest else 1 / (1 + np.exp(-total))
             yield pd.DataFrame({KEY: pdf[KEY], "probability": probability})
 
     return wide.mapInPandas(walk, f"`{KEY}` {key_type}, probability double")
 
 
-def tree_margin(model: PipelineModel, data: DataFrame, columns: Sequence[str]) -> DataFrame:
+def tree_margin(model: BoostedModel, data: DataFrame) -> DataFrame:
     """The log-odds that the base and the Shapley values of a row add up to, from the model itself."""
-    filled = data.select(KEY, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in columns])
-    raw = vector_to_array("rawPrediction")[1]
-    return model.transform(filled).select(KEY, (raw * LOG_ODDS_PER_MARGIN).alias("margin"))
+    return data.select(KEY, model.margin().alias("margin"))

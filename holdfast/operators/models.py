@@ -1,25 +1,25 @@
-"""Fitting, searching, saving and applying churn models with Spark ML."""
+"""Fitting, searching, saving and applying churn models: Spark ML, and the boosted trees of ``boosting``."""
 
 from __future__ import annotations
 
+import dataclasses
 import random
 from collections.abc import Iterable, Sequence
 from itertools import product
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast.functions import sigmoid
+from holdfast.operators import boosting
+from holdfast.operators.boosting import BoostedModel, Fit
 from holdfast.operators.prep import SEED, scaling_stats, smote, with_folds
-from holdfast.session import materialise, shared_root
+from holdfast.session import materialise
 from holdfast.sources.schemas import CORE9, KEY
 
 # The search space, by the names of the booster's parameters.
@@ -110,36 +110,11 @@ def fit_forest(
     return Pipeline(stages=[_vector_stage(columns), forest]).fit(_spread(train))
 
 
-def booster(params: dict[str, float], seed: int = SEED) -> GBTClassifier:
-    """Boosted trees from the search space's parameter names."""
-    chosen = {"n_estimators": 100, "max_depth": 6, "learning_rate": 0.3, "subsample": 1.0, "colsample_bytree": 1.0}
-    chosen.update(params)
-    share = float(chosen["colsample_bytree"])
-    return GBTClassifier(
-        labelCol="label",
-        weightCol="weight",
-        lossType="logistic",
-        maxIter=int(chosen["n_estimators"]),
-        maxDepth=int(chosen["max_depth"]),
-        stepSize=float(chosen["learning_rate"]),
-        subsamplingRate=float(chosen["subsample"]),
-        featureSubsetStrategy="all" if share >= 1.0 else str(share),
-        seed=seed,
-    )
-
-
-def with_weight(train: DataFrame, scale_pos_weight: float = 1.0) -> DataFrame:
-    """Weight of label 1 relative to label 0."""
-    return train.withColumn("weight", F.when(F.col("label") == 1, float(scale_pos_weight)).otherwise(1.0))
-
-
 def fit_boosted(
     train: DataFrame, columns: Sequence[str] = CORE9, params: dict[str, float] | None = None, seed: int = SEED
-) -> PipelineModel:
-    params = dict(params or {})
-    shared_root(train.sparkSession)  # long boosting runs cut their lineage there
-    weighted = with_weight(train, params.pop("scale_pos_weight", 1.0))
-    return Pipeline(stages=[_vector_stage(columns), booster(params, seed)]).fit(_spread(weighted))
+) -> BoostedModel:
+    """Boosted trees, by the search space's parameter names."""
+    return boosting.fit(train, columns, boosting.params_of(params or {}), seed)
 
 
 def draw_candidates(space: dict[str, Sequence], n_iter: int, seed: int = SEED) -> list[dict]:
@@ -155,84 +130,48 @@ def random_search(
     n_iter: int = 30,
     cv: int = 5,
     seed: int = SEED,
-    parallelism: int = 4,
     balance_within_fold: bool = False,
-) -> tuple[PipelineModel, DataFrame]:
+    rows_at_once: int = boosting.ROWS_AT_ONCE,
+) -> tuple[BoostedModel, DataFrame]:
     """Random search by cross-validated ROC AUC: the refitted best model and the table of draws.
 
-    The positive-class weight is a data column rather than a parameter of the
-    trees, so draws are searched in one cross-validation per weight. With
-    ``balance_within_fold`` each training part is oversampled by itself and judged
-    on untouched rows; without it ``train`` is taken as already balanced.
+    All draws and folds grow side by side. With ``balance_within_fold`` each training part is oversampled by itself and
+    judged on untouched rows; without it ``train`` is taken as already balanced.
     """
     draws = draw_candidates(space, n_iter, seed)
-    vectors = _vector_stage(columns).transform(with_folds(train, cv, seed=seed))
-    # Spread after reading: a table read back is packed into partitions by the number of cores.
-    folded = _spread(materialise(vectors.select(KEY, "label", "fold", "features", *columns), "folds"))
-    judge = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC", numBins=0)
-    parts = _balanced_parts(folded, columns, cv, seed) if balance_within_fold else None
-    weights = sorted({d.get("scale_pos_weight", 1) for d in draws})
-    share = max(1, parallelism // len(weights))
-
-    def judge_weight(weight: float) -> dict[int, float]:
-        chosen = [i for i, d in enumerate(draws) if d.get("scale_pos_weight", 1) == weight]
-        trees = booster({}, seed)
-        maps = [_param_map(trees, draws[i]) for i in chosen]
-        if parts is None:
-            search = CrossValidator(
-                estimator=trees,
-                estimatorParamMaps=maps,
-                evaluator=judge,
-                numFolds=cv,
-                foldCol="fold",
-                parallelism=share,
-                seed=seed,
-            )
-            averages = search.fit(with_weight(folded, weight)).avgMetrics
-        else:
-            averages = [
-                sum(judge.evaluate(trees.fit(with_weight(t, weight), m).transform(v)) for t, v in parts) / len(parts)
-                for m in maps
-            ]
-        return dict(zip(chosen, averages))
-
-    # Fits are independent jobs; threads only submit them side by side.
-    in_session = inheritable_thread_target(train.sparkSession)
-    with ThreadPool(min(parallelism, len(weights))) as pool:
-        scores = {i: auc for part in pool.map(in_session(judge_weight), weights) for i, auc in part.items()}
-    order = sorted(scores, key=lambda i: (-scores[i], i))
+    params = [boosting.params_of(d) for d in draws]
+    folded = materialise(with_folds(train, cv, seed=seed).select(KEY, "label", "fold", *columns), "folds")
+    areas = np.full((len(draws), cv), np.nan)
+    if balance_within_fold:
+        for fold in range(cv):
+            inner = smote(folded.where(F.col("fold") != fold).drop("fold"), columns, seed=seed).drop("synthetic")
+            untouched = folded.where(F.col("fold") == fold).withColumn(KEY, F.col(KEY).cast("string"))
+            rows = materialise(inner.withColumn("fold", F.lit(-1)).unionByName(untouched), "fold-train")
+            grown, _ = boosting.fit_many(rows, columns, [Fit(p, fold) for p in params], seed, rows_at_once, with_trees=False)
+            areas[:, fold] = [g.area for g in grown]
+    else:
+        fits = [Fit(p, fold) for p in params for fold in range(cv)]
+        grown, _ = boosting.fit_many(folded, columns, fits, seed, rows_at_once, with_trees=False)
+        areas[:] = np.array([g.area for g in grown], dtype=float).reshape(areas.shape)
+    # A fold without both classes has no area.
+    scores = [float(np.nanmean(a)) if np.isfinite(a).any() else 0.0 for a in areas]
+    order = sorted(range(len(draws)), key=lambda i: (-scores[i], i))
     best = fit_boosted(train, columns, draws[order[0]], seed)
-    rows = [(i, *[float(draws[i][p]) for p in space], float(scores[i]), order.index(i) + 1) for i in range(len(draws))]
+    rows = [(i, *[float(draws[i][p]) for p in space], scores[i], order.index(i) + 1) for i in range(len(draws))]
     fields = ", ".join(f"{p} double" for p in space)
     results = train.sparkSession.createDataFrame(rows, f"draw int, {fields}, mean_auc double, place int")
     return best, results
 
 
-def _param_map(trees: GBTClassifier, draw: dict) -> dict:
-    wanted = booster({k: v for k, v in draw.items() if k != "scale_pos_weight"})
-    params = ("maxIter", "maxDepth", "stepSize", "subsamplingRate", "featureSubsetStrategy")
-    return {trees.getParam(p): wanted.getOrDefault(p) for p in params}
-
-
-def _balanced_parts(folded: DataFrame, columns: Sequence[str], cv: int, seed: int) -> list[tuple[DataFrame, DataFrame]]:
-    parts = []
-    for fold in range(cv):
-        inner = smote(folded.where(F.col("fold") != fold), columns, seed=seed)
-        parts.append(
-            (
-                materialise(_vector_stage(columns).transform(inner), "fold-train"),
-                folded.where(F.col("fold") == fold),
-            )
-        )
-    return parts
-
-
 def best_params(results: DataFrame) -> DataFrame:
     return results.where(F.col("place") == 1)
 
 
-def predict(model: PipelineModel, data: DataFrame, keep: Iterable[str] = (KEY, "label")) -> DataFrame:
+def predict(model: PipelineModel | BoostedModel, data: DataFrame, keep: Iterable[str] = (KEY, "label")) -> DataFrame:
     """Hard prediction and class-1 probability."""
+    if isinstance(model, BoostedModel):
+        scored = data.withColumn("probability", sigmoid(model.margin()))
+        return scored.select(*keep, (F.col("probability") >= 0.5).cast("int").alias("prediction"), "probability")
     return model.transform(data).select(
         *keep,
         F.col("prediction").cast("int").alias("prediction"),
@@ -240,8 +179,12 @@ def predict(model: PipelineModel, data: DataFrame, keep: Iterable[str] = (KEY, "
     )
 
 
-def score_customers(model: PipelineModel, features: DataFrame, columns: Sequence[str] = CORE9) -> DataFrame:
+def score_customers(
+    model: PipelineModel | BoostedModel, features: DataFrame, columns: Sequence[str] = CORE9
+) -> DataFrame:
     """Append ``churn_probability`` to the feature rows; missing features count as 0."""
+    if isinstance(model, BoostedModel):
+        return features.withColumn("churn_probability", sigmoid(model.margin()))
     original = {f"_given_{c}": F.col(c) for c in columns}
     filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in columns}
     scored = model.transform(features.withColumns(original).withColumns(filled)).withColumn(
@@ -252,9 +195,34 @@ def score_customers(model: PipelineModel, features: DataFrame, columns: Sequence
     )
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
-
-
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+# Below a boosted model's folder: one row of parameters and cuts, and one row per tree.
+_HEAD, _TREES = "head", "trees"
+
+
+def save_model(model: PipelineModel | BoostedModel, path: str) -> None:
+    if not isinstance(model, BoostedModel):
+        model.write().overwrite().save(path)
+        return
+    spark = SparkSession.getActiveSession()
+    head = [(model.columns, dataclasses.asdict(model.params), [c.tolist() for c in model.cuts])]
+    params = ", ".join(f"{f.name}: {'int' if f.type == 'int' else 'double'}" for f in dataclasses.fields(model.params))
+    schema = f"columns array<string>, params struct<{params}>, cuts array<array<double>>"
+    trees = [(i, t.tobytes()) for i, t in enumerate(model.trees)]
+    # Sizes set by the parameters, not by the data.
+    spark.createDataFrame(trees, "tree int, nodes binary").coalesce(1).write.mode("overwrite").parquet(f"{path}/{_TREES}")
+    spark.createDataFrame(head, schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/{_HEAD}")
+
+
+def load_model(path: str) -> PipelineModel | BoostedModel:
+    spark = SparkSession.getActiveSession()
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{_HEAD}")
+    if not place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place):
+        return PipelineModel.load(path)
+    head = spark.read.parquet(f"{path}/{_HEAD}").first()
+    trees = spark.read.parquet(f"{path}/{_TREES}").orderBy("tree").collect()
+    return BoostedModel(
+        list(head.columns),
+        boosting.Params(**head.params.asDict()),
+        [np.array(c, dtype=float) for c in head.cuts],
+        [np.frombuffer(t.nodes, dtype=boosting.NODE) for t in trees],
+    )

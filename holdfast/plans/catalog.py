@@ -355,8 +355,7 @@ BOOSTER = {
 
 
 def _search(s: Study) -> DataFrame:
-    """The whole grid, but two draws and folds where the study takes 30 and five: those take hours on one machine."""
-    _, results = models.random_search(_training(s).balanced, n_iter=2, cv=2)
+    _, results = models.random_search(_training(s).balanced, n_iter=30, cv=5)
     return checks.search_draws(results, models.SEARCH_SPACE)
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.operators import evaluate, explain, models
+from holdfast.operators.boosting import BoostedModel
 from holdfast.operators.segments import risk_tier
 from holdfast.sources.schemas import CORE9, KEY
 
@@ -47,7 +48,7 @@ def logistic_optimum(model: PipelineModel, train: DataFrame, columns: Sequence[s
     return sums.select("rows_0", "rows_1", F.inline(slopes))
 
 
-def tree_predictions(model: PipelineModel, data: DataFrame, columns: Sequence[str] = CORE9) -> DataFrame:
+def tree_predictions(model: PipelineModel | BoostedModel, data: DataFrame, columns: Sequence[str] = CORE9) -> DataFrame:
     """Per row whether the probability is one and agrees with the prediction, and its distance from the node table's."""
     found = models.predict(model, data)
     own = explain.replayed(model, data, columns).withColumnRenamed("probability", "replayed")
@@ -62,11 +63,11 @@ def tree_predictions(model: PipelineModel, data: DataFrame, columns: Sequence[st
     )
 
 
-def shapley_sums(model: PipelineModel, data: DataFrame, columns: Sequence[str] = CORE9) -> DataFrame:
+def shapley_sums(model: BoostedModel, data: DataFrame, columns: Sequence[str] = CORE9) -> DataFrame:
     """Per row the number of values and the distance of base and values from the model's own log-odds."""
     values = explain.tree_shap(model, data, columns)
     sums = values.groupBy(KEY).agg(F.count("*").alias("features"), (F.sum("shap") + F.first("base")).alias("total"))
-    return sums.join(explain.tree_margin(model, data, columns), KEY).select(
+    return sums.join(explain.tree_margin(model, data), KEY).select(
         KEY, "features", _nothing(F.col("total") - F.col("margin"), 6).alias("difference")
     )
 
@@ -111,7 +112,7 @@ def areas(scored: DataFrame) -> DataFrame:
     return comparison.join(judged, "model").select("model", _nothing(F.col("roc_auc") - F.col("judged"), 6).alias("difference"))
 
 
-def stored_scores(stored: DataFrame, model: PipelineModel, features: DataFrame) -> DataFrame:
+def stored_scores(stored: DataFrame, model: PipelineModel | BoostedModel, features: DataFrame) -> DataFrame:
     """Per person whether the stored tier is that of the stored probability, and its distance from the score in memory."""
     here = models.score_customers(model, features).select(KEY, F.col("churn_probability").alias("here"))
     return stored.join(here, KEY, "full").select(

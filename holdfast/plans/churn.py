@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from holdfast.operators import features as feature_ops
 from holdfast.operators import labels as label_ops
+from holdfast.operators.boosting import BoostedModel
 from holdfast.operators.models import linear_score, score_customers
 from holdfast.operators.prep import SEED, matrix, smote, stratified_split
 from holdfast.operators.retention import INPUT_RULES, count_out_of_range, with_defaults
@@ -90,7 +91,7 @@ def serve(
 
 def scoring_job(
     spark: SparkSession,
-    model: PipelineModel,
+    model: PipelineModel | BoostedModel,
     features: DataFrame,
     path: str,
     columns: Sequence[str] = CORE9,

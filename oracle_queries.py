@@ -853,7 +853,7 @@ ORACLE["fitted_model_comparison"] = with_(
 )
 ORACLE["random_search_results"] = with_(
     FEATURES,
-    """SELECT 2::BIGINT AS draws, 2::BIGINT AS distinct_draws, 2::BIGINT AS inside_grid, true AS areas_valid,
+    """SELECT 30::BIGINT AS draws, 30::BIGINT AS distinct_draws, 30::BIGINT AS inside_grid, true AS areas_valid,
       true AS places_complete, true AS best_is_first FROM (SELECT count(*) AS n FROM split) WHERE n > 0""",
 )
 

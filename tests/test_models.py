@@ -108,7 +108,7 @@ def test_random_search_returns_best_draw(train, within):
     assert sorted(rows.place) == [1, 2] and rows.mean_auc.between(0.5, 1).all()
     best = M.best_params(results).first()
     assert best.mean_auc == rows.mean_auc.max()
-    assert model.stages[-1].getMaxDepth() == best.max_depth
+    assert model.params.max_depth == best.max_depth
 
 
 def exact_shapley(nodes, weights, x, size):
@@ -150,10 +150,10 @@ def test_tree_shap_equals_brute_force_and_adds_up(train, boosted):
     nodes, weights = X.tree_nodes(boosted)
     data = train.toPandas().set_index(KEY)
     for key in ["k0", "k7", "k42"]:
-        want = exact_shapley(nodes, [2 * w for w in weights], data.loc[key, COLS].to_numpy(float), 3)
+        want = exact_shapley(nodes, weights, data.loc[key, COLS].to_numpy(float), 3)
         assert np.allclose(wide.loc[key, COLS].to_numpy(float), want, atol=1e-9)
     total = shap.groupBy(KEY).agg((F.sum("shap") + F.max("base")).alias("total"))
-    apart = total.join(X.tree_margin(boosted, train, COLS), KEY).agg(F.max(F.abs(F.col("total") - F.col("margin"))))
+    apart = total.join(X.tree_margin(boosted, train), KEY).agg(F.max(F.abs(F.col("total") - F.col("margin"))))
     assert apart.first()[0] < 1e-9
 
 
