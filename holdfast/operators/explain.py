@@ -104,6 +104,7 @@ def tree_nodes(model: PipelineModel | BoostedModel) -> tuple[pd.DataFrame, list[
             F.col("nodeData.split.featureIndex").alias("feature"),
             F.get("nodeData.split.leftCategoriesOrThreshold", F.lit(0)).alias("threshold"),
             F.col("nodeData.impurityStats").alias("stats"),
+            F.col("nodeData.gain").alias("gain"),
         )
         .toPandas()
     )

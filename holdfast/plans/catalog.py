@@ -359,6 +359,22 @@ def _search(s: Study) -> DataFrame:
     return checks.search_draws(results, models.SEARCH_SPACE)
 
 
+def _booster_facts(s: Study) -> DataFrame:
+    sets = _training(s)
+    return checks.booster_facts(models.fit_boosted(sets.balanced, params=BOOSTER), sets.balanced)
+
+
+def _forest_facts(s: Study) -> DataFrame:
+    sets = _training(s)
+    return checks.forest_facts(models.fit_forest(sets.balanced), sets.balanced)
+
+
+def _first_split(s: Study) -> DataFrame:
+    """One tree of one split, on the training part as it is."""
+    stump = {"n_estimators": 1, "max_depth": 1}
+    return checks.first_split(models.fit_boosted(_training(s).train, params=stump))
+
+
 def _fitted_comparison(s: Study) -> DataFrame:
     sets = _training(s)
     fitted = {
@@ -517,6 +533,9 @@ QUERIES: dict[str, Query] = {
     "lr_scores": _study_query(_logistic),
     "rf_scores": _fitted_trees(models.fit_forest),
     "gbt_scores": _fitted_trees(lambda train: models.fit_boosted(train, params=BOOSTER)),
+    "booster_facts": _study_query(_booster_facts),
+    "booster_first_split": _study_query(_first_split),
+    "forest_facts": _study_query(_forest_facts),
     "random_search_results": _study_query(_search),
     "fitted_model_comparison": _study_query(_fitted_comparison),
     "tree_shap": _study_query(_tree_shap),

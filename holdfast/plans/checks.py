@@ -7,16 +7,19 @@ model scores like the one in memory doesn't.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from itertools import product
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.operators import evaluate, explain, models
+from holdfast.operators import boosting, evaluate, explain, models
 from holdfast.operators.boosting import BoostedModel
+from holdfast.operators.prep import SEED
 from holdfast.operators.segments import risk_tier
 from holdfast.sources.schemas import CORE9, KEY
 
@@ -63,6 +66,107 @@ def tree_predictions(model: PipelineModel | BoostedModel, data: DataFrame, colum
     )
 
 
+def _deepest(nodes: pd.DataFrame) -> int:
+    """Splits on the longest path of any tree."""
+    depth = {}
+    for n in nodes.sort_values(["tree", "id"]).itertuples():
+        own = depth.setdefault((n.tree, n.id), 0)
+        if n.left >= 0:
+            depth[n.tree, n.left] = depth[n.tree, n.right] = own + 1
+    return max(depth.values(), default=0)
+
+
+def booster_facts(model: BoostedModel, train: DataFrame, seed: int = SEED) -> DataFrame:
+    """One row: numbers of trees and levels, and how far leaves and gains are from what the rows that reach them say.
+
+    Rows walk every tree by its thresholds; gradients are taken at the margins of the trees before it and added up by
+    node. A leaf must be the penalised Newton step of its sums, a split's gain follow from those of its children, and the
+    loss over all rows fall with every round that all rows and columns took part in, and in the end.
+    """
+    nodes, p = model.nodes(), model.params
+    names = list(model.columns)
+    tables = [t.set_index("id") for _, t in nodes.groupby("tree")]
+    spread = train.select(
+        F.xxhash64(KEY).alias("hash"), F.col("label").cast("double").alias("label"), *[F.col(c).cast("double").alias(c) for c in names]
+    )
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            x, y = pdf[names].to_numpy(), pdf["label"].to_numpy()
+            weight = np.where(y == 1, p.scale_pos_weight, 1.0)
+            margin = np.zeros(len(pdf))
+            for tree, table in enumerate(tables):
+                rate = 1 / (1 + np.exp(-margin))
+                taken = boosting.sampled(pdf["hash"].to_numpy(), p.subsample, seed, tree)
+                g, h = weight * (rate - y), weight * rate * (1 - rate)
+                loss = (weight * (np.logaddexp(0, margin) - y * margin)).sum()
+                at, pending = np.zeros(len(pdf), dtype=int), [(0, np.ones(len(pdf), dtype=bool))]
+                found = []
+                while pending:
+                    node, here = pending.pop()
+                    row = table.loc[node]
+                    found.append((tree, node, g[here & taken].sum(), h[here & taken].sum(), loss if node == 0 else 0.0))
+                    at[here] = node
+                    if row["left"] >= 0:
+                        left = x[:, int(row["feature"])] <= row["threshold"]
+                        pending += [(int(row["left"]), here & left), (int(row["right"]), here & ~left)]
+                margin = margin + table["prediction"].to_numpy()[at]
+                yield pd.DataFrame(found, columns=["tree", "id", "g", "h", "loss"])
+            end = (weight * (np.logaddexp(0, margin) - y * margin)).sum()
+            yield pd.DataFrame([(len(tables), 0, 0.0, 0.0, end)], columns=["tree", "id", "g", "h", "loss"])
+
+    # As many rows as the model has nodes.
+    sums = spread.mapInPandas(walk, "tree int, id int, g double, h double, loss double").groupBy("tree", "id")
+    sums = sums.agg(*[F.sum(c).alias(c) for c in ("g", "h", "loss")]).toPandas()
+    both = nodes.merge(sums, on=["tree", "id"], how="left")
+    both["score"] = both["g"] ** 2 / (both["h"] + p.reg_lambda)
+    leaf = -p.learning_rate * both["g"] / (both["h"] + p.reg_lambda)
+    score = both.set_index(["tree", "id"])["score"]
+    inner = both[both["left"] >= 0]
+    children = [score.loc[list(zip(inner["tree"], inner[side]))].to_numpy() for side in ("left", "right")]
+    gain = 0.5 * (children[0] + children[1] - inner["score"].to_numpy())
+    losses = sums[sums["id"] == 0].sort_values("tree")["loss"].to_numpy()
+    falls = losses[-1] < losses[0] and (p.subsample < 1 or bool((np.diff(losses) <= 1e-9).all()))
+    apart = [np.abs(both["prediction"] - leaf).max(), np.abs(inner["gain"].to_numpy() - gain).max() if len(inner) else 0.0]
+    row = (nodes["tree"].nunique(), _deepest(nodes), round(float(apart[0]), 4) + 0.0, round(float(apart[1]), 3) + 0.0, bool(falls))
+    fields = "trees long, levels int, leaf_difference double, gain_difference double, loss_falls boolean"
+    return train.sparkSession.createDataFrame([row], fields)
+
+
+def first_split(model: BoostedModel) -> DataFrame:
+    """The first tree's root: column, threshold, gain and the two leaf values; no row if nothing was to gain."""
+    rows = []
+    for n in model.nodes()[lambda t: (t["tree"] == 0) & (t["id"] == 0) & (t["left"] >= 0)].itertuples():
+        values = model.nodes().set_index(["tree", "id"])["prediction"]
+        numbers = (n.threshold, n.gain, values[0, n.left], values[0, n.right])
+        rows.append((model.columns[int(n.feature)], *(round(float(v), 6) for v in numbers)))
+    fields = "feature string, threshold double, gain double, left_value double, right_value double"
+    return SparkSession.getActiveSession().createDataFrame(rows, fields)
+
+
+def forest_facts(model: PipelineModel, train: DataFrame) -> DataFrame:
+    """One row: numbers of trees and levels, how far recorded gains are from those of the class counts in the nodes, and
+    whether the forest orders its own training rows far better than chance."""
+    nodes, weights = explain.tree_nodes(model)
+    stats = nodes.set_index(["tree", "id"])["stats"].map(lambda s: np.array(s, dtype=float))
+
+    def impurity(counts: pd.Series) -> np.ndarray:
+        return np.array([1 - ((c / c.sum()) ** 2).sum() for c in counts])
+
+    inner = nodes[nodes["left"] >= 0]
+    own = stats.loc[list(zip(inner["tree"], inner["id"]))]
+    sides = [stats.loc[list(zip(inner["tree"], inner[side]))] for side in ("left", "right")]
+    shares = [np.array([s.sum() for s in side]) / np.array([s.sum() for s in own]) for side in sides]
+    gain = impurity(own) - shares[0] * impurity(sides[0]) - shares[1] * impurity(sides[1])
+    apart = float(np.abs(inner["gain"].to_numpy() - gain).max()) if len(inner) else 0.0
+    area = models.predict(model, train).select(F.lit("forest").alias("model"), "label", "probability")
+    row = (len(weights), _deepest(nodes), round(apart, 6) + 0.0)
+    fields = "trees long, levels int, gain_difference double"
+    judged = evaluate.model_comparison(area).select((F.col("roc_auc") > 0.8).alias("orders_rows"))
+    facts = train.sparkSession.createDataFrame([row], fields)
+    return facts.withColumn("orders_rows", judged.scalar())
+
+
 def shapley_sums(model: BoostedModel, data: DataFrame, columns: Sequence[str] = CORE9) -> DataFrame:
     """Per row the number of values and the distance of base and values from the model's own log-odds."""
     values = explain.tree_shap(model, data, columns)

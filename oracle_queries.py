@@ -840,6 +840,34 @@ ORACLE["rf_scores"] = ORACLE["gbt_scores"] = with_(
     """SELECT customer_unique_id, label, true AS is_probability, true AS agrees, 0.0::DOUBLE AS difference
     FROM held_out""",
 )
+ORACLE["booster_facts"] = with_(
+    FEATURES,
+    """SELECT 100::BIGINT AS trees, 5::INT AS levels, 0.0::DOUBLE AS leaf_difference, 0.0::DOUBLE AS gain_difference,
+      true AS loss_falls FROM (SELECT count(*) AS n FROM split) WHERE n > 0""",
+)
+ORACLE["forest_facts"] = with_(
+    FEATURES,
+    """SELECT 200::BIGINT AS trees, 10::INT AS levels, 0.0::DOUBLE AS gain_difference, true AS orders_rows
+      FROM (SELECT count(*) AS n FROM split) WHERE n > 0""",
+)
+# The best of all cuts between bins of equal frequency.
+ORACLE["booster_first_split"] = with_(
+    FEATURES
+    + f""", train AS (SELECT * FROM split WHERE split = 'train'),
+    long AS (SELECT label, unnest([{', '.join(f"{{'place': {i}, 'feature': '{c}', 'value': {c}::DOUBLE}}" for i, c in enumerate(CORE9))}]) AS e FROM train),
+    cells AS (SELECT e.place AS place, e.feature AS feature, e.value AS value,
+      sum(0.5::DOUBLE - label) AS g, sum(0.25::DOUBLE) AS h, count(*) AS n
+      FROM long GROUP BY ALL),
+    running AS (SELECT *, sum(n) OVER w AS upto, sum(n) OVER (PARTITION BY place) AS total, sum(g) OVER w AS gl, sum(h) OVER w AS hl,
+      sum(g) OVER (PARTITION BY place) AS ga, sum(h) OVER (PARTITION BY place) AS ha
+      FROM cells WINDOW w AS (PARTITION BY place ORDER BY value)),
+    ends AS (SELECT *, row_number() OVER (PARTITION BY place, ((upto - n) * 256) // total ORDER BY value DESC) AS last FROM running),
+    cuts AS (SELECT *, 0.5 * (gl * gl / (hl + 1) + (ga - gl) * (ga - gl) / (ha - hl + 1) - ga * ga / (ha + 1)) AS gain
+      FROM ends WHERE last = 1 AND upto < total AND hl >= 1 AND ha - hl >= 1),
+    best AS (SELECT * FROM cuts WHERE gain > 0.000001 ORDER BY gain DESC, place, value LIMIT 1)""",
+    """SELECT feature, round(value, 6) AS threshold, round(gain, 6)::DOUBLE AS gain, round(-0.3 * gl / (hl + 1), 6)::DOUBLE AS left_value,
+      round(-0.3 * (ga - gl) / (ha - hl + 1), 6)::DOUBLE AS right_value FROM best""",
+)
 ORACLE["tree_shap"] = with_(
     FEATURES, f"SELECT customer_unique_id, {len(CORE9)}::BIGINT AS features, 0.0::DOUBLE AS difference FROM held_out"
 )

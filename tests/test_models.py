@@ -6,9 +6,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from holdfast.operators import boosting as B
 from holdfast.operators import explain as X
 from holdfast.operators import models as M
 from holdfast.operators.segments import with_tier
+from holdfast.plans import checks
 from holdfast.plans.churn import scoring_job
 from holdfast.session import materialise, shared_root
 from holdfast.sources.schemas import KEY
@@ -174,3 +176,46 @@ def test_importance_and_summary(spark):
     assert X.shap_importance(shap, 1).count() == 1
     colours = {(r[KEY], r.feature): r.colour for r in X.shap_summary(shap).collect()}
     assert colours == {("x", "a"): 0.0, ("y", "a"): 1.0, ("x", "b"): 0.5, ("y", "b"): 0.5}
+
+
+def test_facts_tell_right_boosters_from_wrong_ones(train):
+    chosen = {**SMALL, "subsample": 0.8, "colsample_bytree": 0.7, "scale_pos_weight": 2}
+    model = M.fit_boosted(train, COLS, chosen)
+    right = checks.booster_facts(model, train).first()
+    assert tuple(right) == (4, 3, 0.0, 0.0, True)
+    flipped = train.withColumn("label", 1 - F.col("label"))
+    assert checks.booster_facts(model, flipped).first().leaf_difference > 0.05
+    assert not checks.booster_facts(M.fit_boosted(flipped, COLS, chosen), train).first().loss_falls
+    rng = np.random.default_rng(2)
+    mixed = []
+    for tree in model.trees:
+        tree, leaves = tree.copy(), tree["feature"] < 0
+        tree["grad"][leaves] = rng.permutation(tree["grad"][leaves])
+        mixed.append(tree)
+    shuffled = B.BoostedModel(model.columns, model.params, model.cuts, mixed)
+    assert checks.booster_facts(shuffled, train).first().leaf_difference > 0.05
+    half = B.BoostedModel(model.columns, model.params, model.cuts, model.trees[:2])
+    assert checks.booster_facts(half, train).first().trees == 2
+
+
+def test_facts_tell_right_forests_from_wrong_ones(train):
+    right = checks.forest_facts(M.fit_forest(train, COLS, trees=20, depth=5), train).first()
+    assert tuple(right) == (20, 5, 0.0, True)
+    flipped = train.withColumn("label", 1 - F.col("label"))
+    wrong = checks.forest_facts(M.fit_forest(flipped, COLS, trees=1, depth=1), train).first()
+    assert (wrong.trees, wrong.levels, wrong.orders_rows) == (1, 1, False)
+
+
+def test_first_split_is_the_best_of_all_cuts(train):
+    model = M.fit_boosted(train, COLS, {"n_estimators": 1, "max_depth": 1, "scale_pos_weight": 5})
+    got = checks.first_split(model).first()
+    pdf = train.toPandas()
+    w = np.where(pdf.label == 1, 5.0, 1.0)
+    g, h = w * (0.5 - pdf.label.to_numpy()), w * 0.25
+    at = {(c, cut): pdf[c].to_numpy() <= cut for c, cuts in zip(COLS, model.cuts) for cut in cuts}
+    gains = {k: 0.5 * (g[l].sum() ** 2 / (h[l].sum() + 1) + g[~l].sum() ** 2 / (h[~l].sum() + 1) - g.sum() ** 2 / (h.sum() + 1))
+             for k, l in at.items() if min(h[l].sum(), h[~l].sum()) >= 1}
+    best = max(gains, key=gains.get)
+    assert (got.feature, round(best[1], 6)) == (best[0], got.threshold) and abs(got.gain - gains[best]) < 1e-4
+    left = at[best]
+    assert abs(got.left_value + 0.3 * g[left].sum() / (h[left].sum() + 1)) < 1e-5
