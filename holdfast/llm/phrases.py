@@ -65,7 +65,7 @@ class Settings:
     longest: int = 5
     share: int = 100
     top: int = 2_000
-    shard_bytes: int = 8_000_000
+    shard_bytes: int = 12_000_000
 
 
 class Index:
@@ -79,18 +79,30 @@ class Index:
         self._text, self._depth = np.concatenate([[0], text, [0]]).astype(np.int64), depth
 
     @cached_property
-    def forward(self) -> tuple[np.ndarray, np.ndarray]:
-        """The word before each row, and the same as sorted (word, row) pairs in one number."""
+    def forward(self) -> np.ndarray:
+        """The word before each row."""
         return self._transform(self._text)
 
     @cached_property
-    def backward(self) -> tuple[np.ndarray, np.ndarray]:
-        """The word after each row of the text read backwards, and its sorted pairs."""
+    def backward(self) -> np.ndarray:
+        """The word after each row of the text read backwards."""
         return self._transform(self._text[::-1])
 
-    def _transform(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        before = text[np.argsort(self._ranks(text)) - 1]
-        return before, np.sort(before * len(text) + np.arange(len(text)))
+    @cached_property
+    def _places_forward(self) -> np.ndarray:
+        return self._places(self.forward)
+
+    @cached_property
+    def _places_backward(self) -> np.ndarray:
+        return self._places(self.backward)
+
+    def _transform(self, text: np.ndarray) -> np.ndarray:
+        return text[np.argsort(self._ranks(text)) - 1]
+
+    @staticmethod
+    def _places(transform: np.ndarray) -> np.ndarray:
+        """Sorted (word, row) pairs in one number, to look up how often a word stands above a row."""
+        return np.sort(transform * len(transform) + np.arange(len(transform)))
 
     def _ranks(self, text: np.ndarray) -> np.ndarray:
         """Numbers that order the places by the ``depth`` words from there on (past the end follow zeros)."""
@@ -118,44 +130,49 @@ class Index:
         return found[real, None], starts[real], starts[real], counts[real]
 
     @staticmethod
+    def _counted(transform: np.ndarray, own: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Which interval is extended by which word (0: by an end), and how often."""
+        rows = np.repeat(own - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+        size = int(transform.max()) + 1
+        keys, new = np.unique(np.repeat(np.arange(len(own)) * size, counts) + transform[rows], return_counts=True)
+        return keys // size, keys % size, new
+
     def _extended(
-        transform: tuple[np.ndarray, np.ndarray], own: np.ndarray, other: np.ndarray, counts: np.ndarray
+        self, transform: np.ndarray, places: np.ndarray, own: np.ndarray, other: np.ndarray, counts: np.ndarray
     ) -> tuple[np.ndarray, ...]:
         """Which interval is extended by which word, the new starts on both sides, and the new counts."""
-        before, pairs = transform
-        rows = np.repeat(own - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
-        size = int(before.max()) + 1
-        keys, new = np.unique(np.repeat(np.arange(len(own)) * size, counts) + before[rows], return_counts=True)
-        parent, word = keys // size, keys % size
+        parent, word, new = self._counted(transform, own, counts)
         # Extensions by smaller words, 0 among them, stand before this one in the parent's interval on the other side.
         smaller = np.cumsum(new) - new
         start_of_parent = smaller[np.searchsorted(parent, np.arange(len(own)))]
         beside = other[parent] + smaller - start_of_parent[parent]
         real = word > 0
         parent, word, new, beside = parent[real], word[real], new[real], beside[real]
-        return parent, word, np.searchsorted(pairs, word * len(before) + own[parent]), beside, new
+        return parent, word, np.searchsorted(places, word * len(transform) + own[parent]), beside, new
 
     def extend_right(self, phrases, starts, reverse, counts):
         """Bi-intervals of all phrases one word longer, the word added at the end."""
-        parent, word, back, there, new = self._extended(self.backward, reverse, starts, counts)
+        parent, word, back, there, new = self._extended(self.backward, self._places_backward, reverse, starts, counts)
         return np.hstack([phrases[parent], word[:, None]]), there, back, new
 
     def extend_left(self, phrases, starts, reverse, counts):
         """Bi-intervals of all phrases one word longer, the word added at the front."""
-        parent, word, there, back, new = self._extended(self.forward, starts, reverse, counts)
+        parent, word, there, back, new = self._extended(self.forward, self._places_forward, starts, reverse, counts)
         return np.hstack([word[:, None], phrases[parent]]), there, back, new
 
     def longest_extensions(self, phrases, starts, reverse, counts) -> tuple[np.ndarray, np.ndarray]:
         """The counts of each phrase's commonest extension to the right and to the left."""
-        out = []
-        for sided in ((self.backward, reverse, starts), (self.forward, starts, reverse)):
-            parent, _, _, _, new = self._extended(*sided, counts)
-            most = np.zeros(len(counts), dtype=np.int64)
-            if len(parent):
-                own, first = np.unique(parent, return_index=True)
-                most[own] = np.maximum.reduceat(new, first)
-            out.append(most)
-        return out[0], out[1]
+        parent, word, new = (x for x in self._counted(self.backward, reverse, counts))
+        parent, word, new = (x[word > 0] for x in (parent, word, new))
+        right, left = (np.zeros(len(counts), dtype=np.int64) for _ in range(2))
+        np.maximum.at(right, parent, new)
+        if phrases.shape[1] == 1 and len(counts):
+            # All pairs of words are at hand, so the other side needs no second transform.
+            np.maximum.at(left, np.searchsorted(phrases[:, 0], word), new)
+        else:
+            parent, word, new = self._counted(self.forward, starts, counts)
+            np.maximum.at(left, parent[word > 0], new[word > 0])
+        return right, left
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -313,18 +330,24 @@ class _Shard:
         """All words as phrases, and their counts."""
         return np.arange(1, len(self.words) + 1)[:, None], self.counts
 
-    def thinned(self, sieves: Sieves) -> np.ndarray:
-        """The text with 0 in place of words, and between words, that can't be in a longer frequent phrase."""
+    def thinned(self, sieves: Sieves, candidates: np.ndarray | None = None) -> np.ndarray:
+        """The text with 0 in place of words, and between words, that can't be in a longer frequent phrase.
+
+        ``candidates`` are all the pairs of words that may be frequent, if that is known.
+        """
         if not sieves:
             return self.ids
         hashes = self.hashes_of(self.single()[0])[0]
         right, left = (np.concatenate([[False], _passes(sieve, hashes)]) for sieve in sieves[0])
         ids = _squeezed(np.where((right | left)[self.ids], self.ids, 0))
         together = right[ids[:-1]] & left[ids[1:]]
-        if len(sieves) > 1:
+        if len(sieves) > 1 or candidates is not None:
             at = np.nonzero(together)[0]
             pairs = self.hashes_of(np.stack([ids[at], ids[at + 1]], axis=1))[0]
-            together[at] = _passes(sieves[1][0], pairs) | _passes(sieves[1][1], pairs)
+            may = np.ones(len(at), dtype=bool) if candidates is None else _passes(candidates, pairs)
+            if len(sieves) > 1:
+                may &= _passes(sieves[1][0], pairs) | _passes(sieves[1][1], pairs)
+            together[at] = may
         spread = np.full(2 * len(ids), -1, dtype=ids.dtype)
         # Words that stand alone on both sides can't be in any phrase.
         spread[::2] = np.where(np.append(together, False) | np.insert(together, 0, False), ids, 0)[: len(ids)]
@@ -360,14 +383,14 @@ def _hashed(
     """(h1, h2, f, right, left, shard): each shard's own counts of phrases of so many words that may be frequent.
 
     ``right`` and ``left`` are the counts of the commonest extensions, 0 if they aren't asked for (``extended``). Only
-    phrases that the shard holds as often as ``least`` says for its language, and that may be ``candidates``.
+    phrases that the shard holds as often as ``least`` says for its language, and whose pairs may be ``candidates``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
                 shard = _Shard(batch, at)
-                text = shard.thinned(sieves)
+                text = shard.thinned(sieves, candidates)
                 if not len(text):
                     continue
                 index = Index(text, max(1, lengths[-1] if extended else lengths[-1] - 1))
@@ -377,9 +400,6 @@ def _hashed(
                     if least is not None:
                         found = tuple(x[found[3] >= least[shard.lang]] for x in found)
                     h1, h2 = shard.hashes_of(found[0])
-                    if candidates is not None:
-                        may = _passes(candidates, h1)
-                        found, h1, h2 = tuple(x[may] for x in found), h1[may], h2[may]
                     counts = found[3]
                     if not len(counts):
                         continue
@@ -394,14 +414,16 @@ def _hashed(
     return sharded.mapInArrow(tidy(run), _HASHED)
 
 
-def _listed(sharded: DataFrame, longest: int, sieves: Sieves, owners: np.ndarray) -> DataFrame:
+def _listed(
+    sharded: DataFrame, longest: int, sieves: Sieves, candidates: np.ndarray | None, owners: np.ndarray
+) -> DataFrame:
     """(h1, h2, shard, lang, phrase, n_words): the frequent phrases that a shard was asked for, and a few more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
                 shard = _Shard(batch, at)
-                text = shard.thinned(sieves[:1])
+                text = shard.thinned(sieves[:1], candidates)
                 found = [shard.single()]
                 if longest > 1 and len(text):
                     found = itertools.chain(found, shard.phrases(Index(text, longest - 1), longest, sieves))
@@ -444,9 +466,9 @@ def frequent(df: DataFrame, text: str = "text", lang: str = "lang", settings: Se
     shares = {r.lang: -(-settings.least // r["count"]) for r in sharded.groupBy("lang").count().collect()}
     sieves: Sieves = []
     levels = []
+    candidates = None
     for lengths in passes:
         last = lengths[-1] == settings.longest
-        candidates = None
         if lengths[-1] == 2 and max(shares.values(), default=1) > 1:
             candidates = sieve_of(_hashed(sharded, lengths, sieves, False, least=shares).select("h1"))
         sums = [F.sum(c).alias(c) for c in ("f", "right", "left")]
@@ -457,9 +479,11 @@ def frequent(df: DataFrame, text: str = "text", lang: str = "lang", settings: Se
         if not last:
             right, left = (sieve_of(level.where(F.col(c) >= settings.least).select("h1")) for c in ("right", "left"))
             sieves.append((right, left))
+        if lengths[-1] == 2:
+            candidates = sieve_of(level.select("h1"))
     known = functools.reduce(DataFrame.union, levels)
     owned = F.col("h1").bitwiseXOR(F.shiftleft("shard", 64 - SIEVE_BITS)).alias("h1")
-    listed = _listed(sharded, settings.longest, sieves, sieve_of(known.select(owned)))
+    listed = _listed(sharded, settings.longest, sieves, candidates, sieve_of(known.select(owned)))
     found = listed.join(known, ["h1", "h2", "shard"]).select("lang", "phrase", "n_words", "f")
     return materialise(found, "phrases"), totals
 
