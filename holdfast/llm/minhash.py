@@ -31,8 +31,8 @@ BANDS, ROWS = 20, 5
 FINER, FINER_ROWS = 4, 2
 # Pairs whose signatures agree this much less than the threshold (four to five standard errors) aren't checked exactly.
 MARGIN = 0.2
-# So many members of a bucket are compared with one another, or with so many others, at once; and pairs at a time in memory.
-TILE, PAIRS = 512, 20_000
+# So many members of a bucket are compared with one another, or with so many others, at once; and shingles at a time.
+TILE, COLUMNS = 512, 4_096
 ROWS_OUT = 2_000
 
 _MIX = [np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15)]
@@ -179,7 +179,7 @@ def near_pairs(signed: DataFrame, threshold: float, bands: int, rows: int) -> tu
     """(a, b), a below b: documents of (doc, n, signature) that share a band and may reach the threshold, and the
     members of large buckets.
 
-    A first pass that links most of a group of near copies with few comparisons; ``rest_pairs`` gives what it leaves out.
+    A first pass that links most of a group of near copies with few comparisons; ``rest_links`` gives what it leaves out.
     """
     signature = F.col("signature")
     key = F.transform(
@@ -211,40 +211,64 @@ def near_pairs(signed: DataFrame, threshold: float, bands: int, rows: int) -> tu
     return found.join(left, "a").join(right, "b").where(alike_enough).select("a", "b"), larger
 
 
-def _open_pairs(group: pa.Table, threshold: float, bands: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows (i, j) of different classes that may reach the threshold and share no band before this one."""
+def _common(group: pa.Table, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many shingles each of the rows ``left`` has in common with each of the rows ``right``.
+
+    Shingles of one row alone can't be common; the others are counted some thousand at a time.
+    """
+    lists = group.column("shingles").combine_chunks()
+    sizes = lists.value_lengths().to_numpy()
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    _, column, times = np.unique(lists.flatten().to_numpy(), return_inverse=True, return_counts=True)
+    shared = times[column] > 1
+    number = np.cumsum(times > 1) - 1
+    owner, column = owner[shared], number[column[shared]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    out = np.zeros((len(left), len(right)), dtype=np.float32)
+    for first in range(0, int(column.max(initial=-1)) + 1, COLUMNS):
+        a, b = np.searchsorted(column, [first, first + COLUMNS])
+        held = np.zeros((len(sizes), COLUMNS), dtype=np.float32)
+        held[owner[a:b], column[a:b] - first] = 1
+        out += held[left] @ held[right].T
+    return out
+
+
+def _merged(group: pa.Table, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (i, j) whose classes links inside the group make one, j's the lower; at most one for each class."""
     n, tile = (group.column(c).to_numpy() for c in ("n", "tile"))
-    of_class = group.column("class").combine_chunks().dictionary_encode().indices.to_numpy()
-    signatures = group.column("signature").combine_chunks().flatten().to_numpy().reshape(-1, bands * rows)
-    band, x, y = (group.column(c)[0].as_py() for c in ("band", "x", "y"))
+    of_class, row, place = np.unique(group.column("class").to_numpy(), return_index=True, return_inverse=True)
+    x, y = (group.column(c)[0].as_py() for c in ("x", "y"))
     left, right = np.nonzero(tile == x)[0], np.nonzero(tile == y)[0]
-    fits = of_class[left, None] != of_class[None, right]
-    fits &= np.minimum(n[left, None], n[None, right]) >= threshold * np.maximum(n[left, None], n[None, right])
-    if x == y:
-        fits &= left[:, None] < right[None, :]
-    i, j = np.nonzero(fits)
-    i, j = left[i], right[j]
-    kept = []
-    for first in range(0, len(i), PAIRS):
-        a, b = i[first : first + PAIRS], j[first : first + PAIRS]
-        same = signatures[a] == signatures[b]
-        near = np.nonzero(same.sum(axis=1) >= (threshold - MARGIN) * bands * rows)[0]
-        shared = same[near].reshape(-1, bands, rows).all(axis=2)
-        kept.append(first + near[shared[:, band] & (shared.argmax(axis=1) == band)])
-    found = np.concatenate(kept) if kept else np.zeros(0, dtype=np.int64)
-    return i[found], j[found]
-
-
-def rest_pairs(
-    signed: DataFrame, larger: DataFrame, classes: DataFrame, threshold: float, bands: int, rows: int
-) -> DataFrame:
-    """(a, b), a below b: the pairs of large buckets that ``classes`` leaves apart and that may reach the threshold.
+    apart = place[left, None] != place[None, right]
+    if not apart.any():
+        return row[:0], row[:0]
+    common = _common(group, left, right)
+    linked = apart & (common >= threshold * (n[left, None] + n[None, right] - common))
+    i, j = np.nonzero(linked)
+    i, j = place[left[i]], place[right[j]]
+    roots = np.arange(len(of_class))
+    while True:
+        low = np.minimum(roots[i], roots[j])
+        after = roots.copy()
+        np.minimum.at(after, i, low)
+        np.minimum.at(after, j, low)
+        if (after == roots).all():
+            break
+        roots = after
+    moved = np.nonzero(roots != np.arange(len(roots)))[0]
+    return row[moved], row[roots[moved]]
+
+
+def rest_links(signed: DataFrame, larger: DataFrame, classes: DataFrame, source: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): classes of ``classes`` (by a document of each) that pairs in large buckets link, checked exactly.
 
     Members of one class need no comparing, nor does a bucket's smallest document, which met all others. Every
-    other pair is compared by its signatures, in tiles over many tasks, and given by the first band it shares only.
+    other pair is compared by its shingles, in tiles over many tasks. A tile gives no pairs but a spanning forest of the
+    classes that its links make one, so at most one row for each class it holds.
     """
     of_doc = classes.select(F.col("node").alias("doc"), F.col("component").alias("class"))
-    others = larger.where(F.col("doc") != F.col("lowest.doc")).select("bucket", "band", "doc", "n")
+    others = larger.where(F.col("doc") != F.col("lowest.doc")).select("bucket", "doc", "n")
     others = materialise(
         others.join(of_doc, "doc", "left").withColumn("class", F.coalesce("class", "doc")), "bucket-classes"
     )
@@ -256,13 +280,12 @@ def rest_pairs(
         "mixed-buckets",
     )
     left_apart = materialise(sieve(others, "bucket", mixed.select("bucket")).join(mixed, "bucket"), "left-apart")
-    signatures = sieve(signed.select("doc", "signature"), "doc", left_apart.select("doc"))
     placed = (
-        left_apart.join(signatures, "doc")
+        left_apart.join(_shingle_sets(source, left_apart.select("doc").distinct()), "doc")
         .withColumn("tile", F.pmod(F.xxhash64("doc"), F.col("tiles")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
         .withColumns({"x": F.least("tile", "other"), "y": F.greatest("tile", "other")})
-        .select("bucket", "x", "y", "tile", "band", "doc", "n", "class", "signature")
+        .select("bucket", "x", "y", "tile", "doc", F.size("shingles").alias("n"), "class", "shingles")
     )
     grouped = placed.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y")
     doc = signed.schema["doc"].dataType
@@ -270,24 +293,26 @@ def rest_pairs(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in key_runs(batches, ["bucket", "x", "y"]):
-            i, j = _open_pairs(group, threshold, bands, rows)
-            docs = group.column("doc").combine_chunks()
-            for first in range(0, len(i), PAIRS):
-                a, b = (docs.take(pa.array(rows_of[first : first + PAIRS])) for rows_of in (i, j))
-                yield pa.RecordBatch.from_arrays([a, b], ["a", "b"])
+            i, j = _merged(group, threshold)
+            if len(i):
+                docs = group.column("doc").combine_chunks()
+                yield pa.RecordBatch.from_arrays([docs.take(pa.array(i)), docs.take(pa.array(j))], ["a", "b"])
 
-    found = grouped.mapInArrow(tidy(run), schema)
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return grouped.mapInArrow(tidy(run), schema).distinct()
 
 
-def _links(source: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
-    """Those of ``pairs`` whose texts' shingles reach the threshold, by exact Jaccard similarity."""
-    ids = pairs.select("a").union(pairs.select("b")).distinct()
+def _shingle_sets(source: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc, shingles) of the documents in the one-column table ``ids``."""
     # An inner join, because the optimizer would move a semi join below the sieve and shuffle every text.
     wanted = sieve(source, "doc", ids).join(ids.toDF("doc"), "doc").select("doc", words_of(F.col("text")).alias("words"))
     words = wanted.groupBy("doc").agg(F.min_by("words", F.struct(*two_hashes(F.col("words")))).alias("words"))
     fields = [T.StructField("shingles", T.ArrayType(T.LongType()))]
-    sets = materialise(_by_document(words, lambda w: (shingles(w).view(np.int64),), fields), "shingles")
+    return materialise(_by_document(words, lambda w: (shingles(w).view(np.int64),), fields), "shingles")
+
+
+def _links(source: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+    """Those of ``pairs`` whose texts' shingles reach the threshold, by exact Jaccard similarity."""
+    sets = _shingle_sets(source, pairs.select("a").union(pairs.select("b")).distinct())
     left, right = (sets.select(F.col("doc").alias(c), F.col("shingles").alias(f"s_{c}")) for c in ("a", "b"))
     common = F.size(F.array_intersect("s_a", "s_b"))
     return (
@@ -311,8 +336,9 @@ def near_duplicates(
     Two documents are linked if the Jaccard similarity of their distinct shingles of five words (lower
     case, cut at white space; fewer words are one shingle) is at least ``threshold``, which is checked exactly. Equal
     texts are one document for all of this. Pairs are found if they share a band of the signature: at 0.8 all but
-    4 in 10,000, at 0.9 all but 2 in 100 million. Of a band's bucket every pair is compared that isn't in one class already,
-    so many different texts that share a band without being near copies cost the square of their number. Null, empty and
+    4 in 10,000, at 0.9 all but 2 in 100 million. Of a band's bucket every pair is compared that isn't in one class already:
+    many different texts that share a band without being near copies are compared by the square of their number, in
+    tiles, but what a tile gives never exceeds its members. Null, empty and
     blank texts have no words and are copies of one another, rows without a key have no class, repeated rows stay, rows of
     one key are one document, other columns are left out.
     """
@@ -337,11 +363,10 @@ def near_duplicates(
     pairs, larger = near_pairs(one_each, threshold, bands, rows)
     pairs = materialise(pairs, "pairs")
     classes = components(_links(source, pairs, threshold))
-    rest = rest_pairs(one_each, larger, classes, threshold, bands, rows)
-    rest = materialise(rest.join(pairs, ["a", "b"], "left_anti"), "rest-pairs")
+    rest = materialise(rest_links(one_each, larger, classes, source, threshold), "rest-links")
     if not rest.isEmpty():
         known = classes.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        classes = components(known.union(_links(source, rest, threshold)))
+        classes = components(known.union(rest))
     of_text = texts.select("h1", "h2", F.col("doc").alias("node")).join(classes, "node", "left")
     of_text = of_text.select("h1", "h2", F.coalesce("component", "node").alias("class_id"))
     return signed.select("doc", "h1", "h2").join(of_text, ["h1", "h2"], "left").select(

@@ -6,9 +6,12 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import corpus_pipeline
 from holdfast.llm import catalog, common, language, minhash, quality, topk, vector_dedup
+from holdfast.session import materialise
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, node long, h1 long"
 VECS = "vec_id long, embedding array<float>, label int, id long, node long, n_links string"
@@ -237,6 +240,34 @@ def test_near_duplicates_of_a_template_family(spark, monkeypatch, tile):
     assert {r.doc_id: r.class_id for r in minhash.near_duplicates(frame).collect()} == want
 
 
+def test_tiles_give_no_more_rows_than_members(spark):
+    """A family with almost no links: what the tiles give grows with the members, not with their pairs."""
+    made = {}
+    for n in (300, 600):
+        rng = random.Random(11)
+        base = words(rng, 100)
+        texts = []
+        for _ in range(n):
+            other = list(base)
+            for at in rng.sample(range(100), 3):
+                other[at] = f"new{rng.randint(0, 10**6)}"
+            texts.append(" ".join(other))
+        source = docs(spark, [(k, t, "en") for k, t in enumerate(texts)]).selectExpr("doc_id AS doc", "text")
+        signed = minhash._by_document(
+            source.select("doc", minhash.words_of(F.col("text")).alias("words")),
+            lambda w: minhash._signed(w, 100),
+            [T.StructField("n", T.IntegerType()), T.StructField("signature", T.ArrayType(T.IntegerType()))],
+        )
+        pairs, larger = minhash.near_pairs(materialise(signed, "signed"), 0.8, 20, 5)
+        classes = minhash.components(minhash._links(source, materialise(pairs, "pairs"), 0.8))
+        made[n] = minhash.rest_links(signed, larger, classes, source, 0.8).count()
+        assert made[n] <= n
+        want = template_classes(texts)
+        got = {r.doc_id: r.class_id for r in minhash.near_duplicates(source.toDF("doc_id", "text")).collect()}
+        assert got == want
+    assert made[600] <= 3 * max(made[300], 50)
+
+
 def test_near_duplicates_of_nothing(spark):
     frame = docs(spark, [(1, "a b", "en")])
     assert minhash.near_duplicates(frame.limit(0)).count() == 0
