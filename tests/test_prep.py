@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from holdfast.operators import neighbours as N
 from holdfast.operators import prep as P
 from holdfast.operators.explore import balance_report
 from holdfast.operators.neighbours import nearest_neighbours
@@ -20,10 +21,14 @@ def points(spark, n, seed=0, copies=0):
     return spark.createDataFrame(rows, f"{KEY} string, a double, b double, c double")
 
 
-@pytest.mark.parametrize("tile_rows, max_tiles, block_rows", [(16, 4096, 32768), (64, 8, 24), (4096, 4096, 32768)])
-def test_neighbours_equal_brute_force(spark, tile_rows, max_tiles, block_rows):
+@pytest.mark.parametrize(
+    "tile_rows, block_rows, top, fan", [(16, 24, 4, 8), (4096, 32768, 1024, 256)]
+)
+def test_neighbours_equal_brute_force(spark, monkeypatch, tile_rows, block_rows, top, fan):
+    monkeypatch.setattr(N, "TOP_BOXES", top)
+    monkeypatch.setattr(N, "FAN", fan)
     df = points(spark, 400).dropDuplicates(COLS)
-    got = nearest_neighbours(df, KEY, COLS, 5, tile_rows, max_tiles, block_rows).toPandas()
+    got = nearest_neighbours(df, KEY, COLS, 5, tile_rows, block_rows).toPandas()
     pdf = df.toPandas().sort_values(KEY, ignore_index=True)
     x, keys = pdf[COLS].to_numpy(), pdf[KEY].to_numpy()
     gaps = sum((x[:, None, j] - x[None, :, j]) ** 2 for j in range(3))
@@ -34,6 +39,30 @@ def test_neighbours_equal_brute_force(spark, tile_rows, max_tiles, block_rows):
     assert found == want
 
 
+def tied(spark, n):
+    """Distinct points, half of them alike in the two widest columns."""
+    rng = np.random.default_rng(4)
+    values = rng.normal(size=(n, 3)) * [100, 10, 1]
+    values[: n // 2, :2] = [50.0, 7.0]
+    return spark.createDataFrame([(f"k{i:06d}", *map(float, v)) for i, v in enumerate(values)], f"{KEY} string, a double, b double, c double")
+
+
+def test_work_a_point_does_not_grow_with_the_points(spark):
+    work = []
+    for n in (1_500, 6_000):
+        tiled, boxes = (df.toPandas() for df in N._tile(tied(spark, n), COLS, 32))
+        assert boxes.n.max() <= 64 and boxes.n.sum() == n
+        boxes = boxes.rename(columns={"tile": "box"})
+        compared = 0
+        for _, own in tiled.groupby("tile"):
+            # Reaches as the points' own tile bounds them.
+            gaps = np.sort(N.squared_distances(own[COLS].to_numpy(), own[COLS].to_numpy()), axis=1)
+            own = own.assign(reach=gaps[:, 5] if len(own) > 5 else np.inf)
+            compared += N._within(own, boxes, COLS, 5).merge(boxes[["box", "n"]], on="box")["n"].sum()
+        work.append(compared / n)
+    assert work[1] < 1.5 * work[0]
+
+
 def test_fewer_points_than_neighbours(spark):
     assert nearest_neighbours(points(spark, 3), KEY, COLS, 5).count() == 6
 
