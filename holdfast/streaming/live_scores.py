@@ -1,8 +1,7 @@
 """Scoring people as their orders arrive.
 
-The score log is append-only: each micro-batch owns one folder named after its
-epoch and overwrites it when it is retried, so a restart neither loses nor
-repeats rows. Readers take each person's newest row.
+Each micro-batch is one run of a ``ScoreLog``, written over when it is retried until it counts, so a
+restart neither loses nor repeats rows. Readers take each person's newest row.
 
 A batch sees all tables as they stood when it was first tried: the moment is written down before
 anything is scored, and files that came later are left out, also when the batch is retried. Files are
@@ -22,6 +21,7 @@ from holdfast.operators.features import feature_table
 from holdfast.operators.labels import PLACED, delivered_orders, with_person
 from holdfast.operators.segments import with_tier
 from holdfast.sources.schemas import KEY
+from holdfast.streaming.score_log import ScoreLog
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -84,7 +84,7 @@ def start_scoring(
         tables = {name: seen(session, name, mine.until) for name in paths}
         people = with_person(batch.select("customer_id"), tables["customers"]).select(KEY).distinct()
         scores = rescore(people, tables, scorer, mine.latest)
-        scores.write.mode("overwrite").parquet(f"{log_path}/epoch={epoch}")
+        ScoreLog(session, log_path).append(scores, epoch)
 
     writer = orders.writeStream.foreachBatch(on_batch).option("checkpointLocation", progress_path)
     return writer.trigger(availableNow=True).start() if available_now else writer.start()
@@ -99,7 +99,4 @@ def _state(spark: SparkSession, path: str) -> DataFrame | None:
 
 def latest_scores(spark: SparkSession, log_path: str) -> DataFrame:
     """Each person's newest logged row."""
-    log = spark.read.parquet(log_path)
-    columns = [c for c in log.columns if c not in (KEY, "epoch")]
-    newest = F.max_by(F.struct(*columns), "epoch").alias("row")
-    return log.groupBy(KEY).agg(newest).select(KEY, "row.*")
+    return ScoreLog(spark, log_path).latest()

@@ -1,3 +1,6 @@
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from holdfast.operators.models import linear_score
@@ -5,6 +8,7 @@ from holdfast.plans.churn import Study
 from holdfast.sources import order_tables
 from holdfast.sources.schemas import KEY
 from holdfast.streaming.live_scores import latest_scores, start_scoring
+from holdfast.streaming.score_log import ScoreLog
 
 
 def run(spark, paths, tmp_path):
@@ -45,9 +49,71 @@ def test_people_are_rescored_when_they_order(spark, sf_dir, tmp_path):
     assert joined.where("logged IS NULL OR logged <> churn_probability OR n <> order_count").count() == 0
     assert got.select(KEY).distinct().count() == got.count()
     # A restart with nothing new logs nothing.
-    before = spark.read.parquet(str(tmp_path / "log")).count()
+    before = ScoreLog(spark, str(tmp_path / "log")).entries().count()
     run(spark, paths, tmp_path)
-    assert spark.read.parquet(str(tmp_path / "log")).count() == before
+    assert ScoreLog(spark, str(tmp_path / "log")).entries().count() == before
     # One moment per epoch is kept, and never an earlier one.
     state = spark.read.parquet(str(tmp_path / "progress-moments")).orderBy("epoch").collect()
     assert len(state) == 2 and state[0].latest <= state[1].latest and state[0].until < state[1].until
+
+
+def batches(n, people=25, seed=6):
+    rng = random.Random(seed)
+    return [[(f"p{i}", float(epoch), None if epoch % 5 else "x") for i in rng.sample(range(people), 10)] for epoch in range(n)]
+
+
+def logged(log):
+    return {r[KEY]: (r.churn_probability, r.risk_tier) for r in log.latest().collect()}
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, f"{KEY} string, churn_probability double, risk_tier string").coalesce(1)
+
+
+def test_log_reads_stay_bounded_by_the_live_rows(spark, tmp_path):
+    log, newest = ScoreLog(spark, str(tmp_path), fan=3), {}
+    for epoch, rows in enumerate(batches(30)):
+        log.append(frame(spark, rows), epoch)
+        newest |= {k: (p, t) for k, p, t in rows}
+    assert logged(log) == newest
+    levels = [r.level for r in log.runs()]
+    assert max(levels) >= 3 and all(levels.count(i) < 3 for i in set(levels))
+    # 300 rows were logged; a level holds at most two runs of 25 live rows.
+    assert log.entries().count() <= 2 * 10 + 2 * 25 * max(levels)
+    log.forget()
+    assert logged(ScoreLog(spark, str(tmp_path))) == newest
+
+
+def test_log_survives_a_crash_between_write_and_switch(spark, tmp_path, monkeypatch):
+    log, newest = ScoreLog(spark, str(tmp_path), fan=3), {}
+    switch = ScoreLog._switch
+    for epoch, rows in enumerate(batches(9)):
+        before = dict(newest)
+        newest |= {k: (p, t) for k, p, t in rows}
+        for fails_at in (1, 2):  # before the batch counts, then before a merged run does, if there is one
+            calls = []
+
+            def crash(self, runs):
+                calls.append(runs)
+                if len(calls) == fails_at:
+                    raise OSError("the driver is gone")
+                switch(self, runs)
+
+            monkeypatch.setattr(ScoreLog, "_switch", crash)
+            try:
+                log.append(frame(spark, rows), epoch)
+            except OSError:
+                if log.runs():
+                    assert logged(log) == (before if fails_at == 1 else newest)
+        monkeypatch.setattr(ScoreLog, "_switch", switch)
+        # Tried again, an epoch that counts is left alone.
+        log.append(frame(spark, rows), epoch)
+        log.append(frame(spark, [("p0", -1.0, "wrong")]), epoch)
+        assert logged(log) == newest
+
+
+def test_empty_log_says_so(spark, tmp_path):
+    log = ScoreLog(spark, str(tmp_path / "none"))
+    assert log.runs() == [] and log.entries() is None
+    with pytest.raises(FileNotFoundError):
+        log.latest()
