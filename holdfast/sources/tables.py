@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from holdfast.sources import multiline
 from holdfast.sources.schemas import MULTILINE_TABLES, TABLES
 
 
@@ -26,14 +27,10 @@ def read_table(
     have one header: each file's is checked when it is read, and another order of columns raises.
     """
     declared = TABLES[name]
-    if file_format == "csv":
-        raw = (
-            spark.read.option("header", True)
-            .option("enforceSchema", False)
-            .option("escape", '"')
-            .option("multiLine", name in MULTILINE_TABLES)
-            .csv(path)
-        )
+    if file_format == "csv" and name in MULTILINE_TABLES:
+        raw = multiline.read_csv(spark, path)
+    elif file_format == "csv":
+        raw = spark.read.option("header", True).option("enforceSchema", False).option("escape", '"').csv(path)
     else:
         raw = spark.read.format(file_format).load(path)
     if not declared:

@@ -1,3 +1,4 @@
+import random
 from datetime import datetime
 from types import SimpleNamespace
 
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 
 from holdfast.plans.churn import Study
 from holdfast.session import materialise, shared_root
-from holdfast.sources import load, order_tables, parse_timestamps, read_scored, read_table, write_scored
+from holdfast.sources import load, multiline, order_tables, parse_timestamps, read_scored, read_table, write_scored
 from holdfast.sources.schemas import KEY, TABLES
 
 
@@ -25,6 +26,35 @@ def test_csv_is_matched_by_name_and_may_hold_line_breaks(spark, tmp_path):
     assert [tuple(r) for r in rows] == [("o1", 5, datetime(2018, 1, 2)), ("o2", 1, None)]
 
 
+@pytest.mark.parametrize("seed, ends", [(1, "\n"), (2, "\r\n")])
+def test_split_files_equal_the_one_task_reader(spark, tmp_path, seed, ends):
+    """Quotes, doubled quotes, commas and line breaks anywhere, in two files cut into some fifty splits."""
+    rng, bits = random.Random(seed), ['""', ",", "\n", "a", "é", " ", '""\n""', "\n\n", "word"]
+
+    def value():
+        kind = rng.random()
+        return "" if kind < 0.1 else "plain" if kind < 0.5 else '"' + "".join(rng.choices(bits, k=rng.randint(0, 12))) + '"'
+
+    for name in ("a.csv", "b.csv"):
+        rows = ["id,one,two"] + [f"{name}{i},{value()},{value()}" for i in range(300)]
+        (tmp_path / name).write_bytes(ends.join(rows).encode() + (b"\n" if name == "a.csv" else b""))
+    size = sum(f.stat().st_size for f in tmp_path.iterdir())
+    whole = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(str(tmp_path))
+    want = sorted(map(tuple, whole.collect()))
+    held = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size // 50))
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        found = multiline.read_csv(spark, str(tmp_path))
+        splits = spark.read.text(str(tmp_path)).select("_metadata.file_path", "_metadata.file_block_start").distinct().count()
+        got = sorted(map(tuple, found.collect()))
+    finally:
+        for name, setting in held.items():
+            spark.conf.set(name, setting)
+    assert splits >= 45 and len(got) == 600
+    assert got == want
+
+
 @pytest.mark.parametrize("name", ["products", "order_reviews"])
 def test_files_with_another_order_of_columns_raise(spark, tmp_path, name):
     folder = tmp_path / name
