@@ -405,10 +405,28 @@ def _batch_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.stored_scores(scored, model, everyone)
 
 
-def _served(s: Study) -> DataFrame:
+def _saved_booster(sets) -> models.BoostedModel:
+    """A booster fitted, saved and loaded again."""
+    path = f"{shared_root(sets.balanced.sparkSession)}/model-{uuid.uuid4().hex}"
+    models.save_model(models.fit_boosted(sets.balanced, params=BOOSTER), path)
+    return models.load_model(path)
+
+
+def _partial_records(everyone: DataFrame) -> DataFrame:
     """Every person's features as a partial input record: two fields are never given, one only by some."""
-    records = s.features().drop("total_freight", "max_delivery_delay", "churned")
-    return serve(records, models.linear_score).select(
+    return everyone.drop("total_freight", "max_delivery_delay", "churned")
+
+
+def _served_by_model(s: Study) -> DataFrame:
+    """Partial input records scored by a model that was saved and loaded again."""
+    everyone = materialise(s.features(), "features")
+    loaded = _saved_booster(training_set(everyone))
+    return checks.served_scores(_partial_records(everyone), loaded)
+
+
+def _served(s: Study) -> DataFrame:
+    """Partial input records under the fixed weights."""
+    return serve(_partial_records(s.features()), models.linear_score).select(
         KEY, "fields_out_of_range", "churn_probability", "risk_tier", "recommended_action"
     )
 
@@ -542,6 +560,7 @@ QUERIES: dict[str, Query] = {
     "batch_scores": _batch_scores,
     # serving
     "served_records": _study_query(_served),
+    "served_by_model": _study_query(_served_by_model),
     "live_scores": _live_scores,
 }
 

@@ -20,7 +20,9 @@ from pyspark.sql import functions as F
 from holdfast.operators import boosting, evaluate, explain, models
 from holdfast.operators.boosting import BoostedModel
 from holdfast.operators.prep import SEED
+from holdfast.operators.retention import with_defaults
 from holdfast.operators.segments import risk_tier
+from holdfast.plans.churn import serve
 from holdfast.sources.schemas import CORE9, KEY
 
 
@@ -224,3 +226,19 @@ def stored_scores(stored: DataFrame, model: PipelineModel | BoostedModel, featur
         F.col("risk_tier").eqNullSafe(risk_tier(F.col("churn_probability"))).alias("tier_agrees"),
         _nothing(F.col("churn_probability") - F.col("here"), 6).alias("difference"),
     )
+
+
+def served_scores(records: DataFrame, model: BoostedModel) -> DataFrame:
+    """Per input record its fields out of range, whether tier and action are those of its probability, and that one's
+    distance from the node table's for the completed record."""
+    served = serve(records, lambda df: models.score_customers(model, df))
+    own = explain.replayed(model, with_defaults(records), model.columns)
+    p = F.col("churn_probability")
+    tier = risk_tier(p, "left")
+    return served.join(own, KEY).select(
+        KEY,
+        "fields_out_of_range",
+        (F.col("risk_tier") == tier).alias("tier_agrees"),
+        F.col("recommended_action").isNotNull().alias("has_action"),
+        _nothing(p - F.col("probability"), 6).alias("difference"),
+    )

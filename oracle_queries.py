@@ -905,6 +905,11 @@ ORACLE["served_records"] = with_(
         WHEN 'Medium risk' THEN 'include in next reactivation campaign'
         ELSE 'no immediate action needed' END AS recommended_action FROM ruled""",
 )
+ORACLE["served_by_model"] = with_(
+    FEATURES + f", filled AS (SELECT customer_unique_id, {SERVED} FROM features)",
+    f"""SELECT customer_unique_id, ({OUTSIDE})::INT AS fields_out_of_range, true AS tier_agrees, true AS has_action,
+      0.0::DOUBLE AS difference FROM filled""",
+)
 
 
 def arrived(orders: str) -> str:
