@@ -35,6 +35,24 @@ smallest AS (SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec
 counted AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
 SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
 FROM embeddings JOIN smallest USING (vec_id) LEFT JOIN counted USING (vec_id)""",
+    "op6_minhash": """
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^ \t\n\v\f\r]+') AS w FROM documents WHERE doc_id IS NOT NULL),
+sets AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS shingle FROM worded),
+sized AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM sets a JOIN sets b USING (shingle)
+  WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN sized x ON x.doc_id = a JOIN sized y ON y.doc_id = b
+  WHERE common >= 0.8::DOUBLE * (x.n + y.n - common)),
+reached AS (
+  SELECT doc_id, doc_id AS other FROM sized
+  UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other),
+smallest AS (SELECT doc_id, min(other) AS class_id FROM reached GROUP BY doc_id)
+SELECT d.doc_id, class_id, d.doc_id = class_id AS kept FROM documents d LEFT JOIN smallest USING (doc_id)""",
     "op9_lines": f"""
 WITH cut AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 placed AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM cut),
