@@ -3,7 +3,8 @@
 Items and reviews are both one-to-many to orders, so each is reduced to one row
 per order before it meets the orders. That keeps the fan-outs apart, and a hot
 order is already one row per map task when it is shuffled. The feature table then
-needs a single aggregation by person for everything except category diversity.
+needs a single aggregation by person, in which a bounded set of categories is a few
+words of bits.
 """
 
 from __future__ import annotations
@@ -28,6 +29,10 @@ REPAIRED_FILLS = {**LITERAL_FILLS, "avg_review_score": 3.0, "pct_late_orders": 0
 
 BAD_SCORE = 2
 
+# Up to this many categories a person's set of them is kept as bits; beyond it the rows are spread by category.
+MOST_CATEGORIES = 1_024
+WORD_BITS = 64
+
 
 def items_by_order(items: DataFrame) -> DataFrame:
     """Item totals per order; money in whole units."""
@@ -38,23 +43,54 @@ def items_by_order(items: DataFrame) -> DataFrame:
     )
 
 
-def items_with_categories(items: DataFrame, products: DataFrame) -> DataFrame:
-    """Item totals per order with the set of known categories, and whether any item is of a known product."""
-    known = products.select("product_id", "product_category_name", F.lit(True).alias("is_product"))
+def _items_of_orders(items: DataFrame, known: DataFrame, *more: Column) -> DataFrame:
+    """Item totals per order and ``more``, and whether any item is of a known product."""
     return (
         items.select("order_id", "product_id", "price", "freight_value")
-        .join(known, "product_id", "left")
+        .join(known.withColumn("is_product", F.lit(True)), "product_id", "left")
         .groupBy("order_id")
         .agg(
             F.sum(money_units(F.col("price"))).alias("spend"),
             F.count("price").alias("priced_items"),
             F.sum(money_units(F.col("freight_value"))).alias("freight"),
-            F.collect_set("product_category_name").alias("categories"),
             F.bool_or(F.coalesce("is_product", F.lit(False))).alias("has_product"),
+            *more,
         )
     )
 
 
+def items_with_categories(items: DataFrame, products: DataFrame) -> DataFrame:
+    """Item totals per order with the set of known categories."""
+    known = products.select("product_id", "product_category_name")
+    return _items_of_orders(items, known, F.collect_set("product_category_name").alias("categories"))
+
+
+def category_names(products: DataFrame, most: int = MOST_CATEGORIES) -> list[str] | None:
+    """All categories in order of name; None if there are more than ``most``."""
+    kinds = products.select("product_category_name").where(F.col("product_category_name").isNotNull()).distinct()
+    found = sorted(row[0] for row in kinds.limit(most + 1).collect())
+    return found if len(found) <= most else None
+
+
+def _words(names: list[str]) -> list[str]:
+    return [f"word{i}" for i in range(-(-len(names) // WORD_BITS))]
+
+
+def items_with_words(items: DataFrame, products: DataFrame, names: list[str]) -> DataFrame:
+    """Item totals per order with the set of known categories as bits: the s-th is bit s % 64 of ``word<s // 64>``."""
+    slots = products.sparkSession.createDataFrame(
+        [(name, slot) for slot, name in enumerate(names)], "product_category_name string, slot int"
+    )
+    known = (
+        products.select("product_id", "product_category_name")
+        .join(F.broadcast(slots), "product_category_name", "left")
+        .select("product_id", "slot")
+    )
+    bit = F.expr(f"shiftleft(1L, slot % {WORD_BITS})")
+    own = [F.bit_or(F.when(F.floor(F.col("slot") / WORD_BITS) == i, bit)).alias(w) for i, w in enumerate(_words(names))]
+    return _items_of_orders(items, known, *own)
+
+
 def _total(units: Column) -> Column:
     return from_units(F.coalesce(F.sum(units), F.lit(0)))
 
@@ -200,32 +236,35 @@ def feature_table(
 ) -> DataFrame:
     """The labelled feature table from one pass over each table.
 
-    Items meet their products and are reduced to their order, measures and set of categories together. A
-    person's orders then give one row with the measures and one per category, so that the same two
-    aggregations, by person and category and then by person, count distinct categories and add up the rest. A
-    person with very many orders reaches either shuffle as one row per task and category.
+    Items meet their products and are reduced to their order, measures and set of categories together. One
+    aggregation by person then adds up the measures and joins the sets, whose categories are bits of a few
+    words, so that a person with very many orders reaches the shuffle as one row per task. Should there be
+    more than ``MOST_CATEGORIES``, orders are spread by category instead.
     """
     reviews = reviews_asof(tables["order_reviews"], cutoff) if strict_asof else tables["order_reviews"]
     measured = delivery_measures(delivered_orders(tables["orders"]), cutoff if strict_asof else None)
-    placed, observed = F.col(PLACED), F.col("observed")
+    names = category_names(tables["products"])
+    items = (
+        items_with_categories(tables["order_items"], tables["products"])
+        if names is None
+        else items_with_words(tables["order_items"], tables["products"], names)
+    )
     per_order = (
         with_person(
             measured.select("order_id", "customer_id", PLACED, "delivery_delay_days", "actual_delivery_days"),
             tables["customers"],
         )
-        .join(items_with_categories(tables["order_items"], tables["products"]), "order_id", "left")
+        .join(items, "order_id", "left")
         .join(reviews_by_order(reviews), "order_id", "left")
-        .withColumn("observed", placed <= cutoff)
+        .withColumn("observed", F.col(PLACED) <= cutoff)
     )
-    nothing = F.array(F.lit(None).cast("string"))
-    spread = per_order.withColumn(
-        "category", F.explode(F.concat(nothing, F.coalesce("categories", F.array().cast("array<string>"))))
-    )
-    # The row without a category speaks for the order.
-    is_order = F.col("category").isNull()
-    counted = is_order & observed
+    sums = _sums_by_category(per_order) if names is None else _sums_by_person(per_order, _words(names))
+    return fill_features(_finished(sums, cutoff), fill)
+
+
+def _measures(counted: Column) -> tuple[dict[str, Column], dict[str, Column]]:
+    """Sums, and extremes and flags, over the rows that ``counted`` says are an order up to the cutoff."""
     bought = counted & F.col("priced_items").isNotNull()
-    delay = F.col("delivery_delay_days")
 
     def own(column: str) -> Column:
         return F.when(counted, F.col(column))
@@ -238,29 +277,62 @@ def feature_table(
         "delays": F.count(own("delivery_delay_days")),
         "days_sum": F.sum(own("actual_delivery_days")),
         "transits": F.count(own("actual_delivery_days")),
-        "late": F.count_if(counted & (delay > 0)),
+        "late": F.count_if(counted & (F.col("delivery_delay_days") > 0)),
+    }
+    extremes = {
+        "last_purchase": F.max(F.when(bought, F.col(PLACED))),
+        "max_delivery_delay": F.max(own("delivery_delay_days")),
+        "min_review_score": F.min(own("score_min")),
     }
+    return added, extremes
+
+
+def _sums_by_person(per_order: DataFrame, words: list[str]) -> DataFrame:
+    """One aggregation by person, from one row per order with its categories as bits."""
+    observed = F.col("observed")
+    added, extremes = _measures(observed)
+    sums = per_order.groupBy(KEY).agg(
+        *[column.alias(name) for name, column in {**added, **extremes}.items()],
+        F.bool_or(~observed).alias("came_back"),
+        F.bool_or(observed & F.coalesce("has_product", F.lit(False))).alias("has_product"),
+        *[F.bit_or(F.when(observed, F.col(w))).alias(w) for w in words],
+    )
+    kinds = sum((F.bit_count(F.coalesce(w, F.lit(0).cast("long"))) for w in words), F.lit(0)).cast("long")
+    # Null when none of the items is of a known product.
+    return sums.withColumn("category_diversity", F.when(F.col("has_product"), kinds))
+
+
+def _sums_by_category(per_order: DataFrame) -> DataFrame:
+    """The same from a row per order and category, by person and category and then by person."""
+    observed = F.col("observed")
+    nothing = F.array(F.lit(None).cast("string"))
+    spread = per_order.withColumn(
+        "category", F.explode(F.concat(nothing, F.coalesce("categories", F.array().cast("array<string>"))))
+    )
+    # The row without a category speaks for the order.
+    is_order = F.col("category").isNull()
+    added, extremes = _measures(is_order & observed)
     by_category = spread.groupBy(KEY, "category").agg(
-        F.max(F.when(bought, placed)).alias("last_purchase"),
-        F.max(own("delivery_delay_days")).alias("max_delivery_delay"),
-        F.min(own("score_min")).alias("score_min"),
+        *[column.alias(name) for name, column in {**added, **extremes}.items()],
         F.bool_or(is_order & ~observed).alias("came_back"),
         F.bool_or(observed & F.coalesce("has_product", F.lit(False))).alias("has_product"),
         F.bool_or(observed).alias("seen"),
-        *[column.alias(name) for name, column in added.items()],
     )
-    sums = by_category.groupBy(KEY).agg(
+    return by_category.groupBy(KEY).agg(
         F.max("last_purchase").alias("last_purchase"),
-        F.max("max_delivery_delay").cast("double").alias("max_delivery_delay"),
-        F.min("score_min").cast("double").alias("min_review_score"),
+        F.max("max_delivery_delay").alias("max_delivery_delay"),
+        F.min("min_review_score").alias("min_review_score"),
         F.bool_or("came_back").alias("came_back"),
-        # Null when none of the items is of a known product.
         F.when(F.bool_or("has_product"), F.count_if(F.col("category").isNotNull() & F.col("seen"))).alias(
             "category_diversity"
         ),
         *[F.sum(name).alias(name) for name in added],
     )
 
+
+def _finished(sums: DataFrame, cutoff: Column) -> DataFrame:
+    """Features and label from the sums of the people who bought something, unfilled."""
+
     def ratio(top: str, bottom: str) -> Column:
         return F.try_divide(F.col(top).cast("double"), F.col(bottom).cast("double"))
 
@@ -270,6 +342,8 @@ def feature_table(
             "total_spend": from_units(F.coalesce("spend", F.lit(0))),
             "avg_order_value": F.try_divide(from_units(F.col("spend")), F.col("priced_items").cast("double")),
             "total_freight": from_units(F.coalesce("freight", F.lit(0))),
+            "max_delivery_delay": F.col("max_delivery_delay").cast("double"),
+            "min_review_score": F.col("min_review_score").cast("double"),
             "avg_delivery_delay": ratio("delay_sum", "delays"),
             "avg_delivery_days": ratio("days_sum", "transits"),
             "pct_late_orders": ratio("late", "orders_seen"),
@@ -278,5 +352,4 @@ def feature_table(
             "churned": F.when(F.col("came_back"), 0).otherwise(1),
         }
     )
-    joined = people.select(KEY, *FULL13, "last_purchase", "churned")
-    return fill_features(joined, fill)
+    return people.select(KEY, *FULL13, "last_purchase", "churned")

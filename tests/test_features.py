@@ -1,5 +1,6 @@
 from datetime import datetime
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -136,3 +137,27 @@ def test_feature_invariants(spark, sf_dir):
     assert broken.count() == 0
     assert f.join(s.labels(), KEY, "left_anti").count() == 0
     assert f.count() == 143 and f.columns[1:14] == list(FULL13)
+
+
+def test_feature_table_is_the_same_beyond_the_limit_on_categories(spark, sf_dir, monkeypatch):
+    """Bits of words and rows by category count alike."""
+    study = Study(order_tables(spark, sf_dir))
+    want = study.features().toPandas().sort_values(KEY, ignore_index=True)
+    monkeypatch.setattr(FT, "category_names", lambda products: None)
+    got = study.features().toPandas().sort_values(KEY, ignore_index=True)
+    pd.testing.assert_frame_equal(got, want)
+
+
+def test_more_categories_than_a_word_has_bits(spark):
+    """150 categories, those of unknown products and later orders left out."""
+    rows = [(i, i % 3, i % 150) for i in range(900)]
+    per_order = spark.createDataFrame(rows, "order_id int, person int, product_id int")
+    products = spark.createDataFrame([(i, None if i % 7 == 0 else f"kind {i:03}") for i in range(140)], "product_id int, product_category_name string")
+    items = per_order.select("order_id", "product_id", F.lit(1.0).alias("price"), F.lit(1.0).alias("freight_value"))
+    names = FT.category_names(products)
+    assert len(names) == 120 and FT.category_names(products, 119) is None
+    got = FT.items_with_words(items, products, names).join(per_order, "order_id").groupBy("person").agg(
+        sum(F.bit_count(F.coalesce(F.bit_or(w), F.lit(0).cast("long"))) for w in ("word0", "word1")).alias("kinds")
+    )
+    want = {p: len({c for _, q, c in rows if q == p and c < 140 and c % 7}) for p in range(3)}
+    assert {r.person: r.kinds for r in got.collect()} == want
