@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from holdfast.functions import from_units, money_units, safe_ratio
 from holdfast.operators.features import BAD_SCORE, delivery_measures, reviews_by_order
 from holdfast.operators.labels import delivered_orders, with_person
-from holdfast.operators.ordering import quantiles, row_numbers, tile_of
+from holdfast.operators.ordering import row_numbers, tile_of
+from holdfast.operators.selection import at_ranks, quantile_values
 from holdfast.operators.segments import TIER_LABELS, churn_by_bin
 from holdfast.session import materialise
 from holdfast.sources.schemas import KEY
@@ -172,9 +173,10 @@ def campaign_schedule(targets: DataFrame, days: dict[int, int] = CAMPAIGN_DAYS)
 
 def vip_target(scored: DataFrame, top_share: float = 0.2, probability: float = HIGH_PROBABILITY) -> DataFrame:
     """Likely churners whose spend lies in the top share, highest spend first."""
-    threshold = quantiles(scored, "total_spend", [1 - top_share]).select("q0").scalar()
+    spend = materialise(scored.select(KEY, "total_spend", "churn_probability"), "spend")
+    [threshold] = quantile_values(spend, "total_spend", [1 - top_share])
     return (
-        scored.where((F.col("churn_probability") >= probability) & (F.col("total_spend") >= threshold))
+        spend.where((F.col("churn_probability") >= probability) & (F.col("total_spend") >= F.lit(threshold).cast("double")))
         .select(
             KEY,
             "total_spend",
@@ -311,18 +313,24 @@ def recency_band_churn(
 
 
 def spend_concentration(features: DataFrame, tiles: int = 5) -> DataFrame:
-    """Share of spend held by the top tile of people."""
-    order = [F.desc("total_spend"), F.col(KEY)]
-    ranked = row_numbers(features.select(KEY, "total_spend"), order, "spend_rank", with_totals=True)
-    top = F.col("tile") == 1
-    sums = ranked.withColumn("tile", tile_of(F.col("spend_rank"), F.col("spend_rank_total"), tiles)).agg(
-        F.count_if(top).alias("top_customers"),
-        from_units(F.sum(F.when(top, money_units(F.col("total_spend"))))).alias("top_spend"),
-        from_units(F.sum(money_units(F.col("total_spend")))).alias("all_spend"),
+    """Share of spend held by the top tile of people.
+
+    The least spend in the tile is found by selection; people who spent just as much fill the places left.
+    """
+    spend = materialise(features.select("total_spend"), "spend")
+    people = spend.agg(F.count("*").alias("n"), F.count("total_spend").alias("known")).first()
+    top = -(-people.n // tiles)
+    [least] = at_ranks(spend, "total_spend", [max(people.known - top, 0)])
+    edge, units = F.lit(least).cast("double"), money_units(F.col("total_spend"))
+    above = F.col("total_spend") > edge
+    sums = spend.agg(
+        F.count_if(above).alias("above"),
+        F.coalesce(F.sum(F.when(above, units)), F.lit(0)).alias("units_above"),
+        from_units(F.sum(units)).alias("all_spend"),
     )
+    filled = (F.lit(min(top, people.known)) - F.col("above")) * money_units(edge)
     return sums.select(
-        "top_customers",
-        "top_spend",
+        F.lit(top).cast("long").alias("top_customers"),
+        from_units(F.col("units_above") + filled).alias("top_spend"),
         "all_spend",
-        safe_ratio(F.col("top_spend"), F.col("all_spend")).alias("top_share"),
-    )
+    ).withColumn("top_share", safe_ratio(F.col("top_spend"), F.col("all_spend")))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast.functions import class_name, currency_text, percent_text
-from holdfast.operators import evaluate, explain, explore, extensions, features, labels, models, prep
+from holdfast.operators import evaluate, explain, explore, extensions, features, hazards, labels, models, prep
 from holdfast.operators import profile, retention, segments, suggestions
 from holdfast.plans import checks
 from holdfast.plans.churn import Study, TrainingSet, scoring_job, serve, training_set
@@ -308,6 +308,24 @@ def _survival(s: Study) -> DataFrame:
     return extensions.kaplan_meier(grouped, "segment")
 
 
+# Covariates of the hazard model.
+HAZARD_COLUMNS = ("avg_order_value", "avg_review_score", "pct_late_orders", "category_diversity")
+
+
+def _lives(s: Study) -> DataFrame:
+    lives = extensions.customer_lifetimes(s.table("orders"), s.table("customers"), s.labels(), s.cutoff)
+    return lives.join(s.features().select(KEY, *HAZARD_COLUMNS), KEY, "inner")
+
+
+def _hazards(s: Study) -> DataFrame:
+    lives = materialise(_lives(s), "hazard-lives")
+    return checks.hazard_optimum(hazards.fit_hazards(lives, HAZARD_COLUMNS), lives)
+
+
+def _null_scores(s: Study) -> DataFrame:
+    return rounded(hazards.null_scores(_lives(s), HAZARD_COLUMNS), ["slope", "variance", "z_statistic"])
+
+
 def _state_churn(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = Study(order_tables(spark, sf_dir, with_states=True))
     return extensions.state_churn(s.features(), s.table("orders"), s.table("customers"), s.cutoff)
@@ -537,6 +555,8 @@ QUERIES: dict[str, Query] = {
     "one_time_buyers": _study_query(lambda s: labels.one_time_buyers(s.table("orders"), s.table("customers"))),
     # survival, geography, sellers, experiments
     "km_survival": _study_query(_survival),
+    "cox_null_scores": _study_query(_null_scores),
+    "cox_hazards": _study_query(_hazards),
     "state_churn": _state_churn,
     "seller_churn": _study_query(
         lambda s: extensions.seller_churn(

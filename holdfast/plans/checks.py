@@ -17,8 +17,9 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.operators import boosting, evaluate, explain, models
+from holdfast.operators import boosting, evaluate, explain, hazards, models
 from holdfast.operators.boosting import BoostedModel
+from holdfast.operators.hazards import HazardModel
 from holdfast.operators.prep import SEED
 from holdfast.operators.retention import with_defaults
 from holdfast.operators.segments import risk_tier
@@ -53,6 +54,24 @@ def logistic_optimum(model: PipelineModel, train: DataFrame, columns: Sequence[s
     return sums.select("rows_0", "rows_1", F.inline(slopes))
 
 
+def hazard_optimum(model: HazardModel, lives: DataFrame) -> DataFrame:
+    """Per covariate the mean slope of the partial likelihood at the fitted weights, with the rows and deaths used."""
+    p = len(model.columns)
+    rows, _, _ = hazards.prepared(lives, model.columns)
+    _, slope, _ = hazards.likelihood(hazards.day_sums(rows, p, model.weights), p)
+    gained = model.reached >= model.start
+    used = rows.agg(F.count("*").alias("lives"), F.sum(F.col("event").cast("long")).alias("deaths"))
+    facts = F.array(
+        *[
+            F.struct(F.lit(name).alias("feature"), _nothing(F.lit(float(g)) / F.col("lives"), 6).alias("slope"))
+            for name, g in zip(model.columns, slope)
+        ]
+    )
+    return used.select(
+        "lives", "deaths", F.lit(bool(gained)).alias("gained"), F.lit(bool(model.converged)).alias("converged"), F.inline(facts)
+    )
+
+
 def tree_predictions(model: PipelineModel | BoostedModel, data: DataFrame, columns: Sequence[str] = CORE9) -> DataFrame:
     """Per row whether the probability is one and agrees with the prediction, and its distance from the node table's."""
     found = models.predict(model, data)

@@ -829,6 +829,35 @@ made AS (
 )
 
 # Facts about fitted models, stated from the tables alone.
+HAZARD_COLUMNS = ("avg_order_value", "avg_review_score", "pct_late_orders", "category_diversity")
+LIVES = (
+    FEATURES
+    + f""", lives AS (SELECT {floor_days('b', 'a')} AS duration, churned, {', '.join(HAZARD_COLUMNS)} FROM (
+        SELECT customer_unique_id, min(placed) AS a, max(placed) AS b FROM pre GROUP BY ALL)
+      JOIN features USING (customer_unique_id) WHERE {' AND '.join(f'{c} IS NOT NULL' for c in HAZARD_COLUMNS)})"""
+)
+# Efron's ties at no effect, term by term.
+ORACLE["cox_null_scores"] = with_(
+    LIVES
+    + f""", long AS (SELECT duration, churned, unnest([{', '.join(f"{{'feature': '{c}', 'value': {c}::DOUBLE}}" for c in HAZARD_COLUMNS)}]) AS e FROM lives),
+    scaled AS (SELECT e.feature AS feature, duration, churned, (e.value - avg(e.value) OVER (PARTITION BY e.feature))
+        / stddev_pop(e.value) OVER (PARTITION BY e.feature) AS x FROM long),
+    days AS (SELECT feature, duration, sum(churned)::BIGINT AS d, count(*) AS n, sum(x) AS x1, sum(x * x) AS x2,
+        coalesce(sum(x) FILTER (churned = 1), 0) AS t1, coalesce(sum(x * x) FILTER (churned = 1), 0) AS t2
+      FROM scaled GROUP BY ALL),
+    risk AS (SELECT *, sum(n) OVER w AS s, sum(x1) OVER w AS s1, sum(x2) OVER w AS s2 FROM days
+      WINDOW w AS (PARTITION BY feature ORDER BY duration DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+    terms AS (SELECT feature, d, t1, t2, s::DOUBLE AS s, s1, s2, unnest(range(0, d)) AS k FROM risk WHERE d > 0),
+    parts AS (SELECT feature, t1 / d AS seen, (s1 - k / d::DOUBLE * t1) / (s - k) AS m1,
+        (s2 - k / d::DOUBLE * t2) / (s - k) AS m2 FROM terms)""",
+    """SELECT feature, round(sum(seen - m1), 6) AS slope, round(sum(m2 - m1 * m1), 6) AS variance,
+      round(sum(seen - m1) / sqrt(sum(m2 - m1 * m1)), 6) AS z_statistic FROM parts GROUP BY ALL""",
+)
+ORACLE["cox_hazards"] = with_(
+    LIVES + f""", columns_v AS (SELECT unnest([{', '.join(f"'{c}'" for c in HAZARD_COLUMNS)}]) AS feature)""",
+    """SELECT lives, deaths, true AS gained, true AS converged, feature, 0.0::DOUBLE AS slope
+      FROM (SELECT count(*) AS lives, sum(churned)::BIGINT AS deaths FROM lives), columns_v""",
+)
 ORACLE["lr_scores"] = with_(
     FEATURES
     + f""", parts AS (SELECT max(n) AS n FROM (SELECT count(*) AS n FROM split WHERE split = 'train' GROUP BY label)),

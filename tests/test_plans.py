@@ -12,7 +12,7 @@ from holdfast.sources import order_tables
 
 FITTED = ("smote_balance", "smote_balanced", "lr_scores", "rf_scores", "gbt_scores", "random_search_results",
           "booster_facts", "booster_first_split", "forest_facts", "served_by_model",
-          "fitted_model_comparison", "tree_shap", "batch_scores", "live_scores")
+          "cox_hazards", "cox_null_scores", "fitted_model_comparison", "tree_shap", "batch_scores", "live_scores")
 LAZY = [n for n in QUERIES if n not in FITTED]
 
 
