@@ -14,10 +14,11 @@ Pivots are fitted on a bounded sample and only decide how much is skipped; all v
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,8 +30,11 @@ PIVOTS, SAMPLE, ROUNDS = 64, 4_096, 4
 # Rings per pivot at most, rows a ring should have, and rows a task gets of a ring that has more.
 RINGS, RING_ROWS, BLOCK_ROWS = 64, 512, 4_096
 QUERY_ROWS = 4_096
-# Relative error allowed for in distances computed in double precision.
-SLACK = 1e-9
+# Relative errors allowed for in squared distances and, where these are nearly 0, distances in double precision.
+SLACK, NEAR_SLACK = 1e-9, 1e-7
+# Below these squared lengths inner products are exact in double precision, and in 64-bit whole numbers.
+DOUBLE_EXACT, LONG_EXACT = 2.0**52, 2.0**62
+MOST_DIGITS = 10**38 - 1
 
 
 def finite(vector: Column) -> Column:
@@ -42,11 +46,17 @@ def quantised(vector: Column, scale: int) -> Column:
     return F.transform(vector, lambda x: F.floor(F.lit(scale) * x.cast("double")).cast("long"))
 
 
-def _whole(column, dimension: int) -> np.ndarray:
-    """Vectors from lists of integers, shorter ones filled with zeros, in double precision."""
-    out = np.zeros((len(column), dimension))
-    for row, values in enumerate(column):
-        out[row, : len(values)] = values
+def _whole(column: pa.Array, dimension: int, kind: type = np.float64) -> np.ndarray:
+    """Vectors from lists of integers, shorter ones filled with zeros; ``kind``: double, int64 or object (Python integers)."""
+    values = column.flatten().to_numpy(zero_copy_only=False)
+    sizes = pc.list_value_length(column).to_numpy(zero_copy_only=False)
+    if kind is object:
+        values = np.array(values.tolist(), dtype=object)
+    if (sizes == dimension).all():
+        return values.reshape(-1, dimension).astype(kind)
+    out = np.zeros((len(sizes), dimension), dtype=kind)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    out[row, np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = values
     return out
 
 
@@ -82,11 +92,11 @@ class Search:
         ).first()
         self.empty = ends.dim is None
         self._dim, self._longest = ends.dim or 0, ends.longest or 0.0
-        if self._longest >= 2**52:
-            raise ValueError("scores of vectors this long are not exact in double precision")
+        # No score exceeds the largest squared length, which says in what numbers it is exact.
+        self._kind = np.float64 if self._longest < DOUBLE_EXACT else np.int64 if self._longest < LONG_EXACT else object
         sample = [] if self.empty else vectors.orderBy(F.xxhash64("id"), "id").select("vector").limit(SAMPLE).collect()
         if not self.empty:
-            self._pivots = fit_pivots(_lifted(_whole([r.vector for r in sample], self._dim), self._longest))
+            self._pivots = fit_pivots(_lifted(_whole(pa.array([r.vector for r in sample], pa.list_(pa.int64())), self._dim), self._longest))
             self._build()
 
     def _build(self) -> None:
@@ -118,7 +128,7 @@ class Search:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                far = _distances(_lifted(_whole(batch.column(1).to_pylist(), dim), longest), pivots)
+                far = _distances(_lifted(_whole(batch.column(1), dim), longest), pivots)
                 nearest = far.argmin(axis=1)
                 own = far[np.arange(len(far)), nearest]
                 yield pa.RecordBatch.from_arrays(
@@ -139,11 +149,12 @@ class Search:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                x = _whole(batch.column(1).to_pylist(), dim)
+                x = _whole(batch.column(1), dim)
                 bounds = batch.column(2).to_numpy(zero_copy_only=False)
                 # A query's own added component is 0: distances then order inner products with it.
                 to_pivot = _distances(np.hstack([x, np.zeros((len(x), 1))]), pivots)[:, ring_pivot]
-                gap = np.maximum(np.maximum(low - to_pivot, to_pivot - high), 0)
+                squares = (x**2).sum(axis=1)[:, None]
+                gap = np.maximum(np.maximum(low - to_pivot, to_pivot - high) - NEAR_SLACK * np.sqrt(squares + longest), 0)
                 # Rings that hold the query's own place first, those of the nearest pivot before others.
                 order = np.argsort(gap + 1e-9 * to_pivot, axis=1, kind="stable")
                 counted = np.cumsum(n[order], axis=1)
@@ -152,7 +163,6 @@ class Search:
                 if near:
                     chosen = first
                 else:
-                    squares = (x**2).sum(axis=1)[:, None]
                     most = (squares + longest - gap**2) / 2
                     chosen = ~first & (most + SLACK * (squares + longest) + 1 >= bounds[:, None])
                 i, j = np.nonzero(chosen)
@@ -165,24 +175,34 @@ class Search:
         schema = "id long, vector array<bigint>, bound double, chunk long, pivot long, ring long"
         return queries.select("id", "vector", "bound", "chunk").mapInArrow(tidy(run), schema)
 
-    def _scored(self, plan: DataFrame, chunks: int) -> DataFrame:
+    def _scored(self, plan: DataFrame) -> DataFrame:
         """(query_id, vec_id, score): of each block a query searches, its best k rows."""
-        dim, longest, k, pivots = self._dim, self._longest, self.k, self._pivots
+        dim, longest, k, pivots, kind = self._dim, self._longest, self.k, self._pivots, self._kind
+        number = pa.decimal128(38, 0) if kind is object else pa.int64()
 
-        def score(asked: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-            found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        def numbers(scores: np.ndarray) -> pa.Array:
+            if kind is not object:
+                return pa.array(scores.astype(np.int64))
+            return pa.array([Decimal(max(-MOST_DIGITS, min(MOST_DIGITS, int(v)))) for v in scores], number)
+
+        def score(asked: pa.Table, rows: pa.Table) -> pa.Table:
+            found: list[pa.Table] = []
+            names = ["query_id", "vec_id", "score"]
             if len(asked) and len(rows):
-                rows = rows.sort_values("distance", kind="stable")
+                rows = rows.take(pc.sort_indices(rows, [("distance", "ascending"), ("id", "ascending")]))
+                asked, rows = asked.combine_chunks(), rows.combine_chunks()
                 ids, distance = rows["id"].to_numpy(), rows["distance"].to_numpy()
-                x, q = _whole(rows["vector"], dim), _whole(asked["vector"], dim)
-                pivot = pivots[int(rows["pivot"].iloc[0])]
+                vectors, queries = rows["vector"].combine_chunks(), asked["vector"].combine_chunks()
+                q = _whole(queries, dim)
+                pivot = pivots[rows["pivot"][0].as_py()]
                 squares = (q**2).sum(axis=1)
                 to_pivot = _distances(np.hstack([q, np.zeros((len(q), 1))]), pivot[None, :])[:, 0]
                 bound = asked["bound"].to_numpy()
                 reach = np.sqrt(np.maximum(squares + longest - 2 * bound, 0) + SLACK * (squares + longest) + 1)
-                reach = np.where(np.isfinite(bound), reach, np.inf)
+                reach = np.where(np.isfinite(bound), reach + NEAR_SLACK * np.sqrt(squares + longest), np.inf)
                 starts = np.searchsorted(distance, to_pivot - reach, side="left")
                 ends = np.searchsorted(distance, to_pivot + reach, side="right")
+                x, q = _whole(vectors, dim, kind), _whole(queries, dim, kind)
                 for i, query in enumerate(asked["id"].to_numpy()):
                     a, b = starts[i], ends[i]
                     scores = x[a:b] @ q[i]
@@ -191,22 +211,29 @@ class Search:
                     if len(scores) > k:
                         kept = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
                         scores, near = scores[kept], near[kept]
-                    best = np.lexsort((near, -scores))[:k]
-                    found.append((np.full(len(best), query), near[best], scores[best].astype(np.int64)))
-            columns = map(np.concatenate, zip(*found)) if found else [np.zeros(0, dtype=np.int64)] * 3
-            return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), columns)))
-
-        keys = ["pivot", "ring", "block", "chunk"]
+                    # By score descending, then id; two stable sorts, as Python integers can't be negated into a key array of longs.
+                    best = np.argsort(near, kind="stable")
+                    best = best[np.argsort(-scores[best], kind="stable")][:k]
+                    found.append(pa.table([pa.array(np.full(len(best), query)), pa.array(near[best]), numbers(scores[best])], names))
+            empty = pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], number)], names)
+            return pa.concat_tables([empty, *found])
+
+        keys = ["pivot", "ring", "block"]
         spread = self._vectors.sparkSession.createDataFrame(self._rings[["pivot", "ring", "blocks"]])
         asked = plan.join(F.broadcast(spread), ["pivot", "ring"]).withColumn(
             "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
         )
-        rows = self._index.select("pivot", "ring", "block", "id", "vector", "distance").withColumn(
-            "chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long")))
+        # An index row is copied for the chunks of queries that ask for its block, and for no others.
+        wanted = asked.select(*[F.col(c).alias(f"asked_{c}") for c in (*keys, "chunk")]).distinct()
+        index = self._index.select(*keys, "id", "vector", "distance")
+        rows = index.join(wanted, [F.col(c) == F.col(f"asked_{c}") for c in keys]).withColumn("chunk", F.col("asked_chunk") + F.lit(0).cast("long"))
+        asked = asked.select(*keys, "chunk", "id", "vector", "bound")
+        kind_name = "decimal(38,0)" if kind is object else "long"
+        return (
+            asked.groupBy(*keys, "chunk")
+            .cogroup(rows.select(*keys, "chunk", "id", "vector", "distance").groupBy(*keys, "chunk"))
+            .applyInArrow(score, f"query_id long, vec_id long, score {kind_name}")
         )
-        rows = rows.join(asked.select(*keys).distinct(), keys, "left_semi")
-        asked = asked.select(*keys, "id", "vector", "bound")
-        return asked.groupBy(*keys).cogroup(rows.groupBy(*keys)).applyInPandas(score, "query_id long, vec_id long, score long")
 
     def best(self, found: DataFrame) -> DataFrame:
         order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
@@ -219,11 +246,15 @@ class Search:
         chunks = max(1, -(-queries.count() // QUERY_ROWS))
         asked = queries.withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(chunks).cast("long")))
         unbound = asked.withColumn("bound", F.lit(float("-inf")))
-        near = materialise(self.best(self._scored(self._plan(unbound, True), chunks)), "near")
+        near = materialise(self.best(self._scored(self._plan(unbound, True))), "near")
         bounds = near.where(F.col("rank") == self.k).select(F.col("query_id").alias("id"), F.col("score").cast("double").alias("bound"))
         bounded = asked.join(bounds, "id", "left").withColumn("bound", F.coalesce("bound", F.lit(float("-inf"))))
-        rest = self._scored(self._plan(bounded, False), chunks)
-        return self.best(near.select("query_id", "vec_id", "score").union(rest)).select("query_id", "rank", "vec_id", "score")
+        rest = self._scored(self._plan(bounded, False))
+        found = self.best(near.select("query_id", "vec_id", "score").union(rest))
+        if self._kind is object:
+            ends = [F.lit(v).cast("decimal(38,0)") for v in ("-9223372036854775808", "9223372036854775807")]
+            found = found.withColumn("score", F.greatest(ends[0], F.least(ends[1], "score")).cast("long"))
+        return found.select("query_id", "rank", "vec_id", "score")
 
 
 def top_k(
@@ -236,11 +267,11 @@ def top_k(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row that ``is_query``, the k others with the largest scores.
 
-    Components become floor(scale * x), scores are integer inner products, exact as long as squared lengths stay below 2^52 (else
-    an error). Ties go to the smaller key; fewer than k others are all given, none gives no row. Rows whose key or vector is
+    Components become floor(scale * x), scores are integer inner products, compared
+    exactly (up to 38 digits); one beyond the range of a long is shown as the end of that range. Components beyond it count as its end. Ties go to the smaller key; fewer than k others are all given, none gives no row. Rows whose key or vector is
     null, or whose vector holds null or non-finite components, take no part; of vectors of different lengths the shorter ends in
     zeros. Rows with the query's own key aren't its candidates; repeated rows of a key count once, of different vectors under one
-    key the one of lowest hash.
+    key the one of lowest hash. An empty table gives an empty result; texts and other columns play no part.
     """
     rows = df.where(F.col(key).isNotNull() & finite(F.col(vector))).select(
         F.col(key).cast("long").alias("id"), quantised(F.col(vector), scale).alias("vector"), is_query.alias("asks")

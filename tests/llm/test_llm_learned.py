@@ -98,6 +98,33 @@ def test_top_k_with_few_rows(spark):
     assert topk.top_k(frame.limit(0), catalog.F.lit(True)).count() == 0
 
 
+@pytest.mark.parametrize("largest", [70_000.0, 1e6, 1e8, 2.0**40])
+def test_long_vectors_are_compared_exactly(spark, monkeypatch, largest):
+    """Scores beyond double precision, and beyond 64 bits, where close ones differ by 1."""
+    monkeypatch.setattr(topk, "RING_ROWS", 20)
+    rng = np.random.default_rng(9)
+    rows = [(i, (rng.integers(-8, 8, size=6) / 1024.0).tolist()) for i in range(200)]
+    rows += [(300 + i, [largest, i / 1024, 1.0, 0.0, 0.0, 0.0]) for i in range(30)] + [(400 + i, [largest, 3.0, 0.0, 0.0, 0.0, i / 1024]) for i in range(101)]
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in topk.top_k(vectors(spark, rows), catalog.F.col("vec_id") % 50 == 0, k=6).collect()}
+    whole = {k: [int(np.floor(1024 * x)) for x in v] for k, v in rows}
+    want = {}
+    for q in (k for k in whole if k % 50 == 0):
+        best = sorted((-sum(a * b for a, b in zip(whole[q], v)), k) for k, v in whole.items() if k != q)[:6]
+        want |= {(q, i): (k, max(-(2**63), min(2**63 - 1, -s))) for i, (s, k) in enumerate(best, 1)}
+    assert got == want
+
+
+def test_index_rows_are_copied_only_for_chunks_that_ask(spark, monkeypatch):
+    """Two far groups, each queried by itself: no row of one meets a chunk of the other in the second search."""
+    monkeypatch.setattr(topk, "RING_ROWS", 20)
+    rows = [(i, (0 if i < 200 else 64, i % 7, i % 11)) for i in range(400)]
+    index = topk.Search(spark.createDataFrame([(k, [int(x) for x in v]) for k, v in rows], "id long, vector array<bigint>"), 3)
+    asked = spark.createDataFrame([(5, [0, 5, 5], 0.0, 0), (300, [64, 6, 3], 4000.0, 1)], "id long, vector array<bigint>, bound double, chunk long")
+    plan = index._scored(index._plan(asked, False))._jdf.queryExecution().optimizedPlan().toString()
+    # The only rows generated are the blocks of a query's ring.
+    assert plan.count("Generate explode") == 1
+
+
 def test_rings_are_skipped_and_split_without_loss(spark, monkeypatch):
     monkeypatch.setattr(topk, "RING_ROWS", 20)
     monkeypatch.setattr(topk, "BLOCK_ROWS", 7)
