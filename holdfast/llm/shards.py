@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.llm.common import fresh, two_hashes
-from holdfast.operators.ordering import row_numbers, tile_of
+from holdfast.operators.ordering import row_numbers, running_totals, tile_of
 
 BITS = 5
 SHARDS = 24
@@ -20,24 +20,38 @@ SHARDS = 24
 ACCURACY = 10_000
 
 
-def order_code(value: Column, kind: str) -> Column:
-    """A number in the order of the values: numbers as they are, strings by their first seven bytes."""
-    if kind != "string":
-        return value.cast("double")
-    return F.conv(F.hex(F.substring(F.rpad(value.cast("binary"), 7, F.lit(b"\0")), 1, 7)), 16, 10).cast("double")
+def _string_cuts(df: DataFrame, column: str, shares: list[float]) -> list[str]:
+    """The strings at these shares of the rows in order. Rows are counted by string first, so a hot string is one row a task."""
+    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_n"))
+    placed = running_totals(counts, [F.col(column)], {"_upto": "_n"}, with_totals=True)
+    ends = [F.min(F.when(F.col("_upto") >= F.lit(p) * F.col("_upto_total"), F.col(column))) for p in shares]
+    return [cut for cut in placed.agg(*[end.alias(f"c{i}") for i, end in enumerate(ends)]).first() if cut is not None]
 
 
-def with_steps(df: DataFrame, codes: list[str], bits: int, name: str) -> DataFrame:
-    """Add ``name``: for each numeric code a step from 0 to 2^bits - 1, cut at quantiles over all rows; null is step 0."""
-    points = [i / 2**bits for i in range(1, 2**bits)]
-    cuts = df.agg(*[F.percentile_approx(c, points, ACCURACY).alias(c) for c in codes]).first()
+def with_steps(df: DataFrame, columns: list[str], bits: int, name: str) -> DataFrame:
+    """Add ``name``: for each column a step from 0 to 2^bits - 1, cut at quantiles over all rows; null is step 0.
 
-    def step(code: str) -> Column:
+    Numbers are cut at approximate quantiles, strings at exact ones in the order of their UTF-8 bytes, whatever their common beginnings.
+    """
+    shares = [i / 2**bits for i in range(1, 2**bits)]
+    kinds = dict(df.dtypes)
+    numbers = [c for c in columns if kinds[c] != "string"]
+    cuts = {c: _string_cuts(df, c, shares) for c in columns if kinds[c] == "string"}
+    if numbers:
+        found = df.agg(*[F.percentile_approx(F.col(c).cast("double"), shares, ACCURACY).alias(c) for c in numbers]).first()
+        cuts |= {c: found[c] or [] for c in numbers}
+
+    def step(column: str) -> Column:
         # Equal quantiles are one cut: a frequent value has a step of its own.
-        own = F.array(*[F.lit(float(cut)) for cut in sorted(set(cuts[code] or []))]).cast("array<double>")
-        return F.size(F.filter(own, lambda cut: F.col(code) >= cut)).cast("long")
+        kind = "string" if kinds[column] == "string" else "double"
+        own = F.array(*[F.lit(cut).cast(kind) for cut in sorted(set(cuts[column]), key=_in_order)]).cast(f"array<{kind}>")
+        return F.when(F.col(column).isNull(), F.lit(0)).otherwise(F.size(F.filter(own, lambda cut: F.col(column).cast(kind) >= cut))).cast("long")
 
-    return df.withColumn(name, F.array(*map(step, codes)))
+    return df.withColumn(name, F.array(*map(step, columns)))
+
+
+def _in_order(cut):
+    return cut.encode() if isinstance(cut, str) else cut
 
 
 def hilbert_index(df: DataFrame, axes: str, bits: int, name: str) -> DataFrame:
@@ -98,18 +112,18 @@ def assign(
     the curve are ordered by text and key, so equal texts there stay together and a
     place that holds a third of all rows is cut like any other. ``size`` is the text's UTF-8 bytes plus 8 (null: 8),
     its checksum that of the empty text. Null dimensions count as the
-    lowest step, repeated rows take a slot each, fewer rows than shards leave the last shards empty.
+    lowest step, repeated rows take a slot each, fewer rows than shards leave the last shards empty,
+    an empty table gives no rows, and a very long text counts with all its bytes.
     Only the columns named here are carried.
     """
-    kinds = dict(df.dtypes)
-    codes = {f"d{i}": order_code(F.col(c), kinds[c]) for i, c in enumerate(dimensions)}
+    names = [f"d{i}" for i in range(len(dimensions))]
     chosen = df.select(
         F.col(key).alias("key"),
         F.col(text).cast("string").alias("text"),
-        *[code.alias(name) for name, code in codes.items()],
+        *[F.col(c).alias(name) for c, name in zip(dimensions, names)],
     )
     body = F.coalesce("text", F.lit(""))
-    placed = hilbert_index(with_steps(chosen, list(codes), bits, "steps"), "steps", bits, "curve").select(
+    placed = hilbert_index(with_steps(chosen, names, bits, "steps"), "steps", bits, "curve").select(
         "key",
         (F.octet_length(body) + 8).cast("long").alias("size"),
         F.crc32(body.cast("binary")).alias("text_crc32"),

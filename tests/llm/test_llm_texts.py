@@ -288,3 +288,32 @@ def test_lines_equal_plain_python(spark, batches):
         (r.doc_id, r.n_lines, r.n_dropped, hashlib.sha256((r.text or "").encode()).hexdigest()) for r in out.collect()
     )
     assert got == plain_lines([(r.doc_id, r.text) for r in frame.collect()])
+
+
+def test_curve_of_three_dimensions_is_one_path_through_all_cells(spark):
+    """As registered, 3 dimensions of 5 bits: every place once, neighbours one step apart, whole cells in a row at each level."""
+    grid = spark.range(2**15).selectExpr("array(id % 32, id div 32 % 32, id div 1024) AS point")
+    at = {r.place: tuple(r.point) for r in shards.hilbert_index(grid, "point", 5, "place").collect()}
+    assert sorted(at) == list(range(2**15))
+    for i in range(1, 2**15):
+        assert sum(abs(a - b) for a, b in zip(at[i], at[i - 1])) == 1
+    for level in range(1, 5):
+        run = 2 ** (3 * level)
+        for start in range(0, 2**15, run):
+            assert len({tuple(x >> level for x in at[i]) for i in range(start, start + run)}) == 1
+
+
+def test_steps_of_whole_strings_and_numbers_match_plain_python(spark):
+    """Strings that begin alike keep their order; each step's cut is the first value at its share of the rows."""
+    names = [f"https://example.org/{i:02}" for i in range(16)] + ["https://é", "https://😀", ""]
+    rows = [(i, names[i * i % len(names)] if i % 3 else names[3], None if i % 17 == 0 else i * 7 % 101) for i in range(600)]
+    frame = spark.createDataFrame([(i, s if i % 29 else None, v) for i, s, v in rows], "doc_id int, s string, v int")
+    got = {r.doc_id: r.steps for r in shards.with_steps(frame, ["s", "v"], 3, "steps").collect()}
+    for place, column in enumerate(("s", "v")):
+        values = {r.doc_id: r[column] for r in frame.collect()}
+        order = sorted((v for v in values.values() if v is not None), key=lambda v: v.encode() if isinstance(v, str) else v)
+        cuts = {order[max(-(-len(order) * i // 8) - 1, 0)] for i in range(1, 8)}
+        for key, value in values.items():
+            code = (lambda v: v.encode()) if column == "s" else (lambda v: v)
+            want = 0 if value is None else sum(code(value) >= code(cut) for cut in cuts)
+            assert got[key][place] == want, (column, value)
