@@ -178,6 +178,14 @@ def fit(windows: np.ndarray, target: np.ndarray, labels: list[str], s: Settings)
     return net
 
 
+def drawn(rows: DataFrame, texts: int) -> DataFrame:
+    """Of (key, lang, text) about ``texts`` rows a language, with their ``draw``: by a hash of key and text, whatever the partitions."""
+    counts = rows.groupBy("lang").agg(F.count("*").alias("of_lang"))
+    limit = F.least(F.lit(_SPACE), F.expr(f"{_SPACE}L * {texts}L div of_lang"))
+    placed = rows.withColumn("draw", F.xxhash64("key", "text")).join(counts, "lang")
+    return placed.where(F.pmod("draw", F.lit(_SPACE)) <= limit).drop("of_lang")
+
+
 def train(
     df: DataFrame,
     key: str = "doc_id",
@@ -192,18 +200,9 @@ def train(
     """
     usable = F.col(lang).isNotNull() & (F.length(text) > 0) & (F.lit(True) if may_learn is None else may_learn)
     rows = df.where(usable).select(
-        F.col(lang).cast("string").alias("lang"),
-        F.col(text).cast("string").alias("text"),
-        F.xxhash64(key).alias("draw"),
+        F.col(key).alias("key"), F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text")
     )
-    # One row per language.
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    if not counts:
-        return None
-    limit = F.lit(None)
-    for name, n in counts.items():
-        limit = F.when(F.col("lang") == name, F.lit(min(_SPACE, _SPACE * settings.texts // n))).otherwise(limit)
-    drawn = rows.where(F.pmod("draw", F.lit(_SPACE)) <= limit)
+    sampled = drawn(rows, settings.texts).select("lang", "text", "draw")
     most = settings.windows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,7 +216,7 @@ def train(
                 [batch.column(0), batch.column(2), pa.array(made, type=pa.binary())], ["lang", "draw", "windows"]
             )
 
-    sample = drawn.mapInArrow(tidy(run), "lang string, draw long, windows binary")
+    sample = sampled.mapInArrow(tidy(run), "lang string, draw long, windows binary")
     # Ordered, so that the network is the same whichever task ends first.
     taken = sample.orderBy("draw", "lang", "windows").limit(settings.most).collect()
     labels = sorted({r.lang for r in taken})
