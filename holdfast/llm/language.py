@@ -178,9 +178,17 @@ def fit(windows: np.ndarray, target: np.ndarray, labels: list[str], s: Settings)
     return net
 
 
+# So many counts of languages go to every task; beyond that the texts are shuffled to them.
+MOST_LANGUAGES = 4_096
+
+
 def drawn(rows: DataFrame, texts: int) -> DataFrame:
     """Of (key, lang, text) about ``texts`` rows a language, with their ``draw``: by a hash of key and text, whatever the partitions."""
     counts = rows.groupBy("lang").agg(F.count("*").alias("of_lang"))
+    few = counts.limit(MOST_LANGUAGES + 1).collect()
+    if len(few) <= MOST_LANGUAGES:
+        # No more rows than this, so that the texts stay where they are.
+        counts = F.broadcast(rows.sparkSession.createDataFrame([(r.lang, r.of_lang) for r in few], "lang string, of_lang long"))
     limit = F.least(F.lit(_SPACE), F.expr(f"{_SPACE}L * {texts}L div of_lang"))
     placed = rows.withColumn("draw", F.xxhash64("key", "text")).join(counts, "lang")
     return placed.where(F.pmod("draw", F.lit(_SPACE)) <= limit).drop("of_lang")

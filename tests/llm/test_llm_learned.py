@@ -475,8 +475,10 @@ def test_pipeline_with_odd_and_more_columns(spark, tmp_path):
     assert empty.count() == 0
 
 
-def test_language_sample_draws_by_key_and_text(spark):
+@pytest.mark.parametrize("most", [4096, 1])
+def test_language_sample_draws_by_key_and_text(spark, monkeypatch, most):
     """A key with a third of the rows isn't taken or left as a whole, and each language has its own limit."""
+    monkeypatch.setattr(language, "MOST_LANGUAGES", most)
     rows = [(7 if i < 1000 else i, f"wort {i} und mehr" if i % 3 else f"word {i} and more", "de" if i % 3 else "en") for i in range(3000)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     usable = frame.selectExpr("doc_id AS key", "text", "lang")
