@@ -282,6 +282,7 @@ def identify(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
 
     Rows whose key's crc32 modulo 3 is 1 are held out: nothing is learned from them. Languages are those of
     the labelled rows outside. Repeated rows stay; a row without a key isn't held out and isn't learned from.
+    A very long text is read whole, window by window; an empty table gives an empty one; columns other than these three aren't looked at.
     """
     in_fold = fold(F.col(key), FOLDS) == HELD_OUT
     network = train(df, key, text, lang, ~in_fold)

@@ -147,7 +147,8 @@ def drop_repeated_lines(
     A line is known by its key (``line_key``). A key of at least ``min_chars`` code points that
     several documents hold stays, with all its lines, in the one of smallest ``key`` only; other
     lines stay. Rows of one key are one document. Rows without a key neither lose lines nor count as
-    documents. A null text is one empty line and stays null; repeated rows stay. Column names for the
+    documents. A null text is one empty line and stays null; repeated rows stay; an
+    empty table stays empty; a very long text is split whole. Column names for the
     counts that ``df`` already has are an error.
     """
     if clash := {n_lines, n_dropped} & set(df.columns):

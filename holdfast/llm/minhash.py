@@ -340,7 +340,8 @@ def near_duplicates(
     many different texts that share a band without being near copies are compared by the square of their number, in
     tiles, but what a tile gives never exceeds its members. Null, empty and
     blank texts have no words and are copies of one another, rows without a key have no class, repeated rows stay, rows of
-    one key are one document, other columns are left out.
+    one key are one document, other columns are left out. An empty table gives an empty result; a very long text counts with all
+    its shingles.
     """
     k = bands * rows
     source = df.select(F.col(key).alias("doc"), F.col(text).cast("string").alias("text"))
@@ -375,7 +376,10 @@ def near_duplicates(
 
 
 def first_of_each(df: DataFrame, text: str = "text", key: str = "doc_id", **settings) -> DataFrame:
-    """The rows of ``df`` whose key is that of their class, and rows without a key; all columns."""
+    """The rows of ``df`` whose key is that of their class, and rows without a key; all columns.
+
+    Rows of one key stay or go together. The smallest key of a class stays, an empty table stays empty.
+    """
     found = near_duplicates(df, text, key, **settings)
     others = found.where(F.col("class_id") < F.col(key)).select(key).distinct()
     return without(df, key, materialise(others, "later-copies"))

@@ -161,7 +161,7 @@ def tokenise(
 
     Null and empty texts have the end id alone. ``n_prompt``, the ids at the start that
     bear no loss, is 1: nothing predicts a document's first id. Repeated rows stay, other
-    columns are left out.
+    columns are left out, an empty table gives an empty one, a very long text keeps all its ids.
     """
     fields = [T.StructField("tokens", T.BinaryType()), T.StructField("n_prompt", T.IntegerType())]
     schema = T.StructType([T.StructField("key", df.schema[key].dataType), *fields])

@@ -261,6 +261,7 @@ def rate(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "tex
     The fold of the key's crc32 modulo 5 that is 0 is held out: neither its labels nor its texts are learned from.
     Null and empty texts are scored like others, by their features; repeated rows stay; without
     any trusted positive all scores are 1/2; a row without a key isn't held out. Columns other than key and text aren't looked at.
+    Every text is scored whole, however long; an empty table gives an empty one.
     """
     not_held = fold(F.col(key), FOLDS) != 0
     model = train(df, trusted(labels, key), key, text, not_held)

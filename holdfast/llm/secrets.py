@@ -134,6 +134,7 @@ def scan(
     """Every row with ``name`` added: array of (start, kind, end), kind a position in KINDS, sorted.
 
     Null and empty texts have no spans, repeated rows give repeated rows, other columns stay.
+    An empty table stays empty, and a very long text is scanned whole.
     Equal spans of two kinds are both given. The allow list only holds back entropy spans.
     """
     source, hits = fresh(df, "_text"), fresh(df, "_candidates")

@@ -236,6 +236,7 @@ def near_vectors(df: DataFrame, vector: str = "embedding", key: str = "vec_id",
     or non-finite components link with nothing, nor do vectors of different lengths with each other. Repeated rows of a key count once
     and are all returned (with different vectors, that of lowest hash counts); a row without a key has no links and no component. Many different vectors within one cap are compared
     with each other, tile by tile over many tasks: their links can't be counted otherwise.
+    An empty table gives an empty one; other columns are left out.
     """
     rows = df.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("vector"))
     valid = rows.where(usable(F.col("vector")) & F.col("id").isNotNull())
