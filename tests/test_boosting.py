@@ -148,3 +148,33 @@ def test_boosting_of_few_or_alike_rows(spark):
     assert empty.trees == []
     (grown,), _ = B.fit_many(alike.selectExpr("*", "0 AS fold"), COLS, [B.Fit(B.Params(n_estimators=1), 3)], rows_at_once=1)
     assert grown.area is None and len(grown.trees) == 1
+
+
+def test_a_level_walks_no_tree_of_earlier_rounds_again(spark, table, monkeypatch):
+    walks, real = spark.sparkContext.accumulator(0), B.reached
+
+    def counted(tree, bins):
+        walks.add(1)
+        return real(tree, bins)
+
+    monkeypatch.setattr(B, "reached", counted)
+    params = B.Params(n_estimators=8, max_depth=2)
+    (grown,), _ = B.fit_many(table.coalesce(1), COLS, [B.Fit(params)], rows_at_once=10)
+    # A block meets the tree that grows once a level, and once when it is done.
+    assert len(grown.trees) == 8 and walks.value <= 8 * (params.max_depth + 1)
+
+
+def test_only_the_smaller_sister_is_added_up(monkeypatch):
+    rng = np.random.default_rng(3)
+    bins = rng.integers(0, B.BINS, (4, 20_000)).astype(np.uint8)
+    label = (bins[0].astype(int) + bins[1] + rng.integers(0, 200, 20_000) > 350).astype(np.int64)
+    added, real = [], B.histogram
+
+    def counted(bins, slot, *rest):
+        added.append(len(slot))
+        return real(bins, slot, *rest)
+
+    monkeypatch.setattr(B, "histogram", counted)
+    rows = B.Rows(bins, label, np.full(20_000, -1, dtype="<i4"), np.arange(20_000))
+    B.grow_here(rows, B.Fit(B.Params(n_estimators=1, max_depth=5)), [B.BINS - 1] * 4, 42)
+    assert len(added) == 5 and sum(added) <= 20_000 * (1 + 4 / 2)
