@@ -32,8 +32,10 @@ SEARCH_SPACE = {
     "scale_pos_weight": (1, 5, 10),
 }
 
-# Rows of one partition in a fitting pass.
+# Rows of one partition in a fitting pass: the fewest, and the most once there are that many partitions.
 ROWS_PER_TASK = 2_000
+FULL_TASK_ROWS = 100_000
+FITTING_TASKS = 64
 
 # A fixed-weight logistic score. It needs no fitting, so every operator that
 # consumes probabilities can be checked exactly in another engine.
@@ -65,14 +67,20 @@ def linear_score(
     return features.withColumn("churn_probability", F.round(sigmoid(linear_margin(weights, bias)), 6))
 
 
+def fitting_tasks(rows: int) -> int:
+    """Partitions of a fitting pass. Every task of a forest's pass hands on sums for all open nodes of all trees, however few
+    its rows, so there are no more than FITTING_TASKS of them until each has FULL_TASK_ROWS."""
+    return max(1, min(rows // ROWS_PER_TASK, FITTING_TASKS), rows // FULL_TASK_ROWS)
+
+
 def _spread(train: DataFrame, rows: int | None = None) -> DataFrame:
-    """Training rows in partitions of about ROWS_PER_TASK, placed and ordered by key.
+    """Training rows in ``fitting_tasks`` partitions, placed and ordered by key.
 
     Bagging draws by partition, so the number of partitions follows from the row count alone:
     the same table gives the same model on any cluster, and a refit bags the same rows.
     """
     rows = train.count() if rows is None else rows
-    return train.repartition(max(1, rows // ROWS_PER_TASK), KEY).sortWithinPartitions(KEY)
+    return train.repartition(fitting_tasks(rows), KEY).sortWithinPartitions(KEY)
 
 
 def _vector_stage(columns: Sequence[str]) -> VectorAssembler:

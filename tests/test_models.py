@@ -219,3 +219,8 @@ def test_first_split_is_the_best_of_all_cuts(train):
     assert (got.feature, round(best[1], 6)) == (best[0], got.threshold) and abs(got.gain - gains[best]) < 1e-4
     left = at[best]
     assert abs(got.left_value + 0.3 * g[left].sum() / (h[left].sum() + 1)) < 1e-5
+
+
+def test_fitting_tasks_follow_from_the_rows_and_stay_few():
+    counts = {1: 1, 1_716: 1, 17_160: 8, 103_000: 51, 1_030_000: 64, 6_200_000: 64, 62_000_000: 620}
+    assert {rows: M.fitting_tasks(rows) for rows in counts} == counts
