@@ -399,7 +399,8 @@ def _grow_by_level(
     columns, nodes_of_model = len(sizes), 1 << (max(f.params.max_depth for f in fits) + 1)
     context = blocks.sparkSession.sparkContext
     tasks = max(context.defaultParallelism, -(-n // ROWS_PER_TASK))
-    shared_root(blocks.sparkSession)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_root(blocks.sparkSession))
     # Blocks are large, a task has few of them: they are dealt evenly, once.
     dealt = blocks.select(*_BYTES).repartition(tasks).rdd
     state = dealt.map(lambda block: _unseen(_rows_of([tuple(block)], columns), len(fits))).persist(StorageLevel.MEMORY_AND_DISK)
