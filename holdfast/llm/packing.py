@@ -177,7 +177,7 @@ class Packer:
         self._next = first_sequence
         self._caps = np.array([limits.tokens, limits.segments, limits.loss_tokens], dtype=np.float64)
         # Waiting examples: what of them is left, from start on.
-        self._needs = np.zeros((0, 3), dtype=np.int64)
+        self._needs: list[tuple[int, int, int]] = []
         self._held: list[tuple] = []
         self.rows: list[tuple] = []
 
@@ -203,25 +203,26 @@ class Packer:
                 self._next += 1
             else:
                 self._held.append((example, start, take))
-                self._needs = np.vstack([self._needs, [(take, 1, self._loss(example, start, take))]])
+                self._needs.append((take, 1, self._loss(example, start, take)))
             start += take if take < left else left
         if len(self._held) >= WAITING:
             self.fill(WAITING // 2)
 
     def fill(self, leave: int) -> None:
         """Fill sequences until at most ``leave`` examples wait."""
-        needs, held = self._needs, self._held
-        here = np.ones(len(held), dtype=bool)
-        while here.sum() > leave:
+        needs, held = np.array(self._needs, dtype=np.float64).reshape(-1, 3), self._held
+        tokens, segments, loss = needs.T
+        here, waits = np.ones(len(held), dtype=bool), len(held)
+        while waits > leave:
             room, offset, sequence = self._caps.copy(), 0, self._next
             self._next += 1
             while room[0] > 0 and room[1] > 0:
-                fits = here & (needs <= room).all(axis=1)
+                fits = here & (tokens <= room[0]) & (segments <= room[1]) & (loss <= room[2])
                 if fits.any():
                     i = int(np.argmax(np.where(fits, needs @ (room / self._caps**2), -1.0)))
                     length = held[i][2]
                 else:
-                    waiting = np.where(here, needs[:, 0], 0)
+                    waiting = np.where(here, tokens, 0)
                     i = int(np.argmax(waiting))
                     if not waiting[i]:
                         break
@@ -238,8 +239,9 @@ class Packer:
                     needs[i] = (whole - length, 1, self._loss(example, start + length, whole - length))
                 else:
                     here[i] = False
+                    waits -= 1
         self._held = [x for x, stays in zip(held, here) if stays]
-        self._needs = needs[here]
+        self._needs = [tuple(map(int, x)) for x in needs[here]]
 
 
 NAMES = ["key", "start", "length", "piece", "n_tokens", "sequence_id", "offset"]

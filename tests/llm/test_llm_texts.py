@@ -317,3 +317,28 @@ def test_steps_of_whole_strings_and_numbers_match_plain_python(spark):
             code = (lambda v: v.encode()) if column == "s" else (lambda v: v)
             want = 0 if value is None else sum(code(value) >= code(cut) for cut in cuts)
             assert got[key][place] == want, (column, value)
+
+
+def test_chunks_are_the_same_whichever_way_they_are_cut():
+    import random
+
+    from holdfast.llm import chunks
+
+    draw = random.Random(5)
+    for _ in range(20_000):
+        text = "".join(draw.choices(" ab\t\n  ", k=draw.randint(0, 9)))
+        assert chunks.chunks_of(text) == chunks.CUT.split(text)
+
+
+def test_waiting_examples_are_collected_without_copying_all_of_them(monkeypatch):
+    from holdfast.llm import packing
+
+    def copied(*args):
+        raise AssertionError("all waiting examples copied for one more")
+
+    monkeypatch.setattr(packing.np, "vstack", copied)
+    packer = packing.Packer(packing.Limits(tokens=8, segments=4, loss_tokens=8), 0)
+    for i in range(1_300):
+        packer.add(i, bytes(4 * (i % 11 + 1)), 1)
+    packer.fill(0)
+    assert sum(r[2] for r in packer.rows) == sum(i % 11 + 1 for i in range(1_300))
