@@ -43,26 +43,48 @@ def items_by_order(items: DataFrame) -> DataFrame:
     )
 
 
-def _items_of_orders(items: DataFrame, known: DataFrame, *more: Column) -> DataFrame:
-    """Item totals per order and ``more``, and whether any item is of a known product."""
-    return (
+def _each_once(products: DataFrame) -> bool:
+    """Whether no product comes twice."""
+    return products.where(F.col("product_id").isNotNull()).groupBy("product_id").count().where("count > 1").isEmpty()
+
+
+def _items_of_orders(items: DataFrame, products: DataFrame, known: DataFrame, near: DataFrame | None, *more: Column) -> DataFrame:
+    """Item totals per order and ``more``, and whether any item is of a known product. A product that comes twice counts its
+    items twice.
+
+    With ``near``, the ids of the orders wanted, money is added up where the items lie, and only order and product go to
+    the products, if each of those comes once.
+    """
+
+    def wanted(per_order: DataFrame) -> DataFrame:
+        # Above the sums: few orders still reach the scan, and for many no single items are moved.
+        return per_order if near is None else per_order.join(near, "order_id", "left_semi")
+
+    known = known.withColumn("is_product", F.lit(True))
+    has_product = F.bool_or(F.coalesce("is_product", F.lit(False))).alias("has_product")
+    if near is not None and _each_once(products):
+        met = items.select("order_id", "product_id").join(known, "product_id", "inner")
+        kinds = wanted(met.groupBy("order_id").agg(has_product, *more))
+        both = wanted(items_by_order(items)).join(kinds, "order_id", "left")
+        return both.withColumn("has_product", F.coalesce("has_product", F.lit(False)))
+    return wanted(
         items.select("order_id", "product_id", "price", "freight_value")
-        .join(known.withColumn("is_product", F.lit(True)), "product_id", "left")
+        .join(known, "product_id", "left")
         .groupBy("order_id")
         .agg(
             F.sum(money_units(F.col("price"))).alias("spend"),
             F.count("price").alias("priced_items"),
             F.sum(money_units(F.col("freight_value"))).alias("freight"),
-            F.bool_or(F.coalesce("is_product", F.lit(False))).alias("has_product"),
+            has_product,
             *more,
         )
     )
 
 
-def items_with_categories(items: DataFrame, products: DataFrame) -> DataFrame:
+def items_with_categories(items: DataFrame, products: DataFrame, near: DataFrame | None = None) -> DataFrame:
     """Item totals per order with the set of known categories."""
     known = products.select("product_id", "product_category_name")
-    return _items_of_orders(items, known, F.collect_set("product_category_name").alias("categories"))
+    return _items_of_orders(items, products, known, near, F.collect_set("product_category_name").alias("categories"))
 
 
 def category_names(products: DataFrame, most: int = MOST_CATEGORIES) -> list[str] | None:
@@ -76,7 +98,7 @@ def _words(names: list[str]) -> list[str]:
     return [f"word{i}" for i in range(-(-len(names) // WORD_BITS))]
 
 
-def items_with_words(items: DataFrame, products: DataFrame, names: list[str]) -> DataFrame:
+def items_with_words(items: DataFrame, products: DataFrame, names: list[str], near: DataFrame | None = None) -> DataFrame:
     """Item totals per order with the set of known categories as bits: the s-th is bit s % 64 of ``word<s // 64>``."""
     slots = products.sparkSession.createDataFrame(
         [(name, slot) for slot, name in enumerate(names)], "product_category_name string, slot int"
@@ -88,7 +110,7 @@ def items_with_words(items: DataFrame, products: DataFrame, names: list[str]) ->
     )
     bit = F.expr(f"shiftleft(1L, slot % {WORD_BITS})")
     own = [F.bit_or(F.when(F.floor(F.col("slot") / WORD_BITS) == i, bit)).alias(w) for i, w in enumerate(_words(names))]
-    return _items_of_orders(items, known, *own)
+    return _items_of_orders(items, products, known, near, *own)
 
 
 def _total(units: Column) -> Column:
@@ -233,10 +255,12 @@ def feature_table(
     cutoff: Column,
     fill: str = "literal",
     strict_asof: bool = False,
+    near: DataFrame | None = None,
 ) -> DataFrame:
     """The labelled feature table from one pass over each table.
 
-    Items meet their products and are reduced to their order, measures and set of categories together. One
+    Items meet their products and are reduced to their order, measures and set of categories together; where ``near``
+    gives the ids of the orders in ``tables``, that is money by itself in a second pass. One
     aggregation by person then adds up the measures and joins the sets, whose categories are bits of a few
     words, so that a person with very many orders reaches the shuffle as one row per task. Should there be
     more than ``MOST_CATEGORIES``, orders are spread by category instead.
@@ -245,9 +269,9 @@ def feature_table(
     measured = delivery_measures(delivered_orders(tables["orders"]), cutoff if strict_asof else None)
     names = category_names(tables["products"])
     items = (
-        items_with_categories(tables["order_items"], tables["products"])
+        items_with_categories(tables["order_items"], tables["products"], near)
         if names is None
-        else items_with_words(tables["order_items"], tables["products"], names)
+        else items_with_words(tables["order_items"], tables["products"], names, near)
     )
     per_order = (
         with_person(

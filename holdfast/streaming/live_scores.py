@@ -39,10 +39,9 @@ def rescore(people: DataFrame, tables: dict[str, DataFrame], scorer: Scorer, mom
     """
     own = orders_of(people, tables["orders"], tables["customers"])
     theirs = own.select("order_id")
-    near = {**tables, "orders": own}
-    for name in ("order_items", "order_reviews"):
-        near[name] = tables[name].join(theirs, "order_id", "left_semi")
-    return with_tier(scorer(feature_table(near, F.lit(moment).cast("timestamp_ntz")).drop("churned")))
+    reviews = tables["order_reviews"].join(theirs, "order_id", "left_semi")
+    tables = {**tables, "orders": own, "order_reviews": reviews}
+    return with_tier(scorer(feature_table(tables, F.lit(moment).cast("timestamp_ntz"), near=theirs).drop("churned")))
 
 
 def start_scoring(

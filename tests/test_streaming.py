@@ -1,13 +1,16 @@
 import random
+import re
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from holdfast.operators.features import feature_table
 from holdfast.operators.models import linear_score
 from holdfast.plans.churn import Study
 from holdfast.sources import order_tables
 from holdfast.sources.schemas import KEY
-from holdfast.streaming.live_scores import latest_scores, start_scoring
+from holdfast.streaming.live_scores import latest_scores, rescore, start_scoring
 from holdfast.streaming.score_log import ScoreLog
 
 
@@ -57,6 +60,47 @@ def test_people_are_rescored_when_they_order(spark, sf_dir, tmp_path):
     assert len(state) == 2 and state[0].latest <= state[1].latest and state[0].until < state[1].until
 
 
+def test_prices_do_not_travel_to_the_products(spark, sf_dir):
+    tables = order_tables(spark, sf_dir)
+    people = tables["customers"].select(KEY).distinct()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        scored = rescore(people, tables, linear_score, datetime(1998, 1, 1))
+        plan = scored._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # What is scanned below each shuffle by product, and how often single items are shuffled with their money.
+    below = [part.split("FileScan parquet ")[1].split("]")[0] for part in plan.split("Exchange hashpartitioning(product_id")[1:]]
+    assert below and not any("price" in columns for columns in below)
+    shuffled = re.findall(r"Exchange hashpartitioning\(order_id.*\n(.*)\n", plan)
+    assert shuffled and not any("price" in line and "HashAggregate" not in line for line in shuffled)
+
+
+@pytest.mark.parametrize("copies", [1, 2])
+def test_items_of_wanted_orders_count_as_those_of_all(spark, copies):
+    """Also where a product comes twice, is unknown or has no category, and where keys are null."""
+    day = datetime(2020, 1, 1)
+    orders = [(i, i, "delivered", day, day, day) for i in range(6)]
+    items = [(0, 1, 10.0, 1.0), (0, 1, 5.0, 1.0), (1, 2, 7.0, None), (2, 9, 3.0, 1.0), (3, None, 2.0, 1.0), (None, 1, 4.0, 1.0), (4, 3, None, 1.0)]
+    order_fields = ("order_id long, customer_id long, order_status string, order_purchase_timestamp timestamp_ntz, "
+                    "order_delivered_customer_date timestamp_ntz, order_estimated_delivery_date timestamp_ntz")
+    tables = {
+        "orders": spark.createDataFrame(orders, order_fields),
+        "customers": spark.createDataFrame([(i, i % 4) for i in range(6)], f"customer_id long, {KEY} long"),
+        "order_items": spark.createDataFrame(items, "order_id long, product_id long, price double, freight_value double"),
+        "order_reviews": spark.createDataFrame([(0, 4, day)], "order_id long, review_score int, review_creation_date timestamp_ntz"),
+        "products": spark.createDataFrame(
+            [(1, "a"), (2, None), (3, "b"), (None, "c")] + [(1, "a")] * (copies - 1), "product_id long, product_category_name string"
+        ),
+    }
+    moment = F.lit(datetime(2020, 2, 1)).cast("timestamp_ntz")
+    whole = feature_table(tables, moment)
+    some = feature_table(tables, moment, near=tables["orders"].select("order_id"))
+    got = sorted(map(tuple, some.collect()))
+    assert got == sorted(map(tuple, whole.collect())) and len(got) == 4
+    assert some.where(F.col(KEY) == 0).first().total_spend == 15.0 * copies
+
+
 def batches(n, people=25, seed=6):
     rng = random.Random(seed)
     return [[(f"p{i}", float(epoch), None if epoch % 5 else "x") for i in rng.sample(range(people), 10)] for epoch in range(n)]
