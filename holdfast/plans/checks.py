@@ -106,37 +106,54 @@ def booster_facts(model: BoostedModel, train: DataFrame, seed: int = SEED) -> Da
     """
     nodes, p = model.nodes(), model.params
     names = list(model.columns)
-    tables = [t.set_index("id") for _, t in nodes.groupby("tree")]
+    # A node's place is its id.
+    tables = [
+        (
+            t["left"].to_numpy(int),
+            t["right"].to_numpy(int),
+            t["feature"].fillna(0).to_numpy(int),
+            t["threshold"].to_numpy(float),
+            t["prediction"].to_numpy(float),
+        )
+        for _, t in nodes.sort_values("id").groupby("tree")
+    ]
     spread = train.select(
         F.xxhash64(KEY).alias("hash"), F.col("label").cast("double").alias("label"), *[F.col(c).cast("double").alias(c) for c in names]
     )
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums, losses, seen = [np.zeros((2, len(t[0]))) for t in tables], np.zeros(len(tables) + 1), False
         for pdf in batches:
-            x, y = pdf[names].to_numpy(), pdf["label"].to_numpy()
+            if pdf.empty:
+                continue
+            seen = True
+            x, y, rows = pdf[names].to_numpy(float), pdf["label"].to_numpy(), np.arange(len(pdf))
             weight = np.where(y == 1, p.scale_pos_weight, 1.0)
             margin = np.zeros(len(pdf))
-            for tree, table in enumerate(tables):
+            for tree, (left, right, feature, threshold, value) in enumerate(tables):
                 rate = 1 / (1 + np.exp(-margin))
                 taken = boosting.sampled(pdf["hash"].to_numpy(), p.subsample, seed, tree)
                 g, h = weight * (rate - y), weight * rate * (1 - rate)
-                loss = (weight * (np.logaddexp(0, margin) - y * margin)).sum()
-                at, pending = np.zeros(len(pdf), dtype=int), [(0, np.ones(len(pdf), dtype=bool))]
-                found = []
-                while pending:
-                    node, here = pending.pop()
-                    row = table.loc[node]
-                    found.append((tree, node, g[here & taken].sum(), h[here & taken].sum(), loss if node == 0 else 0.0))
-                    at[here] = node
-                    if row["left"] >= 0:
-                        left = x[:, int(row["feature"])] <= row["threshold"]
-                        pending += [(int(row["left"]), here & left), (int(row["right"]), here & ~left)]
-                margin = margin + table["prediction"].to_numpy()[at]
-                yield pd.DataFrame(found, columns=["tree", "id", "g", "h", "loss"])
-            end = (weight * (np.logaddexp(0, margin) - y * margin)).sum()
-            yield pd.DataFrame([(len(tables), 0, 0.0, 0.0, end)], columns=["tree", "id", "g", "h", "loss"])
-
-    # As many rows as the model has nodes.
+                losses[tree] += (weight * (np.logaddexp(0, margin) - y * margin)).sum()
+                at = np.zeros(len(pdf), dtype=int)
+                while (inner := left[at] >= 0).any():
+                    lower = np.where(x[rows, feature[at]] <= threshold[at], left[at], right[at])
+                    at = np.where(inner, lower, at)
+                for total, values in zip(sums[tree], (g, h)):
+                    total += np.bincount(at[taken], values[taken], minlength=len(left))
+                margin = margin + value[at]
+            losses[-1] += (weight * (np.logaddexp(0, margin) - y * margin)).sum()
+        if not seen:
+            return
+        for tree, (left, right, *_) in enumerate(tables):
+            # Only leaves have sums so far; children come after their parent.
+            for node in np.nonzero(left >= 0)[0][::-1]:
+                sums[tree][:, node] = sums[tree][:, left[node]] + sums[tree][:, right[node]]
+            loss = np.where(np.arange(len(left)) == 0, losses[tree], 0.0)
+            yield pd.DataFrame({"tree": tree, "id": np.arange(len(left)), "g": sums[tree][0], "h": sums[tree][1], "loss": loss})
+        yield pd.DataFrame([(len(tables), 0, 0.0, 0.0, losses[-1])], columns=["tree", "id", "g", "h", "loss"])
+
+    # As many rows as the model has nodes, once per task.
     sums = spread.mapInPandas(walk, "tree int, id int, g double, h double, loss double").groupBy("tree", "id")
     sums = sums.agg(*[F.sum(c).alias(c) for c in ("g", "h", "loss")]).toPandas()
     both = nodes.merge(sums, on=["tree", "id"], how="left")

@@ -198,6 +198,24 @@ def test_facts_tell_right_boosters_from_wrong_ones(train):
     assert checks.booster_facts(half, train).first().trees == 2
 
 
+def test_booster_facts_hand_on_one_row_per_node_and_task(spark, train, monkeypatch):
+    """However many batches of rows a task has."""
+    model, made = M.fit_boosted(train, COLS, SMALL), []
+    whole = type(train).mapInPandas
+
+    def watched(self, *args, **kwargs):
+        made.append(whole(self, *args, **kwargs))
+        return made[-1]
+
+    monkeypatch.setattr(type(train), "mapInPandas", watched)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        assert tuple(checks.booster_facts(model, train.coalesce(1)).first()) == (4, 3, 0.0, 0.0, True)
+        assert made[0].count() == len(model.nodes()) + 1
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_facts_tell_right_forests_from_wrong_ones(train):
     right = checks.forest_facts(M.fit_forest(train, COLS, trees=20, depth=5), train).first()
     assert tuple(right) == (20, 5, 0.0, True)
