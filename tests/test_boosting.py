@@ -127,6 +127,29 @@ def test_levels_as_jobs_give_the_same_trees(both_ways):
         assert one.area is None or abs(one.area - other.area) < 1e-12
 
 
+def test_a_million_rows_take_no_job_per_level(spark, monkeypatch):
+    def by_level(*_):
+        raise AssertionError("a job per level")
+
+    monkeypatch.setattr(B, "_grow_by_level", by_level)
+    rows = spark.range(1_100_000).selectExpr(f"id AS {KEY}", "int(id % 7 < 3) AS label", "int(id % 5) AS fold", "double(id % 7) AS a")
+    fits = [B.Fit(B.Params(n_estimators=2, max_depth=2), fold) for fold in (0, 3)]
+    grown, _ = B.fit_many(rows, ["a"], fits)
+    assert [len(g.trees) for g in grown] == [2, 2] and all(g.area == 1 for g in grown)
+
+
+def test_areas_of_levels_need_the_held_rows_only(spark):
+    rows = B.Rows(np.zeros((1, 90), dtype="u1"), np.arange(90) % 2, np.arange(90) % 3, np.arange(90))
+    margins = np.stack([np.arange(90.0), -(np.arange(90) % 2.0), np.zeros(90)])
+    fits = [B.Fit(PARAMS, 1), B.Fit(PARAMS, 2), B.Fit(PARAMS, None)]
+    written = B._judged(spark, spark.sparkContext.parallelize([(rows, margins)], 1), fits)
+    assert written.selectExpr("sum(length(margin))").first()[0] == 2 * 30 * 8
+    found = B._areas(written)
+    assert set(found) == {0, 1} and found[1] == 0
+    held = rows.fold == 1
+    assert abs(found[0] - pairwise_area(margins[0][held], rows.label[held])) < 1e-12
+
+
 def test_sampling_is_by_row_and_round():
     hashes = np.random.default_rng(1).integers(-(2**62), 2**62, 20_000)
     one, two = (B.sampled(hashes, 0.7, 42, r) for r in (0, 1))
