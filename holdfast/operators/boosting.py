@@ -44,8 +44,10 @@ WRITTEN_ROUNDS = 10
 ROWS_AT_ONCE = 4_000_000
 # Rows worked on at a time.
 STRIP_ROWS = 16_384
-# Up to so many nodes of a level are told apart by comparing whole columns, more by looking up each row's node.
+# Up to so many nodes of a level of at least so many rows are told apart by comparing whole columns, others by looking up each
+# row's node.
 FEW_NODES = 8
+MANY_ROWS = 4_096
 # A split must gain more than this.
 LEAST_GAIN = 1e-6
 
@@ -176,10 +178,10 @@ def step(node: np.ndarray, bins: np.ndarray, tree: np.ndarray, level: Sequence[i
 
     Children have larger numbers than the nodes of their parents' level, so rows that have moved aren't met again.
     """
-    kind = node.dtype.type
-    splits = [(kind(k), int(tree["feature"][k]), int(tree["cut"][k]), kind(tree["left"][k] - k)) for k in level]
-    few = len(splits) <= FEW_NODES
-    if not few:
+    few, kind = len(level) <= FEW_NODES and len(node) >= MANY_ROWS, node.dtype.type
+    if few:
+        splits = [(kind(k), int(tree["feature"][k]), int(tree["cut"][k]), kind(tree["left"][k] - k)) for k in level]
+    else:
         inner = np.zeros(len(tree), dtype=bool)
         inner[list(level)] = True
         # A row elsewhere leads to itself.
